@@ -1,0 +1,8 @@
+"""Streaming.
+
+The crash job is batch only: its inputs are bounded files and it has no
+stream source, watermark or state (nothing of the kind appears in the
+questions it answers).  So nothing is built here; the batch plans in
+:mod:`roadlens.plans` are what a streaming user would wrap with
+``foreachBatch`` if crash files arrived continuously.
+"""
