@@ -6,14 +6,14 @@ projection exists as SQL text in :mod:`roadlens.plans.oracles` so DuckDB can
 check every answer.  Only whole-number arithmetic, CASE and concatenation are
 used, so both engines give identical strings.
 
-The projection is narrow (no shuffle) and lazy: a query that needs three
+The projection is SQL expression text in ``selectExpr`` (cheap to build:
+one JVM call per table).  It is narrow (no shuffle) and lazy: a query that needs three
 columns of ``units`` makes Catalyst read only the lineitem columns behind them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.sources.tables import CrashTables
 
@@ -22,115 +22,102 @@ BODY_STYLES = ["MOTORCYCLE", "POLICE MOTORCYCLE", "NA", "NOT REPORTED",
                "OTHER  (EXPLAIN IN NARRATIVE)", "SEDAN", "PICKUP"]  # index = partkey % 8, 7 -> NULL
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _tagged(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix), _s(value))
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return li.select(
-        F.col("l_orderkey").alias("o"),
-        F.col("l_linenumber").alias("n"),
-        F.col("l_partkey").alias("p"),
-        F.col("l_suppkey").alias("s"),
-        F.col("l_quantity").cast("int").alias("k"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("d"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("x"),
-        F.col("l_returnflag").alias("rf"),
-        F.col("l_linestatus").alias("ls"),
+    return li.selectExpr(
+        "l_orderkey AS o", "l_linenumber AS n", "l_partkey AS p", "l_suppkey AS s",
+        "CAST(l_quantity AS INT) AS k",
+        "CAST(round(l_discount * 100) AS INT) AS d",
+        "CAST(round(l_tax * 100) AS INT) AS x",
+        "l_returnflag AS rf", "l_linestatus AS ls",
     )
 
 
-def _units(q: DataFrame) -> DataFrame:
-    p, s, n, k, d, rf = (F.col(c) for c in ("p", "s", "n", "k", "d", "rf"))
-    body = F.when(p % 8 == 0, F.lit(BODY_STYLES[0]))
-    for i, style in enumerate(BODY_STYLES[1:], start=1):
-        body = body.when(p % 8 == i, F.lit(style))
-    color_code = (s * 7 + n) % 14
-    state_code = (p + s) % 32
-
-    def damage(v: Column) -> Column:
-        return (F.when(v % 8 == 7, F.lit("DAMAGED 7 HIGHEST"))
-                .when(v % 8 == 0, F.lit(None).cast("string"))
-                .otherwise(_tagged("DAMAGED ", v % 8)))
-
-    return q.select(
-        _s(F.col("o")).alias("crash_id"),
-        _s(n).alias("unit_nbr"),
-        F.when(rf == "R", F.lit("Y")).otherwise(F.lit("N")).alias("veh_hnr_fl"),
-        body.alias("veh_body_styl_id"),
-        F.when(p % 13 == 0, F.lit("NA")).when(p % 13 == 12, F.lit(None).cast("string"))
-        .otherwise(_tagged("MAKE_", p % 13)).alias("veh_make_id"),
-        F.when(color_code == 0, F.lit("NA")).when(color_code == 13, F.lit(None).cast("string"))
-        .otherwise(_tagged("COLOR_", color_code)).alias("veh_color_id"),
-        F.when(state_code == 0, F.lit("NA")).when(state_code == 31, F.lit(None).cast("string"))
-        .otherwise(_tagged("ST_", state_code)).alias("veh_lic_state_id"),
-        _s(k % 4).alias("tot_injry_cnt"),
-        F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(_s(n % 2)).alias("death_cnt"),
-        F.when(s % 9 == 0, F.lit("UNDER INFLUENCE - ALCOHOL")).otherwise(F.lit("NONE")).alias("contrib_factr_1_id"),
-        F.when(p % 10 == 0, F.lit("HAD BEEN DRINKING ALCOHOL")).when(p % 10 == 1, F.lit(None).cast("string"))
-        .otherwise(F.lit("NONE")).alias("contrib_factr_2_id"),
-        F.when(k % 25 == 0, F.lit("ALCOHOL")).alias("contrib_factr_p1_id"),
-        damage(k).alias("veh_dmag_scl_1_id"),
-        damage(d).alias("veh_dmag_scl_2_id"),
-        F.when(rf == "A", F.lit("PROOF OF LIABILITY INSURANCE")).when(rf == "N", F.lit("SURETY BOND"))
-        .alias("fin_resp_type_id"),
-    )
-
-
-def _persons(q: DataFrame) -> DataFrame:
-    p, s, n, k, d, x = (F.col(c) for c in ("p", "s", "n", "k", "d", "x"))
-    ethnicity_code = (p + s + n) % 6
-    return q.select(
-        _s(F.col("o")).alias("crash_id"),
-        _s(n).alias("unit_nbr"),
-        _s(s % 9 + 1).alias("prsn_nbr"),
-        F.when(p % 10 < 7, F.lit("DRIVER")).otherwise(F.lit("PEDESTRIAN")).alias("prsn_type_id"),
-        F.when(s % 10 < 6, F.lit("MALE")).when(s % 10 < 9, F.lit("FEMALE")).otherwise(F.lit("NA"))
-        .alias("prsn_gndr_id"),
-        F.when(k <= 18, F.lit("KILLED")).when(k <= 40, F.lit("NOT INJURED")).alias("prsn_injry_sev_id"),
-        F.when(d % 3 == 0, F.lit("NOT DEPLOYED")).otherwise(F.lit("DEPLOYED, FRONT")).alias("prsn_airbag_id"),
-        F.when(ethnicity_code == 0, F.lit("NA")).when(ethnicity_code == 1, F.lit("UNKNOWN"))
-        .otherwise(_tagged("ETHN_", ethnicity_code)).alias("prsn_ethnicity_id"),
-        F.when(x <= 4, F.lit("CLASS C")).when(x == 5, F.lit("UNLICENSED"))
-        .when(x == 6, F.lit("OTHER/OUT OF STATE")).when(x == 7, F.lit("CLASS A AND M"))
-        .alias("drvr_lic_cls_id"),
-        F.when(p % 12 == 0, F.lit(None).cast("string")).when(p % 12 == 1, F.lit("NA"))
-        .otherwise(_tagged("ST_", p % 12)).alias("drvr_lic_state_id"),
-        F.when(p % 11 == 0, F.lit(None).cast("string")).otherwise(_s(75000 + (s * 3 + n) % 40)).alias("drvr_zip"),
-    )
+def _case_index(expr: str, values: list[str]) -> str:
+    """CASE expr WHEN 0 THEN values[0] WHEN 1 ... END (no match -> NULL)."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {expr} {whens} END"
+
+
+# Expressions are SQL text handed to selectExpr: one call into the JVM per
+# table instead of one per Column operation.
+_UNIT_EXPRS = [
+    "CAST(o AS STRING) AS crash_id",
+    "CAST(n AS STRING) AS unit_nbr",
+    "CASE WHEN rf = 'R' THEN 'Y' ELSE 'N' END AS veh_hnr_fl",
+    f"{_case_index('p % 8', BODY_STYLES)} AS veh_body_styl_id",
+    "CASE WHEN p % 13 = 0 THEN 'NA' WHEN p % 13 = 12 THEN NULL"
+    " ELSE concat('MAKE_', CAST(p % 13 AS STRING)) END AS veh_make_id",
+    "CASE WHEN (s * 7 + n) % 14 = 0 THEN 'NA' WHEN (s * 7 + n) % 14 = 13 THEN NULL"
+    " ELSE concat('COLOR_', CAST((s * 7 + n) % 14 AS STRING)) END AS veh_color_id",
+    "CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL"
+    " ELSE concat('ST_', CAST((p + s) % 32 AS STRING)) END AS veh_lic_state_id",
+    "CAST(k % 4 AS STRING) AS tot_injry_cnt",
+    "CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS STRING) END AS death_cnt",
+    "CASE WHEN s % 9 = 0 THEN 'UNDER INFLUENCE - ALCOHOL' ELSE 'NONE' END AS contrib_factr_1_id",
+    "CASE WHEN p % 10 = 0 THEN 'HAD BEEN DRINKING ALCOHOL' WHEN p % 10 = 1 THEN NULL ELSE 'NONE' END"
+    " AS contrib_factr_2_id",
+    "CASE WHEN k % 25 = 0 THEN 'ALCOHOL' END AS contrib_factr_p1_id",
+    "CASE WHEN k % 8 = 7 THEN 'DAMAGED 7 HIGHEST' WHEN k % 8 = 0 THEN NULL"
+    " ELSE concat('DAMAGED ', CAST(k % 8 AS STRING)) END AS veh_dmag_scl_1_id",
+    "CASE WHEN d % 8 = 7 THEN 'DAMAGED 7 HIGHEST' WHEN d % 8 = 0 THEN NULL"
+    " ELSE concat('DAMAGED ', CAST(d % 8 AS STRING)) END AS veh_dmag_scl_2_id",
+    "CASE rf WHEN 'A' THEN 'PROOF OF LIABILITY INSURANCE' WHEN 'N' THEN 'SURETY BOND' END AS fin_resp_type_id",
+]
+
+_PERSON_EXPRS = [
+    "CAST(o AS STRING) AS crash_id",
+    "CAST(n AS STRING) AS unit_nbr",
+    "CAST(s % 9 + 1 AS STRING) AS prsn_nbr",
+    "CASE WHEN p % 10 < 7 THEN 'DRIVER' ELSE 'PEDESTRIAN' END AS prsn_type_id",
+    "CASE WHEN s % 10 < 6 THEN 'MALE' WHEN s % 10 < 9 THEN 'FEMALE' ELSE 'NA' END AS prsn_gndr_id",
+    "CASE WHEN k <= 18 THEN 'KILLED' WHEN k <= 40 THEN 'NOT INJURED' END AS prsn_injry_sev_id",
+    "CASE WHEN d % 3 = 0 THEN 'NOT DEPLOYED' ELSE 'DEPLOYED, FRONT' END AS prsn_airbag_id",
+    "CASE (p + s + n) % 6 WHEN 0 THEN 'NA' WHEN 1 THEN 'UNKNOWN'"
+    " ELSE concat('ETHN_', CAST((p + s + n) % 6 AS STRING)) END AS prsn_ethnicity_id",
+    "CASE WHEN x <= 4 THEN 'CLASS C' WHEN x = 5 THEN 'UNLICENSED' WHEN x = 6 THEN 'OTHER/OUT OF STATE'"
+    " WHEN x = 7 THEN 'CLASS A AND M' END AS drvr_lic_cls_id",
+    "CASE WHEN p % 12 = 0 THEN NULL WHEN p % 12 = 1 THEN 'NA'"
+    " ELSE concat('ST_', CAST(p % 12 AS STRING)) END AS drvr_lic_state_id",
+    "CASE WHEN p % 11 = 0 THEN NULL ELSE CAST(75000 + (s * 3 + n) % 40 AS STRING) END AS drvr_zip",
+]
+
+_CHARGE_EXPRS = [
+    "CAST(o AS STRING) AS crash_id",
+    "CAST(n AS STRING) AS unit_nbr",
+    "CAST(s % 9 + 1 AS STRING) AS prsn_nbr",
+    "CASE s % 3 WHEN 0 THEN 'SPEEDING - OVER LIMIT' WHEN 1 THEN 'UNSAFE SPEED' ELSE 'NO INSURANCE' END AS charge",
+]
 
 
 def _damages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.filter(F.col("o_orderkey") % 3 == 0).select(
-        _s(F.col("o_orderkey")).alias("crash_id"),
-        F.col("o_orderpriority").alias("damaged_property"),
-    )
+    return orders.filter("o_orderkey % 3 = 0").selectExpr(
+        "CAST(o_orderkey AS STRING) AS crash_id", "o_orderpriority AS damaged_property")
 
 
-def _charges(q: DataFrame) -> DataFrame:
-    s = F.col("s")
-    return q.filter((F.col("ls") == "O") & (F.col("p") % 4 == 0)).select(
-        _s(F.col("o")).alias("crash_id"),
-        _s(F.col("n")).alias("unit_nbr"),
-        _s(s % 9 + 1).alias("prsn_nbr"),
-        F.when(s % 3 == 0, F.lit("SPEEDING - OVER LIMIT")).when(s % 3 == 1, F.lit("UNSAFE SPEED"))
-        .otherwise(F.lit("NO INSURANCE")).alias("charge"),
-    )
+_PLAN_CACHE: dict[tuple[str, str], CrashTables] = {}
 
 
 def crash_tables(spark: SparkSession, sf_dir: str) -> CrashTables:
+    """The four crash tables over ``sf_dir``.
+
+    Only the lazy plans are kept per (application, folder) so repeated
+    queries skip rebuilding them; no data is cached, every query scans.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLAN_CACHE:
+        _PLAN_CACHE[key] = _build(spark, sf_dir)
+    return _PLAN_CACHE[key]
+
+
+def _build(spark: SparkSession, sf_dir: str) -> CrashTables:
     q = _lines(spark, sf_dir)
     return CrashTables(
-        primary_person=_persons(q),
-        units=_units(q),
+        primary_person=q.selectExpr(*_PERSON_EXPRS),
+        units=q.selectExpr(*_UNIT_EXPRS),
         damages=_damages(spark, sf_dir),
-        charges=_charges(q),
+        charges=q.filter("ls = 'O' AND p % 4 = 0").selectExpr(*_CHARGE_EXPRS),
     )
 
 
