@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MEDIUM = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from roadlens.session import build_session
+
+    session = build_session("local[*]", app_name="roadlens-tests", shuffle_partitions=8)
+    # Tests name their own shared folder; on a cluster it comes from spark.checkpoint.dir.
+    if not session.sparkContext.getCheckpointDir():
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadlens-ckpt-", dir="/tmp"))
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def tables_small(spark):
+    from roadlens.sources.fixtures import crash_tables
+
+    return crash_tables(spark, SF_SMALL)
+
+
+@pytest.fixture()
+def tmp_out():
+    return tempfile.mkdtemp(prefix="roadlens-test-", dir="/tmp")
+
+
+def rows(df):
+    """Result rows as sorted tuples (order-free compare)."""
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
