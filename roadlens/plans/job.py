@@ -5,6 +5,8 @@ Config (a mapping, or a YAML/JSON file holding one)::
     input_locations:  {primary_person: ..., units: ..., damages: ..., charges: ...}
     output_locations: {output_1: ..., ..., output_10: ...}   # or a01 .. a10
     input_format: csv          # or parquet
+    typed: false               # cast the count columns to int (try_cast) at the source
+    infer_schema: false        # let Spark infer CSV column types (one extra pass)
     output_format: csv         # or parquet
     stage: true                # stage CSV inputs as Parquet once (default for csv)
     stage_location: ...        # default: a fresh folder under spark.checkpoint.dir
@@ -59,7 +61,8 @@ def run_job(
     """
     fmt_in = config.get("input_format", "csv")
     if tables is None:
-        tables = load_tables(spark, config["input_locations"], fmt=fmt_in)
+        tables = load_tables(spark, config["input_locations"], fmt=fmt_in,
+                             typed=config.get("typed", False), infer=config.get("infer_schema", False))
         if config.get("stage", fmt_in == "csv"):
             tables = stage_tables(spark, tables, config.get("stage_location") or scratch_path(spark, "stage"))
     outputs = config.get("output_locations", {})

@@ -48,14 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     Taken from the cluster's ``spark.checkpoint.dir``.  Only when the session
     names none (local runs, tests) is one set, under the warehouse directory.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (Spark Connect)
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         if warehouse.startswith("file:"):
             warehouse = warehouse[len("file:"):]
         current = os.path.join(warehouse, "_roadlens_checkpoints")
-        spark.sparkContext.setCheckpointDir(current)
-        current = spark.sparkContext.getCheckpointDir() or current
+        if sc:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
     return current.rstrip("/")
 
 

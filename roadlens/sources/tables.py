@@ -29,13 +29,19 @@ def load_tables(
     input_locations: dict[str, str],
     fmt: str = "csv",
     typed: bool = False,
+    infer: bool = False,
 ) -> CrashTables:
-    """Read the four configured tables (extra entries are ignored)."""
+    """Read the four configured tables.
+
+    Further entries (e.g. the endorsement and restriction files) are not
+    needed by any question; read them with :func:`read_table` when wanted.
+    """
     missing = [t for t in TABLE_COLUMNS if t not in input_locations]
     if missing:
         raise KeyError(f"input_locations lacks {missing}")
     return CrashTables(**{
-        t: read_table(spark, input_locations[t], fmt=fmt, table=t, typed=typed) for t in TABLE_COLUMNS
+        t: read_table(spark, input_locations[t], fmt=fmt, table=t, typed=typed, infer=infer)
+        for t in TABLE_COLUMNS
     })
 
 

@@ -113,3 +113,23 @@ def test_job_reports_failures_after_running_the_rest(spark, tables_small, tmp_ou
     else:
         raise AssertionError("expected a failure")
     assert read_table(spark, f"{tmp_out}/f/a02").count() == 1
+
+
+def test_inferred_schema_read(spark, tmp_out):
+    path = f"{tmp_out}/raw.csv"
+    with open(path, "w") as fh:
+        fh.write("Crash_ID,Death_Cnt\n1,2\n2,0\n")
+    df = read_table(spark, path, fmt="csv", infer=True)
+    assert dict(df.dtypes) == {"crash_id": "int", "death_cnt": "int"}
+
+
+def test_job_with_inferred_types_gives_the_same_answers(spark, tables_small, tmp_out):
+    inputs = {}
+    for name, df in tables_small.as_dict().items():
+        inputs[name] = f"{tmp_out}/inf/{name}"
+        write_result(df, inputs[name])
+    config = {"input_locations": inputs, "infer_schema": True, "stage": False,
+              "output_locations": {"a06": f"{tmp_out}/inf_out/a06", "a01": f"{tmp_out}/inf_out/a01"}}
+    written = run_job(spark, config)
+    for name in ("a01", "a06"):
+        assert rows(read_table(spark, written[name])) == rows(_as_strings(ANALYSES[name](tables_small))), name
