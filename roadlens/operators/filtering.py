@@ -1,19 +1,17 @@
 """Semi / anti filtering, null-aware NOT IN, and top-N dimension filters.
 
-Two families:
-
-* ``keep_matching`` / ``drop_matching``: plain ``left_semi`` / ``left_anti``
-  joins.  Catalyst may push them below aggregates and picks broadcast or
-  sort-merge from sizes (AQE re-checks at runtime).
-* ``distinct_matching`` / ``distinct_not_matching``: distinct rows of one
-  table whose key does (not) occur in another.  Catalyst would push a semi or
-  anti join below the ``distinct`` (it is an aggregate on the join key).  When
-  the key list is large that plan shuffles raw rows by the key, and a hot key
-  (one crash with a third of all rows) lands in one task.  Joining the
-  *deduplicated* key list with an inner join (semi) or a left outer join plus
-  a NULL test (anti) keeps the aggregate below the join: copies collapse map
-  side, a hot key arrives as a handful of rows, and AQE can still turn the
-  join into a broadcast when the key list turns out small.
+``keep_matching`` / ``drop_matching`` are ``left_semi`` / ``left_anti`` joins
+against the *deduplicated* key list of the other table, so a hot key on that
+side is one row before it is shuffled (AQE can split the left side, not the
+right side, of a semi or anti join).
+
+``distinct_matching`` / ``distinct_not_matching`` deduplicate first and
+filter after.  Catalyst moves a semi / anti join below that ``distinct``
+only when the key list can be broadcast (the join then runs map side, before
+any shuffle); with a large key list the join stays above, so copies collapse
+in the map-side partial aggregate and a hot crash reaches the join as a
+handful of rows.  ``tests/skew_probe.py`` measures this with one crash
+holding a third of all rows.
 """
 
 from __future__ import annotations
@@ -23,9 +21,6 @@ from pyspark.sql import functions as F
 
 from roadlens.operators.aggregate import count_by, top_k_by_count, top_k_by_measure
 
-_HIT = "__roadlens_hit"
-
-
 def key_list(other: DataFrame, keys: list[str], other_keys: list[str] | None = None) -> DataFrame:
     """Distinct key tuples of ``other``, renamed to ``keys``."""
     src = other_keys or keys
@@ -44,15 +39,12 @@ def drop_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame
 
 def distinct_matching(df: DataFrame, cols: list[str], other: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct ``cols`` rows of ``df`` whose ``keys`` (a subset of cols) occur in ``other``."""
-    rows = df.select(*cols).distinct()
-    return rows.join(key_list(other, keys), on=keys, how="inner").select(*cols)
+    return keep_matching(df.select(*cols).distinct(), other, keys)
 
 
 def distinct_not_matching(df: DataFrame, cols: list[str], other: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct ``cols`` rows of ``df`` whose ``keys`` do not occur in ``other``; NULL keys stay."""
-    rows = df.select(*cols).distinct()
-    hits = key_list(other, keys).withColumn(_HIT, F.lit(True))
-    return rows.join(hits, on=keys, how="left").filter(F.col(_HIT).isNull()).select(*cols)
+    return drop_matching(df.select(*cols).distinct(), other, keys)
 
 
 def drop_not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None) -> DataFrame:
@@ -73,8 +65,7 @@ def drop_not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None
         .when(F.count_if(F.col(key).isNull()) > 0, F.lit(2))
         .otherwise(F.lit(1))
     ).scalar()
-    hits = values.filter(F.col(key).isNotNull()).distinct().withColumn(_HIT, F.lit(True))
-    kept = df.join(hits, on=key, how="left").filter(F.col(_HIT).isNull()).drop(_HIT)
+    kept = drop_matching(df, values.filter(F.col(key).isNotNull()), [key])
     return kept.filter((mode == 0) | ((mode == 1) & F.col(key).isNotNull()))
 
 

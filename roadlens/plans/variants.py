@@ -19,6 +19,7 @@ from roadlens.operators import (
     drop_not_in,
     first_per_key,
     having_count,
+    keep_matching,
     limit_offset,
     sum_having,
     top_k_by_measure,
@@ -82,9 +83,15 @@ def bottom_makes(t: CrashTables) -> DataFrame:
 
 
 def top_makes_in(t: CrashTables) -> DataFrame:
-    """a03 written with an IN subquery; Catalyst turns it into a semi join."""
+    """a03 in its IN-subquery form: distinct units WHERE crash_id IN (fatal crashes).
+
+    Spark rewrites ``col.isin(subquery)`` into a semi join, but only after
+    pushing the predicate below the ``distinct`` onto raw unit rows, where a
+    hot crash meets in one task.  So the semi join is written out, on the
+    distinct rows.
+    """
     fatal_crashes = A._fatal_drivers_no_airbag(t).select(CRASH)
-    cars = t.units.filter(F.col(CRASH).isin(fatal_crashes)).select(CRASH, UNIT, MAKE).distinct()
+    cars = keep_matching(t.units.select(CRASH, UNIT, MAKE).distinct(), fatal_crashes, [CRASH])
     return top_k_by_measure(count_by(cars, MAKE, "cnt"), "cnt", MAKE, 5)
 
 
@@ -122,8 +129,11 @@ def zip_dedup_first(t: CrashTables) -> DataFrame:
     """a08 with the dedup first: first person row per (crash, zip) by unit, then the alcohol IN filter."""
     p = t.primary_person.select(CRASH, "drvr_zip", UNIT)
     firsts = first_per_key(p, [CRASH, "drvr_zip"], [F.col(UNIT).asc_nulls_last()])
-    alcohol_crashes = A.alcohol_units(t).select(CRASH)
-    kept = firsts.filter(F.col(CRASH).isin(alcohol_crashes) & F.col("drvr_zip").isNotNull())
+    # One row per (crash, zip) already; the distinct costs no shuffle (the window
+    # output is partitioned by these keys) and keeps Catalyst from moving the
+    # crash filter below the window onto raw person rows when the list is large.
+    pairs = firsts.select(CRASH, "drvr_zip").distinct().filter(F.col("drvr_zip").isNotNull())
+    kept = keep_matching(pairs, A.alcohol_units(t), [CRASH])
     return top_k_by_measure(count_by(kept, "drvr_zip", "tot_count"), "tot_count", "drvr_zip", 5)
 
 

@@ -36,7 +36,7 @@ def test_top_1_and_first_per_key_limit_before_the_shuffle(spark):
     for name in ("a07", "s_top1", "s_first", "v_zip_dedup_first"):
         p = plan(spark, name)
         assert "WindowGroupLimit" in p, name
-        assert re.search(r"Exchange hashpartitioning[^\n]*\n\s*\+- WindowGroupLimit[^\n]*Partial", p), name
+        assert re.search(r"Exchange hashpartitioning[^\n]*\n[\s:]*\+- WindowGroupLimit[^\n]*Partial", p), name
 
 
 def test_top_n_lists_are_broadcast(spark):
@@ -63,14 +63,28 @@ def test_equality_filter_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan(spark, "s_having")
 
 
-def test_dedup_happens_before_the_key_join(spark):
-    """distinct(crash, unit, make) is aggregated (partial + exchange) below the crash_id join."""
-    p = plan(spark, "a03")
-    join_at = p.index("HashJoin")
+def test_key_join_waits_for_the_dedup_when_the_list_is_large(spark):
+    """With a key list too big to broadcast, distinct(crash, unit, make) stays below the crash_id join.
+
+    (With a small list Catalyst moves the semi join below the distinct and runs
+    it map side as a broadcast, which is better still.)
+    """
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, "a03")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join_at = p.index("SortMergeJoin")
     dedup = re.search(r"HashAggregate\(keys=\[crash_id#\d+, unit_nbr#\d+, veh_make_id#\d+\]", p)
     assert dedup and dedup.start() > join_at
 
 
+def test_small_key_list_is_a_map_side_broadcast_filter(spark):
+    p = plan(spark, "a03")
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftSemi", p)
+
+
 def _tree(text: str):
     """Parse the indented plan text into (name, children) nodes."""
     lines = [l for l in text.splitlines() if re.search(r"[+:]- |^\S", l) and "== " not in l]
