@@ -12,7 +12,7 @@ Config (a mapping, or a YAML/JSON file holding one)::
     stage_location: ...        # default: a fresh folder under spark.checkpoint.dir
     single_file: false         # coalesce each (small) result to one file
 
-Run with ``spark-submit roadlens/plans/job.py --config params.yml``.
+Run with ``spark-submit run_job.py --config params.yml`` from the repository root.
 """
 
 from __future__ import annotations
