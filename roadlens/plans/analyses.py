@@ -162,7 +162,11 @@ def a07_top_ethnicity_per_body_style(t: CrashTables) -> DataFrame:
     bodies = t.units.filter(not_in_values("veh_body_styl_id", BODY_STYLES_EXCLUDED))
     bodies = bodies.select(CRASH, UNIT, "veh_body_styl_id").distinct()
     people = t.primary_person.filter(not_in_values("prsn_ethnicity_id", ETHNICITIES_EXCLUDED))
-    # Persons per (unit, ethnicity) first: the join then carries counts, not persons.
+    # Persons per (unit, ethnicity) first: the join then carries counts, not persons,
+    # and copies of one unit collapse map side.  Joining raw persons on (crash, unit)
+    # saves one shuffle but leaves a hot unit to AQE's skew split, which only acts
+    # past its size thresholds (tests/skew_probe.py: 4.3k vs 11.8k rows in the
+    # busiest task with a third of all rows in one crash).
     people = count_by(people, [CRASH, UNIT, "prsn_ethnicity_id"], "n_persons")
     pairs = people.join(bodies, [CRASH, UNIT])
     counted = pairs.groupBy("prsn_ethnicity_id", "veh_body_styl_id").agg(
