@@ -1,0 +1,81 @@
+"""Operators against plain-Python brute force on random small tables (NULLs and ties included)."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from roadlens.functions import measure_then_key
+from roadlens.operators import (
+    count_by,
+    distinct_matching,
+    distinct_not_matching,
+    drop_not_in,
+    rank_band,
+    top_k_by_count,
+)
+
+KEYS = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e", "f"]))
+PAIRS = st.lists(st.tuples(KEYS, KEYS), max_size=25)
+SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
+SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _null_last(x):
+    return (x is None, x or "")
+
+
+@SETTINGS
+@given(left=PAIRS, right=st.lists(KEYS, max_size=8))
+def test_distinct_matching_and_not_matching(spark, left, right):
+    df = spark.createDataFrame(left, SCHEMA)
+    other = spark.createDataFrame([(r, None) for r in right], SCHEMA)
+    present = {r for r in right if r is not None}
+    want_in = sorted({(k, v) for k, v in left if k is not None and k in present}, key=lambda r: tuple(map(_null_last, r)))
+    want_out = sorted({(k, v) for k, v in left if k is None or k not in present},
+                      key=lambda r: tuple(map(_null_last, r)))
+    got_in = sorted((tuple(r) for r in distinct_matching(df, ["k", "v"], other, ["k"]).collect()),
+                    key=lambda r: tuple(map(_null_last, r)))
+    got_out = sorted((tuple(r) for r in distinct_not_matching(df, ["k", "v"], other, ["k"]).collect()),
+                     key=lambda r: tuple(map(_null_last, r)))
+    assert got_in == want_in
+    assert got_out == want_out
+
+
+@SETTINGS
+@given(left=st.lists(KEYS, max_size=12), right=st.lists(KEYS, max_size=6))
+def test_drop_not_in_is_sql_not_in(spark, left, right):
+    df = spark.createDataFrame([(k, None) for k in left], SCHEMA)
+    other = spark.createDataFrame([(k, None) for k in right], SCHEMA)
+    if not right:
+        want = left
+    elif None in right:
+        want = []
+    else:
+        want = [k for k in left if k is not None and k not in right]
+    got = [r[0] for r in drop_not_in(df.select("k"), "k", other.select("k")).collect()]
+    assert sorted(got, key=_null_last) == sorted(want, key=_null_last)
+
+
+@SETTINGS
+@given(rows=PAIRS, k=st.integers(min_value=1, max_value=4))
+def test_top_k_by_count_brute_force(spark, rows, k):
+    df = spark.createDataFrame(rows, SCHEMA)
+    counts = Counter(v for _, v in set(rows))  # distinct (k, v) entities, counted per v
+    order = sorted(counts.items(), key=lambda kv: (-kv[1], _null_last(kv[0])))
+    got = [tuple(r) for r in top_k_by_count(df, ["k"], "v", k).collect()]
+    assert got == order[:k]
+
+
+@SETTINGS
+@given(rows=st.lists(KEYS, max_size=30), lo=st.integers(min_value=1, max_value=4), width=st.integers(0, 3))
+def test_rank_band_brute_force(spark, rows, lo, width):
+    hi = lo + width
+    df = spark.createDataFrame([(r, None) for r in rows], SCHEMA)
+    counted = count_by(df, "k", "n")
+    order = sorted(Counter(rows).items(), key=lambda kv: (-kv[1], _null_last(kv[0])))
+    got = [tuple(r) for r in rank_band(counted, measure_then_key("n", "k"), lo, hi).collect()]
+    assert got == order[lo - 1:hi]
