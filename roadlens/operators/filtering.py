@@ -66,7 +66,9 @@ def drop_not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None
         .otherwise(F.lit(1))
     ).scalar()
     kept = drop_matching(df, values.filter(F.col(key).isNotNull()), [key])
-    return kept.filter((mode == 0) | ((mode == 1) & F.col(key).isNotNull()))
+    # keep-row rule per mode, indexed by the one scalar value (one subquery in the plan)
+    rule = F.array(F.lit(True), F.col(key).isNotNull(), F.lit(False))
+    return kept.filter(F.element_at(rule, mode + 1))
 
 
 def top_values(df: DataFrame, attr: str, n: int, entity_keys: list[str] | None = None) -> DataFrame:
