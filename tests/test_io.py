@@ -133,3 +133,12 @@ def test_job_with_inferred_types_gives_the_same_answers(spark, tables_small, tmp
     written = run_job(spark, config)
     for name in ("a01", "a06"):
         assert rows(read_table(spark, written[name])) == rows(_as_strings(ANALYSES[name](tables_small))), name
+
+
+def test_shared_folder_comes_from_the_checkpoint_dir(spark):
+    from roadlens.session import scratch_path, shared_dir
+
+    ckpt = spark.sparkContext.getCheckpointDir()
+    assert ckpt and shared_dir(spark) == ckpt.rstrip("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(shared_dir(spark) + "/")
