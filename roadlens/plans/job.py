@@ -9,6 +9,7 @@ Config (a mapping, or a YAML/JSON file holding one)::
     infer_schema: false        # let Spark infer CSV column types (one extra pass)
     output_format: csv         # or parquet
     stage: true                # stage CSV inputs as Parquet once (default for csv)
+    persist: false             # keep the inputs in memory/disk between the analyses instead
     stage_location: ...        # default: a fresh folder under spark.checkpoint.dir
     single_file: false         # coalesce each (small) result to one file
 
@@ -22,6 +23,7 @@ import json
 import sys
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,19 +67,26 @@ def run_job(
                              typed=config.get("typed", False), infer=config.get("infer_schema", False))
         if config.get("stage", fmt_in == "csv"):
             tables = stage_tables(spark, tables, config.get("stage_location") or scratch_path(spark, "stage"))
+    if config.get("persist", False):
+        # Blocks lost with an executor are recomputed from the (short) lineage.
+        tables = tables.map(lambda name, df: df.persist(StorageLevel.MEMORY_AND_DISK))
     outputs = config.get("output_locations", {})
     written: dict[str, str] = {}
     failed: dict[str, Exception] = {}
-    for name, fn in (analyses or ANALYSES).items():
-        path = output_location(name, outputs)
-        if path is None:
-            continue
-        try:
-            write_result(fn(tables), path, fmt=config.get("output_format", "csv"),
-                         single_file=config.get("single_file", False))
-            written[name] = path
-        except Exception as exc:  # noqa: BLE001 - reported below
-            failed[name] = exc
+    try:
+        for name, fn in (analyses or ANALYSES).items():
+            path = output_location(name, outputs)
+            if path is None:
+                continue
+            try:
+                write_result(fn(tables), path, fmt=config.get("output_format", "csv"),
+                             single_file=config.get("single_file", False))
+                written[name] = path
+            except Exception as exc:  # noqa: BLE001 - reported below
+                failed[name] = exc
+    finally:
+        if config.get("persist", False):
+            tables.map(lambda name, df: df.unpersist())
     if failed:
         raise RuntimeError(f"analyses failed: {sorted(failed)}") from next(iter(failed.values()))
     return written

@@ -142,3 +142,10 @@ def test_shared_folder_comes_from_the_checkpoint_dir(spark):
     assert ckpt and shared_dir(spark) == ckpt.rstrip("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(shared_dir(spark) + "/")
+
+
+def test_job_with_persisted_inputs(spark, tables_small, tmp_out):
+    config = {"output_locations": {"a03": f"{tmp_out}/p/a03"}, "persist": True}
+    written = run_job(spark, config, tables=tables_small)
+    assert rows(read_table(spark, written["a03"])) == rows(_as_strings(ANALYSES["a03"](tables_small)))
+    assert not tables_small.units.is_cached
