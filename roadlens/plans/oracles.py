@@ -97,6 +97,7 @@ IO_SQL = {
     "o_csv_roundtrip": "select * from units",
     "o_csv_typed": f"select {UNIT_COLUMNS_SQL} from units",
     "o_views": "select veh_hnr_fl, count(*) as unit_rows from units group by veh_hnr_fl",
+    "o_sql_views": CRASH_SQL["a01"],
     "o_job_all": " union all ".join(
         f"select '{name}' as analysis, count(*) as row_count from ({CRASH_SQL[name]}) r_{name}"
         for name in JOB_ANALYSES

@@ -47,6 +47,16 @@ def o_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(spark.table("units"), "veh_hnr_fl", "unit_rows")
 
 
+def o_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL entry point: register the crash tables as views and ask a01 as SQL text."""
+    register_views(spark, crash_tables(spark, sf_dir))
+    return spark.sql(
+        "SELECT crash_id, count(*) AS male_death_count FROM primary_person "
+        "WHERE prsn_gndr_id = 'MALE' AND prsn_injry_sev_id = 'KILLED' "
+        "GROUP BY crash_id HAVING count(*) > 2"
+    )
+
+
 def o_job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run a01-a10 as one job into the shared folder; (analysis, row_count) of what was written."""
     root = scratch_path(spark, "job")
@@ -65,6 +75,7 @@ def build_queries() -> dict[str, Query]:
         "o_csv_roundtrip": o_csv_roundtrip,
         "o_csv_typed": o_csv_typed,
         "o_views": o_views,
+        "o_sql_views": o_sql_views,
         "o_job_all": o_job_all,
     })
     return out
