@@ -28,7 +28,8 @@ def main() -> None:
     root = tempfile.mkdtemp(prefix="roadlens-jobbench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
     spark = build_session(f"local[{cpus}]", app_name="roadlens-job-bench", shuffle_partitions=cpus * 2,
                           extra={"spark.driver.memory": "8g"})
-    spark.sparkContext.setCheckpointDir(f"{root}/checkpoints")
+    if not spark.sparkContext.getCheckpointDir():  # a cluster names its own shared folder
+        spark.sparkContext.setCheckpointDir(f"{root}/checkpoints")
     inputs = {"csv": {}, "parquet": {}}
     for name, df in crash_tables(spark, sf_dir).as_dict().items():
         inputs["csv"][name] = f"{root}/csv/{name}"
