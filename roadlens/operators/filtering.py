@@ -21,20 +21,28 @@ from pyspark.sql import functions as F
 
 from roadlens.operators.aggregate import count_by, top_k_by_count, top_k_by_measure
 
-def key_list(other: DataFrame, keys: list[str], other_keys: list[str] | None = None) -> DataFrame:
-    """Distinct key tuples of ``other``, renamed to ``keys``."""
+def key_list(other: DataFrame, keys: list[str], other_keys: list[str] | None = None, dedupe: bool = True) -> DataFrame:
+    """Key tuples of ``other`` renamed to ``keys``; distinct unless ``dedupe=False``."""
     src = other_keys or keys
-    return other.select(*[F.col(s).alias(k) for s, k in zip(src, keys)]).distinct()
+    out = other.select(*[F.col(s).alias(k) for s, k in zip(src, keys)])
+    return out.distinct() if dedupe else out
 
 
-def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``keys`` occur in ``other`` (NULL keys never match)."""
-    return df.join(key_list(other, keys), on=keys, how="left_semi")
+def keep_matching(df: DataFrame, other: DataFrame, keys: list[str], dedupe: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` occur in ``other`` (NULL keys never match).
+
+    ``dedupe=False`` when ``other``'s keys are unique already (a dimension's
+    primary key): the join then reads its shuffle directly, which AQE's skew
+    split needs to cut a hot key on the ``df`` side into several tasks.  With
+    the dedupe an aggregate sits between them and only ``df`` deduplicated
+    beforehand (``distinct_matching``) is safe from a hot key.
+    """
+    return df.join(key_list(other, keys, dedupe=dedupe), on=keys, how="left_semi")
 
 
-def drop_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``keys`` do not occur in ``other``; NULL-key rows stay."""
-    return df.join(key_list(other, keys), on=keys, how="left_anti")
+def drop_matching(df: DataFrame, other: DataFrame, keys: list[str], dedupe: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` do not occur in ``other``; NULL-key rows stay (see ``keep_matching``)."""
+    return df.join(key_list(other, keys, dedupe=dedupe), on=keys, how="left_anti")
 
 
 def distinct_matching(df: DataFrame, cols: list[str], other: DataFrame, keys: list[str]) -> DataFrame:
