@@ -1,12 +1,12 @@
-"""Hot part key in lineitem: does AQE's skew-join split spread the raw-row joins of s_topk / s_entities?
+"""Star-table queries with one key holding a third of its table's rows: busiest task per query.
 
 Usage: ``python tests/star_skew_probe.py <sf_dir> <scratch_dir> on|off``; prints one JSON line.
 
-A third of the lineitem rows are moved onto one part key and written as 8
-Parquet files (AQE splits a skewed partition along map-output blocks).  The
-skew thresholds are lowered to this data size (on large inputs the defaults,
-256 MB and 5x the median, are met by a hot key on their own); ``off`` runs the
-same with the skew split disabled, for comparison.
+For each query one table is rewritten so that a third of its rows carry the
+same key (moved rows, written as 8 Parquet files: AQE splits a skewed
+partition along map-output blocks).  AQE's skew thresholds are lowered to
+this data size (on large inputs the defaults, 256 MB and 5x the median, are
+met by a hot key on their own); ``off`` disables the skew split, to compare.
 """
 
 from __future__ import annotations
@@ -23,7 +23,19 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from roadlens.plans.star import STAR  # noqa: E402
 from roadlens.session import build_session  # noqa: E402
 
-KEYS = ["s_topk", "s_entities"]
+# query -> (table, columns set to one value on a third of its rows)
+HOT = {
+    "s_topk": ("lineitem", ["l_partkey"]),
+    "s_entities": ("lineitem", ["l_partkey"]),
+    "s_topn": ("lineitem", ["l_suppkey"]),
+    "s_having": ("lineitem", ["l_orderkey"]),
+    "s_except": ("lineitem", ["l_orderkey"]),
+    "s_first": ("events", ["user_id", "event_type"]),
+    "s_semi": ("orders", ["o_custkey"]),
+    "s_anti": ("orders", ["o_custkey"]),
+    "s_band": ("customer", ["c_nationkey"]),
+    "s_top1": ("orders", ["o_orderstatus", "o_orderpriority"]),
+}
 
 
 def main(argv: list[str]) -> None:
@@ -38,18 +50,29 @@ def main(argv: list[str]) -> None:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16384",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16384",
     })
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    hot_part = li.select(F.min("l_partkey")).first()[0]
-    moved = F.when(F.abs(F.hash("l_orderkey", "l_linenumber")) % 3 == 0, F.lit(hot_part)).otherwise(F.col("l_partkey"))
-    li.withColumn("l_partkey", moved).repartition(8).write.parquet(f"{scratch}/lineitem")
-    hot_li = spark.read.parquet(f"{scratch}/lineitem")
-    rows = hot_li.count()
 
-    def tbl(name):
-        return hot_li if name == "lineitem" else spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    def raw(name):
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    for key in KEYS:
+    heated, hot_rows = {}, {}
+    for table, cols in sorted(set((t, tuple(c)) for t, c in HOT.values())):
+        df = raw(table)
+        first = df.select(*cols).orderBy(*cols).first()
+        selected = F.abs(F.hash(*df.columns)) % 3 == 0
+        out = df.select(*[F.when(selected, F.lit(first[c])).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
+                          for c in df.columns])
+        path = f"{scratch}/{table}-{'-'.join(cols)}"
+        out.repartition(8).write.parquet(path)
+        heated[(table, cols)] = spark.read.parquet(path)
+        hot_rows[(table, cols)] = heated[(table, cols)].filter(
+            F.expr(" AND ".join(f"`{c}` <=> {repr(first[c])}" for c in cols))).count()
+
+    for key, (table, cols) in HOT.items():
         spark.sparkContext.setJobGroup(key, key)
+
+        def tbl(name, table=table, cols=tuple(cols)):
+            return heated[(table, cols)] if name == table else raw(name)
+
         STAR[key](tbl).write.format("noop").mode("overwrite").save()
     app = spark.sparkContext.applicationId
     spark.stop()
@@ -65,8 +88,11 @@ def main(argv: list[str]) -> None:
                 group = stage_group.get(ev["Stage ID"])
                 if group:
                     max_read[group] = max(max_read.get(group, 0), read)
-    print(json.dumps({"lineitem_rows": rows, "hot_rows": rows // 3, "skew_split": mode,
-                      "max_task_shuffle_records": max_read}))
+    print(json.dumps({
+        "skew_split": mode,
+        "queries": {k: {"hot_table": t, "hot_rows": hot_rows[(t, tuple(c))], "max_task_shuffle_records": max_read.get(k, 0)}
+                    for k, (t, c) in HOT.items()},
+    }))
 
 
 if __name__ == "__main__":

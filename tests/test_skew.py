@@ -28,13 +28,18 @@ def test_no_task_reads_the_hot_crash():
     assert not worst, f"tasks reading most of the hot crash: {worst} (hot crash ~{hot_rows:.0f} rows)"
 
 
-def test_aqe_splits_a_hot_part_key_in_the_star_joins():
-    """s_topk / s_entities join raw lineitem rows on l_partkey; AQE's skew split must cut the hot key."""
+def test_star_queries_spread_a_hot_key():
+    """Each s_* key with a third of its table on one key: no task reads most of that key's rows.
+
+    s_topk / s_entities join raw lineitem rows on l_partkey and rely on AQE's
+    skew split (thresholds lowered to the test size); the rest collapse the
+    hot key by partial aggregation, a window group limit or a bounded broadcast.
+    """
     scratch = tempfile.mkdtemp(prefix="roadlens-star-skew-", dir="/tmp")
     out = subprocess.run(
         [sys.executable, os.path.join(ROOT, "tests", "star_skew_probe.py"), SF_MEDIUM, scratch, "on"],
-        capture_output=True, text=True, timeout=900, check=True,
+        capture_output=True, text=True, timeout=1200, check=True,
     ).stdout.strip().splitlines()[-1]
-    report = json.loads(out)
-    for key, most in report["max_task_shuffle_records"].items():
-        assert most < 0.45 * report["hot_rows"], (key, most, report["hot_rows"])
+    report = json.loads(out)["queries"]
+    bad = {k: v for k, v in report.items() if v["max_task_shuffle_records"] > 0.45 * v["hot_rows"]}
+    assert not bad, bad
