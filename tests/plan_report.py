@@ -3,7 +3,7 @@
 Broadcast of unbounded sides is switched off (``autoBroadcastJoinThreshold=-1``)
 so every join that depends on data size shows its shuffle form; the explicit
 broadcasts of bounded top-N lists remain.  Usage:
-``python tests/plan_report.py [sf_dir] [skew_json] > PLANS.md``.
+``python tests/plan_report.py [sf_dir] [skew_json] [star_skew_json] > PLANS.md``.
 """
 
 from __future__ import annotations
@@ -41,6 +41,9 @@ def shape(text: str) -> dict:
 def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.001"
     skew = json.load(open(argv[1]))["max_task_shuffle_records"] if len(argv) > 1 else {}
+    if len(argv) > 2:  # star_skew_probe.py output: one hot key per s_* query
+        for key, v in json.load(open(argv[2]))["queries"].items():
+            skew[key] = f"{v['max_task_shuffle_records']} (hot {v['hot_rows']})"
     spark = build_session("local[4]", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
     print("# Plan shapes\n")
     print("Generated by `tests/plan_report.py` (physical plans with size-based broadcast off, i.e. the shape on")
@@ -48,7 +51,9 @@ def main(argv: list[str]) -> None:
     print("every shuffle; each hash exchange under a grouping follows a map-side partial aggregate.")
     if skew:
         print("*Max task rows* is the largest number of shuffle records one task read with one crash holding a")
-        print("third of all rows (`tests/skew_probe.py`, sf0.01, 16 partitions, 90,000-row tables, hot crash 30,000).")
+        print("third of all rows (`tests/skew_probe.py`, sf0.01, 16 partitions, 90,000-row tables, hot crash 30,000);")
+        print("for s_* keys, with a third of the query's main table on one key (`tests/star_skew_probe.py`, AQE skew")
+        print("thresholds lowered to the test size), shown with the hot key's row count.")
     print()
     print("| key | exchanges | joins | top-k / window limit / subquery | max task rows |")
     print("| --- | --- | --- | --- | --- |")
