@@ -1,9 +1,11 @@
 """Semi / anti filtering, null-aware NOT IN, and top-N dimension filters.
 
 ``keep_matching`` / ``drop_matching`` are ``left_semi`` / ``left_anti`` joins
-against the *deduplicated* key list of the other table, so a hot key on that
-side is one row before it is shuffled (AQE can split the left side, not the
-right side, of a semi or anti join).
+against the deduplicated key list of the other table, so a hot key on that
+side is one row before it is shuffled (AQE can split only the left side of a
+semi or anti join).  When the other table's keys are unique already
+(``dedupe=False``) the join reads both shuffles directly, which is what AQE's
+skew split needs to cut a hot key on the left side.
 
 ``distinct_matching`` / ``distinct_not_matching`` deduplicate first and
 filter after.  Catalyst moves a semi / anti join below that ``distinct``
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from roadlens.operators.aggregate import count_by, top_k_by_count, top_k_by_measure
 
+
 def key_list(other: DataFrame, keys: list[str], other_keys: list[str] | None = None, dedupe: bool = True) -> DataFrame:
     """Key tuples of ``other`` renamed to ``keys``; distinct unless ``dedupe=False``."""
     src = other_keys or keys
@@ -63,9 +66,9 @@ def drop_not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None
     * otherwise: rows whose ``key`` is not NULL and not in ``other``.
 
     Spark plans a NOT IN subquery as a null-aware anti join that needs the
-    whole list broadcast (or a nested loop).  Here it is an equi-join on the
-    non-NULL keys plus one scalar subquery over ``other`` (a global
-    aggregate), so it scales with both sides.
+    whole list broadcast (or a nested loop).  Here it is an anti equi-join on
+    the non-NULL keys plus one scalar subquery over ``other`` (a global
+    aggregate) carrying the NULL rules, so it scales with both sides.
     """
     values = other.select(F.col(other_key or key).alias(key))
     mode = values.agg(
