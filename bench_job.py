@@ -41,6 +41,7 @@ def main() -> None:
         "csv_staged": {"input_format": "csv", "stage": True},
         "csv_persisted": {"input_format": "csv", "stage": False, "persist": True},
         "parquet": {"input_format": "parquet"},
+        "parquet_parallel4": {"input_format": "parquet", "parallel": 4},
     }
     times = {}
     for label, extra in variants.items():

@@ -10,6 +10,7 @@ Config (a mapping, or a YAML/JSON file holding one)::
     output_format: csv         # or parquet
     stage: true                # stage CSV inputs as Parquet once (default for csv)
     persist: false             # keep the inputs in memory/disk between the analyses instead
+    parallel: 1                # analyses submitted at once (Spark runs their jobs side by side)
     stage_location: ...        # default: a fresh folder under spark.checkpoint.dir
     single_file: false         # coalesce each (small) result to one file
 
@@ -22,6 +23,7 @@ import argparse
 import json
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -71,25 +73,32 @@ def run_job(
         # Blocks lost with an executor are recomputed from the (short) lineage.
         tables = tables.map(lambda name, df: df.persist(StorageLevel.MEMORY_AND_DISK))
     outputs = config.get("output_locations", {})
+    todo = {name: (fn, output_location(name, outputs)) for name, fn in (analyses or ANALYSES).items()}
+    todo = {name: item for name, item in todo.items() if item[1] is not None}
     written: dict[str, str] = {}
     failed: dict[str, Exception] = {}
+
+    def run_one(name: str) -> None:
+        fn, path = todo[name]
+        try:
+            write_result(fn(tables), path, fmt=config.get("output_format", "csv"),
+                         single_file=config.get("single_file", False))
+            written[name] = path
+        except Exception as exc:  # noqa: BLE001 - reported below
+            failed[name] = exc
+
     try:
-        for name, fn in (analyses or ANALYSES).items():
-            path = output_location(name, outputs)
-            if path is None:
-                continue
-            try:
-                write_result(fn(tables), path, fmt=config.get("output_format", "csv"),
-                             single_file=config.get("single_file", False))
-                written[name] = path
-            except Exception as exc:  # noqa: BLE001 - reported below
-                failed[name] = exc
+        # Each analysis is its own set of Spark jobs; with parallel > 1 they are
+        # submitted from several threads and share the executors (the tail of
+        # one analysis overlaps the scans of the next).
+        with ThreadPoolExecutor(max_workers=max(1, int(config.get("parallel", 1)))) as pool:
+            list(pool.map(run_one, todo))
     finally:
         if config.get("persist", False):
             tables.map(lambda name, df: df.unpersist())
     if failed:
         raise RuntimeError(f"analyses failed: {sorted(failed)}") from next(iter(failed.values()))
-    return written
+    return {name: written[name] for name in todo if name in written}
 
 
 def result_row_counts(spark: SparkSession, written: dict[str, str], fmt: str = "csv") -> DataFrame:

@@ -149,3 +149,11 @@ def test_job_with_persisted_inputs(spark, tables_small, tmp_out):
     written = run_job(spark, config, tables=tables_small)
     assert rows(read_table(spark, written["a03"])) == rows(_as_strings(ANALYSES["a03"](tables_small)))
     assert not tables_small.units.is_cached
+
+
+def test_job_runs_analyses_in_parallel(spark, tables_small, tmp_out):
+    config = {"output_locations": {name: f"{tmp_out}/par/{name}" for name in ANALYSES}, "parallel": 4}
+    written = run_job(spark, config, tables=tables_small)
+    assert list(written) == list(ANALYSES)
+    for name in ("a03", "a10"):
+        assert rows(read_table(spark, written[name])) == rows(_as_strings(ANALYSES[name](tables_small))), name
