@@ -140,3 +140,14 @@ def test_fan_out_joins_only_see_aggregates(spark, name):
     assert inner, name
     for j in inner:
         assert all(_aggregated(c) for c in j["children"]), (name, j["line"].strip())
+
+
+def test_every_plan_stays_in_the_jvm_and_prunes_columns(spark):
+    """No Python evaluation anywhere; no lineitem scan reads a column no question uses."""
+    for name in sorted(QUERIES):
+        if name.startswith("o_"):
+            continue
+        p = plan(spark, name)
+        assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p and "MapInPandas" not in p, name
+        for schema in re.findall(r"ReadSchema: struct<([^>]*)>", p):
+            assert "l_extendedprice" not in schema and "l_shipdate" not in schema, (name, schema)
