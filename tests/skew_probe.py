@@ -1,6 +1,8 @@
 """Run crash queries on tables where one crash holds a third of all rows; report per-task shuffle reads.
 
-Usage: ``python tests/skew_probe.py <sf_dir> <scratch_dir> key [key ...]``; prints one JSON line.
+Usage: ``python tests/skew_probe.py [--hot=copies|null] <sf_dir> <scratch_dir> key [key ...]``; prints one
+JSON line.  ``copies`` (default): one crash holds a third of the rows; ``null``: a third of the rows have a
+NULL crash_id.
 
 Broadcast joins and partition coalescing are switched off so every key join is a shuffle join, the
 shape the plans have when the key lists are far too large to broadcast.  The
@@ -51,7 +53,24 @@ def with_hot_crash(spark, tables, folder: str, share: float = 1 / 3, files: int
     return tables.map(heat)
 
 
+def with_null_crash(spark, tables, folder: str, files: int = 8):
+    """A third of the persons, units and charges rows lose their crash_id (NULL keys hash to one partition)."""
+    def heat(name, df):
+        if name != "damages":
+            cols = [F.when(F.abs(F.hash(*df.columns)) % 3 == 0, F.lit(None).cast("string")).otherwise(F.col(c))
+                    .alias(c) if c == "crash_id" else F.col(c) for c in df.columns]
+            df = df.select(*cols)
+        path = f"{folder}/{name}"
+        df.repartition(files).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return tables.map(heat)
+
+
 def main(argv: list[str]) -> None:
+    mode = "copies"
+    if argv and argv[0].startswith("--hot="):
+        mode = argv.pop(0).split("=", 1)[1]
     sf_dir, scratch, keys = argv[0], argv[1], argv[2:]
     spark = build_session("local[4]", app_name="roadlens-skew", shuffle_partitions=16, extra={
         "spark.eventLog.enabled": "true",
@@ -62,7 +81,10 @@ def main(argv: list[str]) -> None:
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     })
     fns = {**ANALYSES, **VARIANTS}
-    tables = with_hot_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables")
+    if mode == "null":
+        tables = with_null_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables")
+    else:
+        tables = with_hot_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables")
     sizes = {name: df.count() for name, df in tables.as_dict().items()}
     for key in keys:
         spark.sparkContext.setJobGroup(key, key)
@@ -84,7 +106,7 @@ def main(argv: list[str]) -> None:
                 group = stage_group.get(ev["Stage ID"])
                 if group:
                     max_read[group] = max(max_read.get(group, 0), read)
-    print(json.dumps({"sizes": sizes, "hot_share": 1 / 3, "max_task_shuffle_records": max_read}))
+    print(json.dumps({"hot": mode, "sizes": sizes, "hot_share": 1 / 3, "max_task_shuffle_records": max_read}))
 
 
 if __name__ == "__main__":

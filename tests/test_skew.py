@@ -8,16 +8,25 @@ import subprocess
 import sys
 import tempfile
 
+import pytest
+
 from conftest import ROOT, SF_MEDIUM, SF_SMALL
 from roadlens.plans.analyses import ANALYSES
 from roadlens.plans.variants import VARIANTS
 
 
-def test_no_task_reads_the_hot_crash():
-    keys = sorted({*ANALYSES, *VARIANTS})
+# Keys whose plans join, anti-join or window on crash_id: where a NULL key could pile up.
+NULL_SENSITIVE = ["a02", "a03", "a04", "a05", "a07", "a08", "a09", "a10", "v_bottom_makes",
+                  "v_no_damage_not_in", "v_non_female_pairs", "v_zip_dedup_first"]
+
+
+@pytest.mark.parametrize("hot", ["copies", "null"])
+def test_no_task_reads_the_hot_crash(hot):
+    """One crash (copies of a real one), or the NULL crash_id, holds a third of the rows."""
+    keys = sorted({*ANALYSES, *VARIANTS}) if hot == "copies" else NULL_SENSITIVE
     scratch = tempfile.mkdtemp(prefix="roadlens-skew-", dir="/tmp")
     out = subprocess.run(
-        [sys.executable, os.path.join(ROOT, "tests", "skew_probe.py"), SF_SMALL, scratch, *keys],
+        [sys.executable, os.path.join(ROOT, "tests", "skew_probe.py"), f"--hot={hot}", SF_SMALL, scratch, *keys],
         capture_output=True, text=True, timeout=1500, check=True,
     ).stdout.strip().splitlines()[-1]
     report = json.loads(out)
