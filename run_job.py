@@ -1,8 +1,9 @@
 """Batch job entry point: ``spark-submit run_job.py --config params.yml``.
 
 The config names the four input tables and the ten output folders (see
-``roadlens/plans/job.py``).  Ship the package with ``--py-files`` (a zip of
-``roadlens/``) when the executors do not share this folder.
+``roadlens/plans/job.py``).  Only the driver imports ``roadlens``: the plans
+use built-in expressions only, so no Python code runs on the executors and
+nothing has to be shipped to them.
 """
 
 import sys
