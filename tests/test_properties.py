@@ -6,6 +6,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.functions import measure_then_key
@@ -14,6 +15,8 @@ from roadlens.operators import (
     distinct_matching,
     distinct_not_matching,
     drop_not_in,
+    first_per_key,
+    having_count,
     rank_band,
     top_k_by_count,
 )
@@ -79,3 +82,29 @@ def test_rank_band_brute_force(spark, rows, lo, width):
     order = sorted(Counter(rows).items(), key=lambda kv: (-kv[1], _null_last(kv[0])))
     got = [tuple(r) for r in rank_band(counted, measure_then_key("n", "k"), lo, hi).collect()]
     assert got == order[lo - 1:hi]
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(KEYS, st.integers(0, 5), st.integers(0, 1000)), max_size=25, unique_by=lambda r: r[2]))
+def test_first_per_key_brute_force(spark, rows):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("t", T.IntegerType()),
+                           T.StructField("id", T.IntegerType())])
+    df = spark.createDataFrame(rows, schema)
+    got = sorted((tuple(r) for r in first_per_key(df, ["k"], [F.col("t").asc(), F.col("id").asc()]).collect()),
+                 key=lambda r: _null_last(r[0]))
+    best = {}
+    for k, t, i in rows:
+        if k not in best or (t, i) < best[k][1:]:
+            best[k] = (k, t, i)
+    assert got == sorted(best.values(), key=lambda r: _null_last(r[0]))
+
+
+@SETTINGS
+@given(rows=st.lists(KEYS, max_size=30), threshold=st.integers(0, 4), inclusive=st.booleans())
+def test_having_count_brute_force(spark, rows, threshold, inclusive):
+    df = spark.createDataFrame([(r, None) for r in rows], SCHEMA)
+    got = sorted((tuple(r) for r in having_count(df, ["k"], threshold, "n", inclusive).collect()),
+                 key=lambda r: _null_last(r[0]))
+    want = sorted(((k, n) for k, n in Counter(rows).items() if (n >= threshold if inclusive else n > threshold)),
+                  key=lambda r: _null_last(r[0]))
+    assert got == want
