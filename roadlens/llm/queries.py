@@ -9,8 +9,20 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.common import fold, table
 from roadlens.llm.near_dedup import near_duplicates
+from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import quality_classifier
 from roadlens.llm.quality_rules import quality_rules
+from roadlens.llm.suffix_tree import suffix_tree_scores
+from roadlens.llm.toxicity import toxicity
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_scores(table(spark, sf_dir, "documents"))
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,14 +33,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": op4_toxicity,
+    "op5_suffix_tree": op5_suffix_tree,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
+    "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

@@ -4,20 +4,22 @@ A word is ``[^\\x20\\x09-\\x0D]+``.  Those separators are ASCII, so words can be
 an Arrow string column without decoding it.  A column is taken in blocks of a few megabytes; a text is
 never cut, so one very long text makes one larger block.
 
-Words, lines and shingles are compared by 64-bit hashes: a sum of random odd weights by position times the
-byte (multilinear hashing), then a mixer.
+Words, lines and shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 BLOCK_BYTES = 4 << 20
-_SPAN = 1 << 16
+#: Longer segments are hashed one by one.
+LONG = 4096
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -41,25 +43,27 @@ def weights(n: int, salt: int = 0) -> np.ndarray:
     return mix64(seeds) | np.uint64(1)
 
 
-_NEAR = weights(_SPAN)
-
-
 def segment_hash(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hash of each segment ``data[starts[i]:starts[i] + lengths[i]]``; empty segments hash to 0."""
-    out = np.zeros(len(starts), dtype=np.uint64)
-    full = lengths > 0
-    if not full.any():
-        return out
-    lens = lengths[full]
-    begin = np.concatenate(([0], np.cumsum(lens)[:-1]))
-    position = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(begin, lens)
-    values = data[position + np.repeat(starts[full], lens)].astype(np.uint64) + np.uint64(1)
-    if int(lens.max()) <= _SPAN:
-        values *= _NEAR[position]
-    else:  # weights of long segments are products, so the table stays small
-        values *= _NEAR[position & (_SPAN - 1)]
-        values *= weights(int(lens.max()) // _SPAN + 1, 1 << 32)[position >> 16]
-    out[full] = mix64(np.add.reduceat(values, begin) + lens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    """Hash of each segment ``data[starts[i]:starts[i] + lengths[i]]``, eight bytes at a time.
+
+    Different segments of the same length up to eight bytes never share a hash.
+    """
+    out = mix64(lengths.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    long = lengths > LONG
+    rows = np.flatnonzero((lengths > 0) & ~long)
+    done = 0
+    while len(rows):
+        left = lengths[rows] - done
+        loaded = eights[starts[rows] + done]
+        short = left < 8
+        loaded[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[rows] = mix64(out[rows] ^ loaded)
+        rows, done = rows[left > 8], done + 8
+    for i in np.flatnonzero(long):
+        raw = data[starts[i]:starts[i] + lengths[i]].tobytes()
+        out[i] = np.uint64(int.from_bytes(blake2b(raw, digest_size=8).digest(), "little"))
     return out
 
 
@@ -155,6 +159,41 @@ def blocks(text: pa.Array, lower: bool = False, size: int = BLOCK_BYTES) -> Iter
 
 
 def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted distinct hashes, a position of each, index of each input in them)."""
-    values, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    return values, first, inverse.reshape(-1)
+    """(distinct hashes in order of appearance, the first position of each, index of each input in them)."""
+    codes, values = pd.factorize(hashes)
+    first = np.empty(len(values), dtype=np.int64)
+    first[codes[::-1]] = np.arange(len(hashes) - 1, -1, -1)
+    return values, first, codes
+
+
+class Memory:
+    """Numbers about words, worked out once for each distinct word and remembered by its hash.
+
+    Holds at most ``most`` words; when a block would exceed that, it starts anew.
+    """
+
+    def __init__(self, width: int, most: int = 2_000_000) -> None:
+        self.width, self.most = width, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.values = np.zeros((0, self.width), dtype=np.int32)
+
+    def look_up(self, hashes: np.ndarray, compute: Callable[[int], tuple[int, ...]]) -> np.ndarray:
+        """A row for each of the distinct ``hashes``; ``compute(i)`` gives that of the i-th if it is new."""
+        if len(self.hashes) + len(hashes) > self.most:
+            self._clear()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), dtype=bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            new = new[np.argsort(hashes[new])]
+            found = np.array([compute(i) for i in new.tolist()], dtype=np.int32).reshape(len(new), self.width)
+            place = np.searchsorted(self.hashes, hashes[new])
+            self.hashes = np.insert(self.hashes, place, hashes[new])
+            self.values = np.insert(self.values, place, found, axis=0)
+            at = np.searchsorted(self.hashes, hashes)
+        return self.values[at]
