@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import stage, table
+from roadlens.llm.mixing import mix_documents
 from roadlens.llm.near_dedup import near_duplicates
+from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import quality_classifier
 from roadlens.llm.quality_rules import quality_rules
 
@@ -34,7 +36,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-STAGES = [("quality rules", rules), ("quality classifier", classifier), ("near-dedup", near_dedup)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target weights of sources, languages and topics."""
+    return mix_documents(docs).where("kept").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with their ids."""
+    return pack_documents(docs)
+
+
+STAGES = [("quality rules", rules), ("quality classifier", classifier), ("near-dedup", near_dedup),
+          ("mixing", mixing), ("packing", packing)]
 
 #: Models and iterations are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -8,14 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import fold, table
+from roadlens.llm.knn_join import knn_join, scaled
+from roadlens.llm.mixing import mix_documents
 from roadlens.llm.near_dedup import near_duplicates
 from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import quality_classifier
 from roadlens.llm.quality_rules import quality_rules
+from roadlens.llm.sharding import shard_documents
 from roadlens.llm.suffix_tree import suffix_tree_scores
+from roadlens.llm.token_counts import token_counts
 from roadlens.llm.toxicity import toxicity
 
 
+def op1_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = scaled(table(spark, sf_dir, "embeddings"))
+    return knn_join(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -37,18 +54,65 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"), carry=["doc_id", "source", "lang"])
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_knn_join": op1_knn_join,
+    "op2_sharding": op2_sharding,
+    "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_tree": op5_suffix_tree,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
     "op8_packing": op8_packing,
+    "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP6_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \\x09-\\x0D]+'), x -> x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+    THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM w
+), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both
+  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (SELECT a, b FROM p WHERE 100 * both >= 85 * (na + nb - both)),
+l AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM s JOIN c ON c.x = s.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_knn_join": OP1_SQL, "op6_near_duplicates": OP6_SQL}
