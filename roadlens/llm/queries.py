@@ -78,10 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 OP1_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id
@@ -96,18 +96,18 @@ OP6_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[ \\x09-\\x0D]+'), x -> x <> '') AS w
+    '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), s AS (
   SELECT doc_id, CASE WHEN len(w) >= 5
-    THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+    THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
   FROM w
 ), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
   FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
-), e AS (SELECT a, b FROM p WHERE 100 * both >= 85 * (na + nb - both)),
+), e AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (na + nb - shared)),
 l AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
 c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
