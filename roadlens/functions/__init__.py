@@ -34,9 +34,12 @@ def not_in_values(c: str | Column, values: list[str]) -> Column:
     return ~col(c).isin(*values)
 
 
-def to_int(c: str | Column) -> Column:
-    """String count to int; a value that is not a number becomes NULL."""
-    return col(c).try_cast("int")
+def to_number(c: str | Column) -> Column:
+    """String count to a decimal ('6', '6.0' and '1e2' are numbers); what is not a number becomes NULL.
+
+    Wide enough to add counts beyond the int range without overflow.
+    """
+    return col(c).try_cast("decimal(20,4)")
 
 
 def measure_then_key(measure: str, key: str, ascending: bool = False) -> list[Column]:
@@ -45,16 +48,4 @@ def measure_then_key(measure: str, key: str, ascending: bool = False) -> list[Co
     return [m, F.col(key).asc_nulls_last()]
 
 
-def count_distinct_rows(*columns: str) -> Column:
-    """Number of distinct tuples, a NULL field counting as a value.
-
-    Same answer as ``select(cols).distinct().count()``, unlike
-    ``count_distinct(a, b)`` which skips tuples holding a NULL.  As an
-    aggregate it lets Spark shuffle on the grouping key only.
-    """
-    return F.count_distinct(F.struct(*[F.col(c) for c in columns]))
-
-
-__all__ = [
-    "any_like", "col", "count_distinct_rows", "in_values", "measure_then_key", "not_in_values", "to_int",
-]
+__all__ = ["any_like", "col", "in_values", "measure_then_key", "not_in_values", "to_number"]

@@ -6,8 +6,9 @@ the original job computes, with two deliberate changes:
 
 * every top-k / top-1 / band has a total order: measure, then key ascending
   with NULL last (the original left ties open);
-* string counts are cast with ``try_cast`` to int and summed as bigint (the
-  original added two strings, which Spark 4 with ANSI on rejects).
+* string counts are cast with ``try_cast`` to decimals, added as such, and the
+  sum is a bigint (the original added two strings, which Spark 4 with ANSI on
+  rejects).
 
 Plans are shaped for very large, skewed inputs: aggregate before joining
 (a04, a07, a10 never build the many-to-many join rows the original counts,
@@ -21,13 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions import any_like, in_values, measure_then_key, not_in_values, to_int
+from roadlens.functions import any_like, in_values, measure_then_key, not_in_values, to_number
 from roadlens.operators import (
     count_by,
     count_rows,
     distinct_matching,
     distinct_not_matching,
     having_count,
+    keep_matching,
     rank_band,
     top_1_per_group,
     top_k_by_measure,
@@ -93,8 +95,18 @@ def a02_two_wheelers_booked(t: CrashTables) -> DataFrame:
 
 def a03_top_makes_fatal_no_airbag(t: CrashTables) -> DataFrame:
     """Top 5 makes among all units of crashes where a driver died with the airbag not deployed."""
-    cars = distinct_matching(t.units, [CRASH, UNIT, MAKE], _fatal_drivers_no_airbag(t), [CRASH])
-    return top_k_by_measure(count_by(cars, MAKE, "cnt"), "cnt", MAKE, 5)
+    return makes_by_units(t, _fatal_drivers_no_airbag(t))
+
+
+def makes_by_units(t: CrashTables, crashes: DataFrame) -> DataFrame:
+    """Top 5 makes by distinct units of the given crashes.
+
+    Units are counted per (crash, make) before the semi join: a crash with any
+    number of different units reaches the join as one row per make.
+    """
+    cars = count_by(t.units.select(CRASH, UNIT, MAKE).distinct(), [CRASH, MAKE], "n_cars")
+    made = keep_matching(cars, crashes, [CRASH]).groupBy(MAKE).agg(F.sum("n_cars").alias("cnt"))
+    return top_k_by_measure(made, "cnt", MAKE, 5)
 
 
 def _driver_unit_flag_pairs(drivers: DataFrame, units: DataFrame, out: str) -> DataFrame:
@@ -148,7 +160,7 @@ def casualties_per_make(t: CrashTables) -> DataFrame:
     """sum(injuries + deaths) per make over distinct (crash, make, injuries, deaths); make 'NA' and NULL out."""
     cars = t.units.filter(F.col(MAKE) != NOT_AVAILABLE)
     cars = cars.select(CRASH, MAKE, "tot_injry_cnt", "death_cnt").distinct()
-    casualties = to_int("tot_injry_cnt") + to_int("death_cnt")
+    casualties = to_number("tot_injry_cnt") + to_number("death_cnt")
     return cars.groupBy(MAKE).agg(F.sum(casualties).cast("bigint").alias("sum_cas"))
 
 

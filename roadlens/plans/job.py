@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.plans.analyses import ANALYSES
-from roadlens.session import scratch_path
+from roadlens.session import SCALE_CONF, delete_path, scratch_path
 from roadlens.sources.files import read_table, write_result
-from roadlens.sources.tables import CrashTables, load_tables, stage_tables
+from roadlens.sources.tables import CrashTables, load_tables, stage_tables, used_columns
 
 
 def load_config(path: str) -> dict:
@@ -61,17 +61,24 @@ def run_job(
     """Run every configured analysis; returns {analysis: output path}.
 
     One failing analysis does not stop the others; the failures are raised
-    together at the end.
+    together at the end.  Inputs that the job staged itself are deleted when it
+    ends, well or not.
     """
     fmt_in = config.get("input_format", "csv")
     if tables is None:
         tables = load_tables(spark, config["input_locations"], fmt=fmt_in,
                              typed=config.get("typed", False), infer=config.get("infer_schema", False))
         if config.get("stage", fmt_in == "csv"):
-            tables = stage_tables(spark, tables, config.get("stage_location") or scratch_path(spark, "stage"))
+            own_stage = None if config.get("stage_location") else scratch_path(spark, "stage")
+            try:
+                staged = stage_tables(spark, tables, own_stage or config["stage_location"])
+                return run_job(spark, config, tables=staged, analyses=analyses)
+            finally:
+                if own_stage:  # never a folder the user named
+                    delete_path(spark, own_stage)
     if config.get("persist", False):
         # Blocks lost with an executor are recomputed from the (short) lineage.
-        tables = tables.map(lambda name, df: df.persist(StorageLevel.MEMORY_AND_DISK))
+        tables = tables.map(lambda name, df: used_columns(name, df).persist(StorageLevel.MEMORY_AND_DISK))
     outputs = config.get("output_locations", {})
     todo = {name: (fn, output_location(name, outputs)) for name, fn in (analyses or ANALYSES).items()}
     todo = {name: item for name, item in todo.items() if item[1] is not None}
@@ -118,7 +125,10 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Run the crash analyses")
     parser.add_argument("--config", required=True)
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("roadlens-job").getOrCreate()
+    builder = SparkSession.builder.appName("roadlens-job")
+    for key, value in SCALE_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     try:
         for name, path in run_job(spark, load_config(args.config)).items():
             print(f"{name} -> {path}")

@@ -11,14 +11,14 @@ from __future__ import annotations
 CRASH_PREFIX = """q AS (SELECT l_orderkey o, l_linenumber n, l_partkey p, l_suppkey s, CAST(l_quantity AS INT) k,
              CAST(round(l_discount * 100) AS INT) d, CAST(round(l_tax * 100) AS INT) x,
              l_returnflag rf, l_linestatus ls FROM lineitem),
-units AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nbr,
+units AS (SELECT CASE WHEN p % 31 = 0 THEN NULL ELSE CAST(o AS VARCHAR(20)) END crash_id, CAST(n AS VARCHAR(20)) unit_nbr,
   CASE WHEN rf = 'R' THEN 'Y' ELSE 'N' END veh_hnr_fl,
   CASE p % 8 WHEN 0 THEN 'MOTORCYCLE' WHEN 1 THEN 'POLICE MOTORCYCLE' WHEN 2 THEN 'NA' WHEN 3 THEN 'NOT REPORTED'
     WHEN 4 THEN 'OTHER  (EXPLAIN IN NARRATIVE)' WHEN 5 THEN 'SEDAN' WHEN 6 THEN 'PICKUP' ELSE NULL END veh_body_styl_id,
   CASE WHEN p % 13 = 0 THEN 'NA' WHEN p % 13 = 12 THEN NULL ELSE 'MAKE_' || CAST(p % 13 AS VARCHAR(20)) END veh_make_id,
   CASE WHEN (s * 7 + n) % 14 = 0 THEN 'NA' WHEN (s * 7 + n) % 14 = 13 THEN NULL ELSE 'COLOR_' || CAST((s * 7 + n) % 14 AS VARCHAR(20)) END veh_color_id,
-  CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL ELSE 'ST_' || CAST((p + s) % 32 AS VARCHAR(20)) END veh_lic_state_id,
-  CAST(k % 4 AS VARCHAR(20)) tot_injry_cnt, CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS VARCHAR(20)) END death_cnt,
+  CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL WHEN (p + s) % 32 IN (5, 6) THEN 'Unknown' ELSE 'ST_' || CAST((p + s) % 32 AS VARCHAR(20)) END veh_lic_state_id,
+  CASE WHEN k % 6 = 5 THEN CAST(k % 4 AS VARCHAR(20)) || '.0' ELSE CAST(k % 4 AS VARCHAR(20)) END tot_injry_cnt, CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS VARCHAR(20)) END death_cnt,
   CASE WHEN s % 9 = 0 THEN 'UNDER INFLUENCE - ALCOHOL' ELSE 'NONE' END contrib_factr_1_id,
   CASE WHEN p % 10 = 0 THEN 'HAD BEEN DRINKING ALCOHOL' WHEN p % 10 = 1 THEN NULL ELSE 'NONE' END contrib_factr_2_id,
   CASE WHEN k % 25 = 0 THEN 'ALCOHOL' ELSE NULL END contrib_factr_p1_id,
@@ -26,7 +26,7 @@ units AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nb
   CASE WHEN d % 8 = 7 THEN 'DAMAGED 7 HIGHEST' WHEN d % 8 = 0 THEN NULL ELSE 'DAMAGED ' || CAST(d % 8 AS VARCHAR(20)) END veh_dmag_scl_2_id,
   CASE rf WHEN 'A' THEN 'PROOF OF LIABILITY INSURANCE' WHEN 'N' THEN 'SURETY BOND' ELSE NULL END fin_resp_type_id
   FROM q),
-primary_person AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nbr, CAST(s % 9 + 1 AS VARCHAR(20)) prsn_nbr,
+primary_person AS (SELECT CASE WHEN s % 10 = 9 AND p % 3 = 0 THEN NULL ELSE CAST(o AS VARCHAR(20)) END crash_id, CAST(n AS VARCHAR(20)) unit_nbr, CAST(s % 9 + 1 AS VARCHAR(20)) prsn_nbr,
   CASE WHEN p % 10 < 7 THEN 'DRIVER' ELSE 'PEDESTRIAN' END prsn_type_id,
   CASE WHEN s % 10 < 6 THEN 'MALE' WHEN s % 10 < 9 THEN 'FEMALE' ELSE 'NA' END prsn_gndr_id,
   CASE WHEN k <= 18 THEN 'KILLED' WHEN k <= 40 THEN 'NOT INJURED' ELSE NULL END prsn_injry_sev_id,
@@ -36,10 +36,14 @@ primary_person AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)
   CASE WHEN p % 12 = 0 THEN NULL WHEN p % 12 = 1 THEN 'NA' ELSE 'ST_' || CAST(p % 12 AS VARCHAR(20)) END drvr_lic_state_id,
   CASE WHEN p % 11 = 0 THEN NULL ELSE CAST(75000 + (s * 3 + n) % 40 AS VARCHAR(20)) END drvr_zip
   FROM q),
-damages AS (SELECT CAST(o_orderkey AS VARCHAR(20)) crash_id, o_orderpriority damaged_property FROM orders WHERE o_orderkey % 3 = 0),
+damages AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderkey AS VARCHAR(20)) END crash_id, o_orderpriority damaged_property FROM orders WHERE o_orderstatus = 'P'),
 charges AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nbr, CAST(s % 9 + 1 AS VARCHAR(20)) prsn_nbr,
   CASE s % 3 WHEN 0 THEN 'SPEEDING - OVER LIMIT' WHEN 1 THEN 'UNSAFE SPEED' ELSE 'NO INSURANCE' END charge
-  FROM q WHERE ls = 'O' AND p % 4 = 0)"""
+  FROM q WHERE ls = 'O' AND rf <> 'R'),
+endorse AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nbr,
+  CASE WHEN x < 3 THEN 'NONE' WHEN x < 6 THEN 'TANK VEHICLE' ELSE NULL END drvr_lic_endors_id FROM q),
+restrict AS (SELECT CAST(o AS VARCHAR(20)) crash_id, CAST(n AS VARCHAR(20)) unit_nbr,
+  CASE WHEN d < 5 THEN 'WITH CORRECTIVE LENSES' ELSE 'NONE' END drvr_lic_restric_id FROM q)"""
 
 CRASH_SQL = {
     "a01": """select crash_id, count(*) male_death_count from primary_person where prsn_gndr_id='MALE' and prsn_injry_sev_id='KILLED' group by crash_id having count(*)>2""",
@@ -48,7 +52,7 @@ CRASH_SQL = {
     "a04": """select count(*) count_licensed from primary_person p join (select distinct crash_id,veh_hnr_fl from units) u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id like '%CLASS%'""",
     "a04_hnr": """select count(*) count_licensed from primary_person p join (select distinct crash_id,veh_hnr_fl from units where veh_hnr_fl='Y') u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id like '%CLASS%'""",
     "a05": """select drvr_lic_state_id, count(drvr_lic_state_id) state_count from (select distinct crash_id, drvr_lic_state_id from primary_person p where not exists (select 1 from primary_person f where f.prsn_gndr_id='FEMALE' and f.crash_id=p.crash_id)) z group by drvr_lic_state_id order by state_count desc, drvr_lic_state_id asc nulls last limit 1""",
-    "a06": """select veh_make_id, sum_cas from (select veh_make_id, sum_cas, row_number() over (order by sum_cas desc nulls last, veh_make_id) rn from (select veh_make_id, cast(sum(cast(tot_injry_cnt as int)+cast(death_cnt as int)) as bigint) sum_cas from (select distinct crash_id,veh_make_id,tot_injry_cnt,death_cnt from units where veh_make_id<>'NA') a group by veh_make_id) b) c where rn between 3 and 5""",
+    "a06": """select veh_make_id, sum_cas from (select veh_make_id, sum_cas, row_number() over (order by sum_cas desc nulls last, veh_make_id) rn from (select veh_make_id, cast(sum(cast(tot_injry_cnt as decimal(20,4))+cast(death_cnt as decimal(20,4))) as bigint) sum_cas from (select distinct crash_id,veh_make_id,tot_injry_cnt,death_cnt from units where veh_make_id<>'NA') a group by veh_make_id) b) c where rn between 3 and 5""",
     "a07": """select prsn_ethnicity_id, veh_body_styl_id from (select *, row_number() over (partition by veh_body_styl_id order by cnt desc, prsn_ethnicity_id) rn from (select prsn_ethnicity_id, veh_body_styl_id, count(*) cnt from primary_person p join (select distinct crash_id,unit_nbr,veh_body_styl_id from units where veh_body_styl_id not in ('NA','OTHER  (EXPLAIN IN NARRATIVE)','NOT REPORTED')) u on p.crash_id=u.crash_id and p.unit_nbr=u.unit_nbr where prsn_ethnicity_id not in ('NA','UNKNOWN') group by prsn_ethnicity_id, veh_body_styl_id) a) b where rn=1""",
     "a08": """select drvr_zip, count(*) tot_count from (select distinct p.crash_id, drvr_zip from primary_person p join (select distinct crash_id from units where contrib_factr_1_id like '%ALCOHOL%' or contrib_factr_2_id like '%ALCOHOL%' or contrib_factr_p1_id like '%ALCOHOL%') a on p.crash_id=a.crash_id where drvr_zip is not null) z group by drvr_zip order by tot_count desc, drvr_zip limit 5""",
     "a09": """select count(*) count_no_damage from (select distinct crash_id from units u where (veh_dmag_scl_1_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST') or veh_dmag_scl_2_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST')) and fin_resp_type_id like '%INSURANCE%' and not exists (select 1 from damages d where d.crash_id=u.crash_id)) z""",
@@ -60,14 +64,14 @@ CRASH_SQL = {
     "v_two_wheelers_all": """select count(*) unit_count from (select distinct crash_id,unit_nbr from units where contains(veh_body_styl_id,'MOTORCYCLE')) z""",
     "v_charge_rows": """select count(*) charge_rows from charges""",
     "v_bottom_makes": """select veh_make_id, count(*) make_count from (select crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED') c join (select distinct crash_id,unit_nbr,veh_make_id from units) u on c.crash_id=u.crash_id group by veh_make_id order by make_count, veh_make_id nulls last limit 5""",
-    "v_top_makes_in": """select veh_make_id, count(*) cnt from (select distinct crash_id,unit_nbr,veh_make_id from units where crash_id in (select crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED')) z group by veh_make_id order by cnt desc, veh_make_id nulls last limit 5""",
+    "v_top_makes_in": """with fatal as (select distinct crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED'), vehicles as (select crash_id, unit_nbr, veh_make_id from units group by all) select veh_make_id, count(*) cnt from vehicles semi join fatal using (crash_id) group by veh_make_id order by cnt desc, veh_make_id nulls last limit 5""",
     "v_not_unlicensed": """select count(*) row_count from primary_person p join (select distinct crash_id,veh_hnr_fl from units) u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id<>'UNLICENSED'""",
     "v_non_female_pairs": """select count(*) pair_count from (select distinct crash_id,drvr_lic_state_id from primary_person where crash_id not in (select crash_id from primary_person where prsn_gndr_id='FEMALE') and drvr_lic_cls_id<>'OTHER/OUT OF STATE') z""",
     "v_non_female_state": """select drvr_lic_state_id, count(*) state_count from (select distinct crash_id,drvr_lic_state_id from primary_person where crash_id not in (select crash_id from primary_person where prsn_gndr_id='FEMALE') and drvr_lic_cls_id<>'OTHER/OUT OF STATE') z group by drvr_lic_state_id order by state_count desc, drvr_lic_state_id nulls last limit 1""",
-    "v_rank_3_to_7": """select veh_make_id, cast(sum(total_cas) as bigint) sum_cas from (select veh_make_id, cast(tot_injry_cnt as int)+cast(death_cnt as int) total_cas from (select distinct crash_id,tot_injry_cnt,death_cnt,veh_make_id from units where veh_make_id<>'NA') y) z group by veh_make_id order by sum_cas desc nulls last, veh_make_id limit 5 offset 2""",
-    "v_zip_dedup_first": """select drvr_zip, count(*) tot_count from (select crash_id,drvr_zip from (select crash_id,drvr_zip,row_number() over (partition by crash_id,drvr_zip order by unit_nbr) rn from primary_person) y where rn=1 and crash_id in (select crash_id from units where contrib_factr_1_id like '%ALCOHOL%' or contrib_factr_2_id like '%ALCOHOL%' or contrib_factr_p1_id like '%ALCOHOL%') and drvr_zip is not null) z group by drvr_zip order by tot_count desc, drvr_zip limit 5""",
+    "v_rank_3_to_7": """select veh_make_id, cast(sum(total_cas) as bigint) sum_cas from (select veh_make_id, cast(tot_injry_cnt as decimal(20,4))+cast(death_cnt as decimal(20,4)) total_cas from (select distinct crash_id,tot_injry_cnt,death_cnt,veh_make_id from units where veh_make_id<>'NA') y) z group by veh_make_id order by sum_cas desc nulls last, veh_make_id limit 5 offset 2""",
+    "v_zip_dedup_first": """with alcohol as (select distinct crash_id from units where concat_ws('|', contrib_factr_1_id, contrib_factr_2_id, contrib_factr_p1_id) like '%ALCOHOL%') select drvr_zip, count(distinct p.crash_id) tot_count from primary_person p semi join alcohol a on p.crash_id = a.crash_id where drvr_zip is not null group by drvr_zip order by tot_count desc, drvr_zip limit 5""",
     "v_no_damage_not_in": """select count(*) crash_count from (select distinct crash_id from units where crash_id not in (select crash_id from damages) and (veh_dmag_scl_1_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST') or veh_dmag_scl_2_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST')) and fin_resp_type_id like '%INSURANCE%') z""",
-    "v_speeding_in": """select veh_make_id, count(*) make_count from primary_person p join (select distinct crash_id,veh_make_id,unit_nbr,veh_color_id,veh_lic_state_id from units) u on p.crash_id=u.crash_id join (select crash_id from charges where charge like '%SPEED%') c on p.crash_id=c.crash_id where drvr_lic_cls_id like '%CLASS%' and veh_color_id in (select veh_color_id from (select veh_color_id,count(*) c from (select distinct crash_id,unit_nbr,veh_color_id from units where veh_color_id<>'NA') y group by veh_color_id order by c desc, veh_color_id limit 10) tc) and veh_lic_state_id in (select veh_lic_state_id from (select veh_lic_state_id,count(*) c from (select distinct crash_id,veh_lic_state_id from units where veh_lic_state_id not in ('Unknown','NA')) y group by veh_lic_state_id order by c desc, veh_lic_state_id limit 25) ts) group by veh_make_id order by make_count desc, veh_make_id nulls last limit 5""",
+    "v_speeding_in": """with vehicles as (select distinct crash_id, veh_make_id, unit_nbr, veh_color_id, veh_lic_state_id from units), colours as (select veh_color_id from units where veh_color_id <> 'NA' group by veh_color_id order by count(distinct (crash_id, unit_nbr)) desc, veh_color_id limit 10), states as (select veh_lic_state_id from units where veh_lic_state_id not in ('Unknown', 'NA') group by veh_lic_state_id order by count(distinct struct_pack(c := crash_id)) desc, veh_lic_state_id limit 25), licensed as (select crash_id, count(*) n from primary_person where drvr_lic_cls_id like '%CLASS%' group by crash_id), speeding as (select crash_id, count(*) n from charges where charge like '%SPEED%' group by crash_id) select veh_make_id, cast(sum(l.n * s.n) as bigint) make_count from vehicles v join licensed l using (crash_id) join speeding s using (crash_id) semi join colours using (veh_color_id) semi join states using (veh_lic_state_id) group by veh_make_id order by make_count desc, veh_make_id nulls last limit 5""",
     "v_hnr_vehicles": """select count(*) vehicle_count from (select distinct u.crash_id,u.unit_nbr from units u join primary_person p on u.crash_id=p.crash_id and u.unit_nbr=p.unit_nbr where veh_hnr_fl='Y' and prsn_type_id='DRIVER' and drvr_lic_cls_id like '%CLASS%') z""",
 }
 
@@ -86,7 +90,8 @@ STAR_SQL = {
 
 UNIT_COLUMNS_SQL = (
     "crash_id, unit_nbr, veh_hnr_fl, veh_body_styl_id, veh_make_id, veh_color_id, veh_lic_state_id, "
-    "CAST(tot_injry_cnt AS INTEGER) AS tot_injry_cnt, CAST(death_cnt AS INTEGER) AS death_cnt, "
+    "CAST(CAST(tot_injry_cnt AS DECIMAL(20,4)) AS BIGINT) AS tot_injry_cnt, "
+    "CAST(CAST(death_cnt AS DECIMAL(20,4)) AS BIGINT) AS death_cnt, "
     "contrib_factr_1_id, contrib_factr_2_id, contrib_factr_p1_id, veh_dmag_scl_1_id, veh_dmag_scl_2_id, "
     "fin_resp_type_id"
 )
@@ -96,6 +101,14 @@ JOB_ANALYSES = ["a01", "a02", "a03", "a04", "a05", "a06", "a07", "a08", "a09", "
 IO_SQL = {
     "o_csv_roundtrip": "select * from units",
     "o_csv_typed": f"select {UNIT_COLUMNS_SQL} from units",
+    "o_csv_inferred": "select cast(crash_id as integer) crash_id, cast(unit_nbr as integer) unit_nbr, "
+                      "cast(prsn_nbr as integer) prsn_nbr, cast(drvr_zip as integer) drvr_zip from primary_person",
+    "o_single_file": "select count(*) row_count, cast(1 as bigint) file_count from damages",
+    "o_extra_tables": "select 'endorse' table_name, drvr_lic_endors_id code, count(*) row_count from endorse group by 2 "
+                      "union all select 'restrict', drvr_lic_restric_id, count(*) from restrict group by 2",
+    "o_sql_in": CRASH_SQL["v_top_makes_in"],
+    "o_sql_not_in": CRASH_SQL["v_non_female_pairs"],
+    "o_sql_cte": CRASH_SQL["v_bottom_makes"],
     "o_views": "select veh_hnr_fl, count(*) as unit_rows from units group by veh_hnr_fl",
     "o_sql_views": CRASH_SQL["a01"],
     "o_job_all": " union all ".join(
@@ -106,6 +119,8 @@ IO_SQL = {
 
 
 def with_crash_tables(sql: str) -> str:
+    if sql.startswith("with "):
+        return f"with {CRASH_PREFIX},\n{sql.removeprefix('with ')}"
     return f"with {CRASH_PREFIX}\n{sql}"
 
 

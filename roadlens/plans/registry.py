@@ -16,7 +16,7 @@ from roadlens.plans.star import STAR
 from roadlens.plans.variants import VARIANTS
 from roadlens.session import scratch_path
 from roadlens.sources.files import read_table, write_result
-from roadlens.sources.fixtures import crash_tables, star_table
+from roadlens.sources.fixtures import crash_tables, extra_tables, star_table
 from roadlens.sources.tables import CrashTables, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,28 +41,92 @@ def o_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o_csv_roundtrip(spark, sf_dir, typed=True)
 
 
-def o_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register the crash tables as temp views and read ``units`` back by name."""
-    register_views(spark, crash_tables(spark, sf_dir))
-    return count_by(spark.table("units"), "veh_hnr_fl", "unit_rows")
+def o_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``primary_person`` as CSV and read it with inferred types: its numbers come back as such."""
+    path = scratch_path(spark, "csv")
+    write_result(crash_tables(spark, sf_dir).primary_person, path, fmt="csv")
+    people = read_table(spark, path, fmt="csv", infer=True)
+    return people.select("crash_id", "unit_nbr", "prsn_nbr", "drvr_zip")
+
+
+def o_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``damages`` as one CSV file and read it back: its rows and the files they came from."""
+    path = scratch_path(spark, "csv")
+    write_result(crash_tables(spark, sf_dir).damages, path, fmt="csv", single_file=True)
+    back = spark.read.option("header", True).csv(path)
+    return back.agg(F.count("*").alias("row_count"), F.count_distinct("_metadata.file_path").alias("file_count"))
 
 
-def o_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL entry point: register the crash tables as views and ask a01 as SQL text."""
-    register_views(spark, crash_tables(spark, sf_dir))
-    return spark.sql(
-        "SELECT crash_id, count(*) AS male_death_count FROM primary_person "
-        "WHERE prsn_gndr_id = 'MALE' AND prsn_injry_sev_id = 'KILLED' "
-        "GROUP BY crash_id HAVING count(*) > 2"
-    )
+def o_extra_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the endorsement and restriction tables as CSV, scan them, and count their codes."""
+    out = []
+    for name, df in extra_tables(spark, sf_dir).items():
+        path = scratch_path(spark, name)
+        write_result(df, path, fmt="csv")
+        back = read_table(spark, path, fmt="csv")
+        out.append(back.groupBy(F.col(back.columns[-1]).alias("code")).agg(F.count("*").alias("row_count"))
+                   .select(F.lit(name).alias("table_name"), "code", "row_count"))
+    return out[0].unionByName(out[1])
+
+
+#: Views are registered under this prefix, so that views of the caller are left alone.
+VIEWS = "roadlens_"
+
+
+def o_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register the crash tables as temp views and read ``units`` back by name."""
+    register_views(crash_tables(spark, sf_dir), VIEWS)
+    return count_by(spark.table(f"{VIEWS}units"), "veh_hnr_fl", "unit_rows")
+
+
+def _sql_over_views(text: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_views(crash_tables(spark, sf_dir), VIEWS)
+    return spark.sql(text)
+
+
+SQL_TEXTS = {
+    # HAVING: a01
+    "o_sql_views": f"""
+        SELECT crash_id, count(*) AS male_death_count FROM {VIEWS}primary_person
+        WHERE prsn_gndr_id = 'MALE' AND prsn_injry_sev_id = 'KILLED'
+        GROUP BY crash_id HAVING count(*) > 2""",
+    # IN subquery: v_top_makes_in
+    "o_sql_in": f"""
+        SELECT veh_make_id, count(DISTINCT struct(crash_id, unit_nbr)) AS cnt FROM {VIEWS}units
+        WHERE crash_id IN (
+            SELECT crash_id FROM {VIEWS}primary_person
+            WHERE prsn_type_id = 'DRIVER' AND prsn_injry_sev_id = 'KILLED' AND prsn_airbag_id = 'NOT DEPLOYED')
+        GROUP BY veh_make_id ORDER BY cnt DESC, veh_make_id NULLS LAST LIMIT 5""",
+    # NOT IN subquery: v_non_female_pairs
+    "o_sql_not_in": f"""
+        SELECT count(DISTINCT struct(crash_id, drvr_lic_state_id)) AS pair_count FROM {VIEWS}primary_person
+        WHERE drvr_lic_cls_id <> 'OTHER/OUT OF STATE'
+          AND crash_id NOT IN (SELECT crash_id FROM {VIEWS}primary_person WHERE prsn_gndr_id = 'FEMALE')""",
+    # CTEs and a join: v_bottom_makes
+    "o_sql_cte": f"""
+        WITH fatal AS (
+            SELECT crash_id, count(*) AS n FROM {VIEWS}primary_person
+            WHERE prsn_type_id = 'DRIVER' AND prsn_injry_sev_id = 'KILLED' AND prsn_airbag_id = 'NOT DEPLOYED'
+            GROUP BY crash_id),
+        cars AS (
+            SELECT crash_id, veh_make_id, count(DISTINCT struct(unit_nbr)) AS n FROM {VIEWS}units
+            GROUP BY crash_id, veh_make_id)
+        SELECT veh_make_id, sum(cars.n * fatal.n) AS make_count FROM cars JOIN fatal USING (crash_id)
+        GROUP BY veh_make_id ORDER BY make_count, veh_make_id NULLS LAST LIMIT 5""",
+}
 
 
 def o_job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run a01-a10 as one job into the shared folder; (analysis, row_count) of what was written."""
+    """The configured job from end to end: CSV inputs with capital headers, loaded by location and staged,
+    ten analyses written; (analysis, row_count) of what was written."""
     root = scratch_path(spark, "job")
-    config = {"output_locations": {name: f"{root}/{name}" for name in ANALYSES}, "output_format": "csv"}
-    written = run_job(spark, config, tables=crash_tables(spark, sf_dir))
-    return result_row_counts(spark, written).select("analysis", F.col("row_count"))
+    inputs = {}
+    for name, df in crash_tables(spark, sf_dir).as_dict().items():
+        inputs[name] = f"{root}/input/{name}"
+        write_result(df.toDF(*[c.upper() for c in df.columns]), inputs[name], fmt="csv")
+    config = {"input_locations": inputs, "output_locations": {name: f"{root}/{name}" for name in ANALYSES},
+              "output_format": "csv", "parallel": 4}
+    return result_row_counts(spark, run_job(spark, config))
 
 
 def build_queries() -> dict[str, Query]:
@@ -74,8 +138,11 @@ def build_queries() -> dict[str, Query]:
     out.update({
         "o_csv_roundtrip": o_csv_roundtrip,
         "o_csv_typed": o_csv_typed,
+        "o_csv_inferred": o_csv_inferred,
+        "o_single_file": o_single_file,
+        "o_extra_tables": o_extra_tables,
         "o_views": o_views,
-        "o_sql_views": o_sql_views,
+        **{name: partial(_sql_over_views, text) for name, text in SQL_TEXTS.items()},
         "o_job_all": o_job_all,
     })
     return out

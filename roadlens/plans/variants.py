@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions import in_values, measure_then_key, to_int
+from roadlens.functions import in_values, measure_then_key, to_number
 from roadlens.operators import (
     count_by,
     count_entities,
@@ -44,7 +44,7 @@ def male_deaths_ge2(t: CrashTables) -> DataFrame:
 
 def death_sum(t: CrashTables) -> DataFrame:
     """Deaths from units: sum of death_cnt over distinct (crash, unit, death_cnt), kept when > 2."""
-    return sum_having(t.units, [CRASH, UNIT, "death_cnt"], CRASH, to_int("death_cnt"), 2, "tot_death_count")
+    return sum_having(t.units, [CRASH, UNIT, "death_cnt"], CRASH, to_number("death_cnt"), 2, "tot_death_count")
 
 
 def male_death_crash_count(t: CrashTables) -> DataFrame:
@@ -88,11 +88,9 @@ def top_makes_in(t: CrashTables) -> DataFrame:
     Spark rewrites ``col.isin(subquery)`` into a semi join, but only after
     pushing the predicate below the ``distinct`` onto raw unit rows, where a
     hot crash meets in one task.  So the semi join is written out, on the
-    distinct rows.
+    units counted per (crash, make).
     """
-    fatal_crashes = A._fatal_drivers_no_airbag(t).select(CRASH)
-    cars = keep_matching(t.units.select(CRASH, UNIT, MAKE).distinct(), fatal_crashes, [CRASH])
-    return top_k_by_measure(count_by(cars, MAKE, "cnt"), "cnt", MAKE, 5)
+    return A.makes_by_units(t, A._fatal_drivers_no_airbag(t).select(CRASH))
 
 
 def not_unlicensed(t: CrashTables) -> DataFrame:
@@ -144,7 +142,7 @@ def no_damage_not_in(t: CrashTables) -> DataFrame:
 
 
 def speeding_in(t: CrashTables) -> DataFrame:
-    """a10 as the SQL draft has it: IN subqueries, and state 'Unknown' also left out of the top 25."""
+    """a10 with state 'Unknown' also left out of the top 25."""
     return A.speeding_makes(t, excluded_states=STATES_EXCLUDED_SQL_FORM)
 
 

@@ -1,12 +1,11 @@
 """Session settings and the shared scratch location.
 
 The library never changes settings of a session it is handed; only
-:func:`build_session` (used by tests, the bench and the job CLI) sets them.
+:func:`build_session` (tests, bench) and the job's command line set them.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,7 +20,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -32,7 +30,7 @@ def build_session(
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(SCALE_CONF)
+    conf = {**SCALE_CONF, "spark.ui.enabled": "false"}
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
@@ -43,10 +41,10 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach.
+    """Folder that every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Taken from the cluster's ``spark.checkpoint.dir``.  Only when the session
-    names none (local runs, tests) is one set, under the warehouse directory.
+    A local session that names none uses a folder beside its warehouse.  On a
+    cluster the warehouse may be each machine's own disk, so there it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -54,16 +52,20 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        if warehouse.startswith("file:"):
-            warehouse = warehouse[len("file:"):]
-        current = os.path.join(warehouse, "_roadlens_checkpoints")
-        if sc:
-            sc.setCheckpointDir(current)
-            current = sc.getCheckpointDir() or current
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_roadlens_scratch"
     return current.rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system Spark uses for it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under :func:`shared_dir`."""
     return f"{shared_dir(spark)}/roadlens-{name}-{uuid.uuid4().hex[:12]}"

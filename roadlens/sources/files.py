@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.functions import to_number
 from roadlens.sources.schemas import COUNT_COLUMNS
 
 
@@ -19,10 +20,11 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
 
 
 def cast_counts(df: DataFrame, table: str) -> DataFrame:
+    """Count columns as bigint: '6.0' and '1e2' are numbers, what is not becomes NULL."""
     counts = [c for c in COUNT_COLUMNS.get(table, []) if c in df.columns]
     if not counts:
         return df
-    return df.select(*[F.col(c).try_cast("int").alias(c) if c in counts else F.col(c) for c in df.columns])
+    return df.select(*[to_number(c).try_cast("bigint").alias(c) if c in counts else F.col(c) for c in df.columns])
 
 
 def read_table(

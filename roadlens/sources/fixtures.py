@@ -42,7 +42,7 @@ def _case_index(expr: str, values: list[str]) -> str:
 # Expressions are SQL text handed to selectExpr: one call into the JVM per
 # table instead of one per Column operation.
 _UNIT_EXPRS = [
-    "CAST(o AS STRING) AS crash_id",
+    "CASE WHEN p % 31 = 0 THEN NULL ELSE CAST(o AS STRING) END AS crash_id",
     "CAST(n AS STRING) AS unit_nbr",
     "CASE WHEN rf = 'R' THEN 'Y' ELSE 'N' END AS veh_hnr_fl",
     f"{_case_index('p % 8', BODY_STYLES)} AS veh_body_styl_id",
@@ -51,8 +51,9 @@ _UNIT_EXPRS = [
     "CASE WHEN (s * 7 + n) % 14 = 0 THEN 'NA' WHEN (s * 7 + n) % 14 = 13 THEN NULL"
     " ELSE concat('COLOR_', CAST((s * 7 + n) % 14 AS STRING)) END AS veh_color_id",
     "CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL"
+    " WHEN (p + s) % 32 IN (5, 6) THEN 'Unknown'"
     " ELSE concat('ST_', CAST((p + s) % 32 AS STRING)) END AS veh_lic_state_id",
-    "CAST(k % 4 AS STRING) AS tot_injry_cnt",
+    "CASE WHEN k % 6 = 5 THEN concat(CAST(k % 4 AS STRING), '.0') ELSE CAST(k % 4 AS STRING) END AS tot_injry_cnt",
     "CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS STRING) END AS death_cnt",
     "CASE WHEN s % 9 = 0 THEN 'UNDER INFLUENCE - ALCOHOL' ELSE 'NONE' END AS contrib_factr_1_id",
     "CASE WHEN p % 10 = 0 THEN 'HAD BEEN DRINKING ALCOHOL' WHEN p % 10 = 1 THEN NULL ELSE 'NONE' END"
@@ -66,7 +67,7 @@ _UNIT_EXPRS = [
 ]
 
 _PERSON_EXPRS = [
-    "CAST(o AS STRING) AS crash_id",
+    "CASE WHEN s % 10 = 9 AND p % 3 = 0 THEN NULL ELSE CAST(o AS STRING) END AS crash_id",
     "CAST(n AS STRING) AS unit_nbr",
     "CAST(s % 9 + 1 AS STRING) AS prsn_nbr",
     "CASE WHEN p % 10 < 7 THEN 'DRIVER' ELSE 'PEDESTRIAN' END AS prsn_type_id",
@@ -90,34 +91,39 @@ _CHARGE_EXPRS = [
 ]
 
 
+_EXTRA_EXPRS = {
+    "endorse": [
+        "CAST(o AS STRING) AS crash_id", "CAST(n AS STRING) AS unit_nbr",
+        "CASE WHEN x < 3 THEN 'NONE' WHEN x < 6 THEN 'TANK VEHICLE' END AS drvr_lic_endors_id",
+    ],
+    "restrict": [
+        "CAST(o AS STRING) AS crash_id", "CAST(n AS STRING) AS unit_nbr",
+        "CASE WHEN d < 5 THEN 'WITH CORRECTIVE LENSES' ELSE 'NONE' END AS drvr_lic_restric_id",
+    ],
+}
+
+
 def _damages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.filter("o_orderkey % 3 = 0").selectExpr(
-        "CAST(o_orderkey AS STRING) AS crash_id", "o_orderpriority AS damaged_property")
+    return orders.filter("o_orderstatus = 'P'").selectExpr(
+        "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderkey AS STRING) END"
+        " AS crash_id", "o_orderpriority AS damaged_property")
 
 
-_PLAN_CACHE: dict[tuple[str, str], CrashTables] = {}
+def extra_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The endorsement and restriction tables, which no question uses."""
+    q = _lines(spark, sf_dir)
+    return {name: q.selectExpr(*exprs) for name, exprs in _EXTRA_EXPRS.items()}
 
 
 def crash_tables(spark: SparkSession, sf_dir: str) -> CrashTables:
-    """The four crash tables over ``sf_dir``.
-
-    Only the lazy plans are kept per (application, folder) so repeated
-    queries skip rebuilding them; no data is cached, every query scans.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PLAN_CACHE:
-        _PLAN_CACHE[key] = _build(spark, sf_dir)
-    return _PLAN_CACHE[key]
-
-
-def _build(spark: SparkSession, sf_dir: str) -> CrashTables:
+    """The four crash tables over ``sf_dir``, as lazy plans in the session ``spark``."""
     q = _lines(spark, sf_dir)
     return CrashTables(
         primary_person=q.selectExpr(*_PERSON_EXPRS),
         units=q.selectExpr(*_UNIT_EXPRS),
         damages=_damages(spark, sf_dir),
-        charges=q.filter("ls = 'O' AND p % 4 = 0").selectExpr(*_CHARGE_EXPRS),
+        charges=q.filter("ls = 'O' AND rf <> 'R'").selectExpr(*_CHARGE_EXPRS),
     )
 
 

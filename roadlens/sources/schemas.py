@@ -1,13 +1,11 @@
 """Column lists of the crash tables (lower case, as the analyses use them).
 
-Ids and codes are strings; the two count columns of ``units`` are cast to int
-only where arithmetic needs them (see :func:`roadlens.functions.to_int`).
+Ids and codes are strings; the two count columns of ``units`` are cast to
+numbers only where arithmetic needs them (see :func:`roadlens.functions.to_number`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 PERSON_COLUMNS = [
     "crash_id", "unit_nbr", "prsn_nbr", "prsn_type_id", "prsn_gndr_id", "prsn_injry_sev_id",
     "prsn_airbag_id", "prsn_ethnicity_id", "drvr_lic_cls_id", "drvr_lic_state_id", "drvr_zip",
@@ -32,15 +30,3 @@ TABLE_COLUMNS = {
 
 # Columns that hold whole numbers; typed reads cast them with try_cast.
 COUNT_COLUMNS = {"units": ["tot_injry_cnt", "death_cnt"]}
-
-
-def all_string(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-
-
-def typed(table: str) -> T.StructType:
-    counts = set(COUNT_COLUMNS.get(table, []))
-    return T.StructType([
-        T.StructField(c, T.IntegerType() if c in counts else T.StringType(), True)
-        for c in TABLE_COLUMNS[table]
-    ])

@@ -75,7 +75,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or sorted(entry.queries())
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[4]", shuffle_partitions=4)
     con = duck_connection(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0

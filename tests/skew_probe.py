@@ -1,8 +1,8 @@
 """Run crash queries on tables where one crash holds a third of all rows; report per-task shuffle reads.
 
-Usage: ``python tests/skew_probe.py [--hot=copies|null] <sf_dir> <scratch_dir> key [key ...]``; prints one
-JSON line.  ``copies`` (default): one crash holds a third of the rows; ``null``: a third of the rows have a
-NULL crash_id.
+Usage: ``python tests/skew_probe.py [--hot=copies|distinct|null] <sf_dir> <scratch_dir> key [key ...]``; prints one
+JSON line.  ``copies`` (default): one crash holds a third of the rows; ``distinct``: likewise, with a unit
+number of its own for every row; ``null``: a third of the rows have a NULL crash_id.
 
 Broadcast joins and partition coalescing are switched off so every key join is a shuffle join, the
 shape the plans have when the key lists are far too large to broadcast.  The
@@ -28,14 +28,14 @@ from roadlens.session import build_session  # noqa: E402
 from roadlens.sources.fixtures import crash_tables  # noqa: E402
 
 
-def with_hot_crash(spark, tables, folder: str, share: float = 1 / 3, files: int = 8):
+def with_hot_crash(spark, tables, folder: str, share: float = 1 / 3, files: int = 8, distinct: bool = False):
     """Tables where one crash (present in persons, units and charges) holds ``share`` of the rows.
 
     Written to Parquet (``files`` files each) and read back, so the scans hold
     the hot rows as stored data and the optimizer cannot move joins below the
     step that made the copies.
     """
-    hot_id = (tables.units.select("crash_id")
+    hot_id = (tables.units.filter("crash_id IS NOT NULL").select("crash_id")
               .join(tables.charges.select("crash_id"), "crash_id", "left_semi")
               .join(tables.primary_person.select("crash_id"), "crash_id", "left_semi")
               .orderBy("crash_id").first()[0])
@@ -45,7 +45,10 @@ def with_hot_crash(spark, tables, folder: str, share: float = 1 / 3, files: int
             total = df.count()
             hot = df.filter(F.col("crash_id") == hot_id)
             copies = math.ceil(share * total / (1 - share) / max(hot.count(), 1))
-            df = df.unionAll(hot.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy"))
+            more = hot.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+            if distinct:
+                more = more.withColumn("unit_nbr", F.concat("unit_nbr", F.lit("-"), F.col("_copy").cast("string")))
+            df = df.unionAll(more.drop("_copy"))
         path = f"{folder}/{name}"
         df.repartition(files).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
@@ -84,7 +87,7 @@ def main(argv: list[str]) -> None:
     if mode == "null":
         tables = with_null_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables")
     else:
-        tables = with_hot_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables")
+        tables = with_hot_crash(spark, crash_tables(spark, sf_dir), f"{scratch}/tables", distinct=mode == "distinct")
     sizes = {name: df.count() for name, df in tables.as_dict().items()}
     for key in keys:
         spark.sparkContext.setJobGroup(key, key)

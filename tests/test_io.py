@@ -7,6 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from conftest import rows
 from roadlens.plans.analyses import ANALYSES
 from roadlens.plans.job import load_config, output_location, result_row_counts, run_job
@@ -42,19 +44,59 @@ def test_single_file_sink(spark, tables_small, tmp_out):
 def test_upper_case_headers_and_typed_read(spark, tmp_out):
     path = f"{tmp_out}/raw.csv"
     with open(path, "w") as fh:
-        fh.write("CRASH_ID,UNIT_NBR,TOT_INJRY_CNT,DEATH_CNT\n1,1,2,x\n2,1,,0\n")
+        fh.write("CRASH_ID,UNIT_NBR,TOT_INJRY_CNT,DEATH_CNT\n1,1,2.0,x\n2,1,,0\n")
     plain = read_table(spark, path, fmt="csv", table="units")
     assert plain.columns == ["crash_id", "unit_nbr", "tot_injry_cnt", "death_cnt"]
     assert dict(plain.dtypes)["tot_injry_cnt"] == "string"
     typed = read_table(spark, path, fmt="csv", table="units", typed=True)
-    assert dict(typed.dtypes)["death_cnt"] == "int"
+    assert dict(typed.dtypes)["death_cnt"] == "bigint"
     assert rows(typed.select("crash_id", "tot_injry_cnt", "death_cnt")) == [("1", 2, None), ("2", None, 0)]
 
 
 def test_views_and_table_lookup(spark, tables_small):
-    names = register_views(spark, tables_small)
-    assert set(names) == {"primary_person", "units", "damages", "charges"}
-    assert spark.table("charges").count() == tables_small.charges.count()
+    names = register_views(tables_small, "t_")
+    assert set(names) == {"t_primary_person", "t_units", "t_damages", "t_charges"}
+    assert spark.table("t_charges").count() == tables_small.charges.count()
+
+
+def test_views_belong_to_the_session_of_the_call(spark):
+    """Another session's earlier queries do not matter, and a caller's own view keeps its rows."""
+    from conftest import SF_SMALL
+    from roadlens.plans.registry import QUERIES
+
+    QUERIES["a01"](spark, SF_SMALL).count()
+    other = spark.newSession()
+    other.range(3).createOrReplaceTempView("units")
+    assert QUERIES["o_views"](other, SF_SMALL).count() == 2
+    assert QUERIES["o_sql_views"](other, SF_SMALL).count() == QUERIES["a01"](spark, SF_SMALL).count()
+    assert other.table("units").count() == 3
+
+
+def _staged(spark):
+    from roadlens.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    return {f for f in os.listdir(folder) if f.startswith("roadlens-stage-")} if os.path.isdir(folder) else set()
+
+
+def test_job_deletes_only_what_it_staged(spark, tables_small, tmp_out):
+    inputs = {}
+    for name, df in tables_small.as_dict().items():
+        inputs[name] = f"{tmp_out}/life/{name}"
+        write_result(df, inputs[name], fmt="csv")
+    before = _staged(spark)
+    config = {"input_locations": inputs, "output_locations": {"a01": f"{tmp_out}/life/a01"}}
+    run_job(spark, config)
+    assert _staged(spark) == before
+
+    def failing(t):
+        raise ValueError("no")
+
+    with pytest.raises(RuntimeError):
+        run_job(spark, config, analyses={"a01": failing})
+    assert _staged(spark) == before
+    run_job(spark, {**config, "stage_location": f"{tmp_out}/life/mine"})
+    assert os.path.isdir(f"{tmp_out}/life/mine/units")
 
 
 def test_config_files(tmp_out):

@@ -20,10 +20,10 @@ NULL_SENSITIVE = ["a02", "a03", "a04", "a05", "a07", "a08", "a09", "a10", "v_bot
                   "v_no_damage_not_in", "v_non_female_pairs", "v_zip_dedup_first"]
 
 
-@pytest.mark.parametrize("hot", ["copies", "null"])
+@pytest.mark.parametrize("hot", ["copies", "distinct", "null"])
 def test_no_task_reads_the_hot_crash(hot):
-    """One crash (copies of a real one), or the NULL crash_id, holds a third of the rows."""
-    keys = sorted({*ANALYSES, *VARIANTS}) if hot == "copies" else NULL_SENSITIVE
+    """One crash (copies of a real one, or with different units), or the NULL crash_id, holds a third of the rows."""
+    keys = NULL_SENSITIVE if hot == "null" else sorted({*ANALYSES, *VARIANTS})
     scratch = tempfile.mkdtemp(prefix="roadlens-skew-", dir="/tmp")
     out = subprocess.run(
         [sys.executable, os.path.join(ROOT, "tests", "skew_probe.py"), f"--hot={hot}", SF_SMALL, scratch, *keys],
