@@ -2,11 +2,11 @@
 
 1. One pass gives each row its size, tokens and a hash of its text; a slim table of these is written.
 2. Rows are added up by text.  A group that is large against a shard (in bytes, tokens or rows) is an item of
-   its own, in several pieces if it exceeds what evens out; small groups are added up into a fixed number of
+   its own, in several pieces of half a fair load if it exceeds a whole one; small groups are added up into a fixed number of
    buckets by a hash, a geometric series of large to tiny ones.  So there are a bounded number of items, and
    the rows of a text stay together unless the text alone is too large.
 3. The items, largest first, go to the shard where the dot product of the item with the shard's residual
-   capacity is highest among the shards with room; the last, tiny ones even out the bytes.
+   capacity is highest among the shards with room; the last fifth, the smallest, evens out the bytes.
 4. Each shard's rows are numbered without a gap: counted by (shard, block), numbered within a block, and
    moved up by the counts of the blocks before.  No task gets a whole shard.
 
@@ -30,6 +30,8 @@ BUCKETS = 4096
 LEVELS = 6
 #: A group with more than 1 / HEAVY of a shard's fair share is an item of its own.
 HEAVY = 64
+#: Share of the bytes that goes to the smallest shards.
+TAIL = 0.2
 #: Rows that are numbered together.
 BLOCK_ROWS = 50_000
 DIMENSIONS = ("size", "tokens", "rows")
@@ -39,14 +41,16 @@ def place(amounts: np.ndarray, n_shards: int) -> np.ndarray:
     """Shard of each item (rows of ``amounts``: bytes, tokens, rows), by the dot product with the residual capacity.
 
     Everything is measured in shares of a shard's fair load.  Items are taken in descending order of their
-    largest share.  A shard has room if the item's bytes fit; if none has, the shard with the fewest bytes
-    takes it.
+    largest share.  A shard has room if the item's bytes fit; if none has, or when only the share TAIL of
+    the bytes is left, the shard with the fewest bytes takes it, which evens out the sizes.
     """
     share = amounts / np.maximum(amounts.sum(axis=0), 1) * n_shards
     residual = np.ones((n_shards, amounts.shape[1]))
     out = np.zeros(len(amounts), dtype=np.int64)
+    left = share[:, 0].sum()
     for i in np.argsort(-share.max(axis=1), kind="stable").tolist():
-        fits = residual[:, 0] >= share[i, 0]
+        fits = (residual[:, 0] >= share[i, 0]) & (left > TAIL * n_shards)
+        left -= share[i, 0]
         score = np.where(fits, residual @ share[i], -np.inf)
         at = int(np.argmax(score)) if fits.any() else int(np.argmax(residual[:, 0]))
         out[i] = at
@@ -83,27 +87,27 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARDS, block_rows: int = B
     heavy = groups.where(weight * HEAVY >= 1).select("text_hash", *DIMENSIONS).orderBy("text_hash").collect()
     light = (groups.where(weight * HEAVY < 1).groupBy(_bucket(F.col("text_hash")).alias("bucket"))
              .agg(*[F.sum(d).alias(d) for d in DIMENSIONS]).orderBy("bucket").collect())
+    spark = docs.sparkSession
+    halves = {r["text_hash"]: int(np.ceil(max(r[d] / fair[d] for d in DIMENSIONS) * 2)) for r in heavy}
+    pieces = spark.createDataFrame([(h, n) for h, n in halves.items() if n > 2], "text_hash long, pieces long")
+    marked = rows.join(F.broadcast(pieces), "text_hash", "left").withColumn(
+        "piece", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1))))
+    cut = (marked.where("pieces IS NOT NULL").groupBy("text_hash", "piece").agg(
+        F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).collect())
     items, names = [], []
-    for r in heavy:
-        n = int(np.ceil(max(r[d] / fair[d] for d in DIMENSIONS) * 2))  # pieces of half a fair load at most
-        n = n if n > 2 else 1
-        for piece in range(n):
-            items.append([r[d] / n for d in DIMENSIONS])
-            names.append((None, r["text_hash"], piece, n))
+    for r in [x for x in heavy if halves[x["text_hash"]] <= 2] + sorted(cut, key=lambda x: (x["text_hash"], x["piece"])):
+        items.append([r[d] for d in DIMENSIONS])
+        names.append((None, r["text_hash"], r["piece"] if "piece" in r else 0))
     for r in light:
         items.append([r[d] for d in DIMENSIONS])
-        names.append((r["bucket"], None, 0, 1))
+        names.append((r["bucket"], None, 0))
     shard = place(np.array(items, dtype=float).reshape(-1, len(DIMENSIONS)), n_shards)
-    spark = docs.sparkSession
-    large = spark.createDataFrame([(h, p, n, int(s)) for (b, h, p, n), s in zip(names, shard, strict=True) if b is None],
-                                  "text_hash long, piece long, pieces long, own_shard int")
-    small = spark.createDataFrame([(b, int(s)) for (b, _, _, _), s in zip(names, shard, strict=True) if b is not None],
+    large = spark.createDataFrame([(h, p, int(s)) for (b, h, p), s in zip(names, shard, strict=True) if b is None],
+                                  "text_hash long, piece long, own_shard int")
+    small = spark.createDataFrame([(b, int(s)) for (b, _, _), s in zip(names, shard, strict=True) if b is not None],
                                   "bucket long, bucket_shard int")
-    pieces = large.select("text_hash", "pieces").distinct()
     dealt = (
-        rows.join(F.broadcast(pieces), "text_hash", "left")
-        .withColumn("piece", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1))))
-        .join(F.broadcast(large.drop("pieces")), ["text_hash", "piece"], "left")
+        marked.join(F.broadcast(large), ["text_hash", "piece"], "left")
         .withColumn("bucket", _bucket(F.col("text_hash")))
         .join(F.broadcast(small), "bucket", "left")
         .withColumn("shard", F.coalesce("own_shard", "bucket_shard"))

@@ -1,7 +1,7 @@
 """Operator 4, toxicity: a learned lexicon, matched with Levenshtein automata, judged by its context.
 
 1. From one half of a bounded labelled sample Spark counts in how many toxic and clean texts each word
-   occurs, and the stems (first letters) of words likewise; those far more frequent in toxic texts are the
+   occurs outside quotations, and the stems (first letters) of words likewise; those far more frequent in toxic texts are the
    lexicon (at most LEXICON terms).  A stem stands for the compounds that begin with it and ends in ``*``.
 2. The lexicon is a trie.  A word of a text that is no term itself is read against the trie by a bit-parallel
    Levenshtein automaton of the word, so a term with one wrong, missing or added letter is found.
@@ -73,6 +73,16 @@ def _quotes(b: Block) -> np.ndarray:
     return marked
 
 
+def in_quotes(b: Block, word: np.ndarray) -> np.ndarray:
+    """Which of the given words have a quotation mark at most CONTEXT words before them and one after (or bear them)."""
+    marks = np.concatenate(([0], np.cumsum(_quotes(b))))
+    begin = np.concatenate(([0], np.cumsum(b.per_doc(b.doc).astype(np.int64))))
+    doc = b.doc[word]
+    before = np.maximum(word - CONTEXT, begin[doc])
+    after = np.minimum(word + CONTEXT + 1, begin[doc + 1])
+    return (marks[word + 1] > marks[before]) & (marks[after] > marks[word])
+
+
 def terms_of(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word, start, end, folded bytes): the words of a block without the marks around their letters."""
     data = _folded(b)
@@ -181,13 +191,8 @@ class Matcher:
         found = self.memory.look_up(values, lambda i: self._match(raw[start[first[i]]:end[first[i]]]))[inverse]
         hit = found[:, 0] >= 0
         word, number, misspelled = word[hit], found[hit, 0], found[hit, 1] == 1
-        marks = np.concatenate(([0], np.cumsum(_quotes(b))))
-        doc = b.doc[word]
-        n_words = b.per_doc(b.doc).astype(np.int64)
-        begin = np.concatenate(([0], np.cumsum(n_words)))
-        before = np.maximum(word - CONTEXT, begin[doc])
-        after = np.minimum(word + CONTEXT + 1, begin[doc + 1])
-        quoted = (marks[word + 1] > marks[before]) & (marks[after] > marks[word])
+        doc, quoted = b.doc[word], in_quotes(b, word)
+        n_words = b.per_doc(b.doc)
         exact, near = ~quoted & ~misspelled, ~quoted & misspelled
         count = lambda mask: b.per_doc(doc[mask])
         strongest = np.zeros(b.n_docs)
@@ -204,6 +209,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = batch.column(0).to_numpy(zero_copy_only=False)
         for b in blocks(batch.column(1), lower=True):
             word, start, end, data = terms_of(b)
+            meant = ~in_quotes(b, word)
+            word, start, end = word[meant], start[meant], end[meant]
             for n in (0, *STEMS):
                 of = np.flatnonzero(end - start > n)
                 to = start[of] + n if n else end[of]
