@@ -1,0 +1,41 @@
+"""Small documents with every awkward case, and plain-Python answers to hold the operators against."""
+
+from __future__ import annotations
+
+import random
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+LONG = "lorem ipsum dolor sit amet " * 4000
+AWKWARD = [
+    (1, None), (2, ""), (3, " \t\n\x0b "), (4, "one"), (5, "One"), (6, LONG), (7, LONG), (None, "no id here at all, it seems"),
+    (8, "same id"), (8, "same id"), (8, "same id, other text"), (9, "x" * 30_000), (10, "Üñï ☃ \U0001f600 é́ z z"),
+    (11, "a\nb\na\n\na"), (12, None), (13, "#*$%&|<> !! CAPS CAPS CAPS CAPS"), (14, "<|endoftext|> it's 12,345.6 «quoted» “moron”"),
+]
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, features string, rank int"
+
+
+def awkward(spark):
+    """The awkward documents, with further columns that are called like result columns."""
+    rows = [(i, t, None if n % 5 == 0 else "en", None if n % 4 == 0 else "src0", None, 7.5, "k", "f", 3)
+            for n, (i, t) in enumerate(AWKWARD)]
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def nothing(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+def words(text, lower=False):
+    return WORD.findall((text or "").translate(LOWER) if lower else text or "")
+
+
+def prose(rng: random.Random, n: int, vocabulary: int = 400) -> str:
+    return " ".join(f"w{int(vocabulary * rng.random() ** 2)}" for _ in range(n))
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(i, t, "en", f"src{i % 3}", len(t or "")) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
