@@ -18,7 +18,7 @@ units AS (SELECT CASE WHEN p % 31 = 0 THEN NULL ELSE CAST(o AS VARCHAR(20)) END
   CASE WHEN p % 13 = 0 THEN 'NA' WHEN p % 13 = 12 THEN NULL ELSE 'MAKE_' || CAST(p % 13 AS VARCHAR(20)) END veh_make_id,
   CASE WHEN (s * 7 + n) % 14 = 0 THEN 'NA' WHEN (s * 7 + n) % 14 = 13 THEN NULL ELSE 'COLOR_' || CAST((s * 7 + n) % 14 AS VARCHAR(20)) END veh_color_id,
   CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL WHEN (p + s) % 32 IN (5, 6) THEN 'Unknown' ELSE 'ST_' || CAST((p + s) % 32 AS VARCHAR(20)) END veh_lic_state_id,
-  CASE WHEN k % 6 = 5 THEN CAST(k % 4 AS VARCHAR(20)) || '.0' ELSE CAST(k % 4 AS VARCHAR(20)) END tot_injry_cnt, CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS VARCHAR(20)) END death_cnt,
+  CASE WHEN k % 4 = 3 THEN '3.0' ELSE CAST(k % 4 AS VARCHAR(20)) END tot_injry_cnt, CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS VARCHAR(20)) END death_cnt,
   CASE WHEN s % 9 = 0 THEN 'UNDER INFLUENCE - ALCOHOL' ELSE 'NONE' END contrib_factr_1_id,
   CASE WHEN p % 10 = 0 THEN 'HAD BEEN DRINKING ALCOHOL' WHEN p % 10 = 1 THEN NULL ELSE 'NONE' END contrib_factr_2_id,
   CASE WHEN k % 25 = 0 THEN 'ALCOHOL' ELSE NULL END contrib_factr_p1_id,

@@ -53,7 +53,7 @@ _UNIT_EXPRS = [
     "CASE WHEN (p + s) % 32 = 0 THEN 'NA' WHEN (p + s) % 32 = 31 THEN NULL"
     " WHEN (p + s) % 32 IN (5, 6) THEN 'Unknown'"
     " ELSE concat('ST_', CAST((p + s) % 32 AS STRING)) END AS veh_lic_state_id",
-    "CASE WHEN k % 6 = 5 THEN concat(CAST(k % 4 AS STRING), '.0') ELSE CAST(k % 4 AS STRING) END AS tot_injry_cnt",
+    "CASE WHEN k % 4 = 3 THEN '3.0' ELSE CAST(k % 4 AS STRING) END AS tot_injry_cnt",
     "CASE WHEN k % 17 = 0 THEN NULL ELSE CAST(n % 2 AS STRING) END AS death_cnt",
     "CASE WHEN s % 9 = 0 THEN 'UNDER INFLUENCE - ALCOHOL' ELSE 'NONE' END AS contrib_factr_1_id",
     "CASE WHEN p % 10 = 0 THEN 'HAD BEEN DRINKING ALCOHOL' WHEN p % 10 = 1 THEN NULL ELSE 'NONE' END"

@@ -35,7 +35,7 @@ EXPECTED = {
     "a04": [(4876,)],
     "a04_hnr": [(2200,)],
     "a05": [("NA", 117)],
-    "a06": [("MAKE_7", 923), ("MAKE_4", 917), ("MAKE_9", 890)],
+    "a06": [("MAKE_7", 913), ("MAKE_4", 912), ("MAKE_9", 890)],
     "a08": [("75007", 200), ("75016", 172), ("75028", 167), ("75019", 166), ("75010", 161)],
     "a09": [(542,)],
     "a10": [("MAKE_1", 1499), ("MAKE_4", 1490), ("MAKE_9", 1367), ("MAKE_3", 1362), ("MAKE_10", 1326)],
