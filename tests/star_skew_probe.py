@@ -30,6 +30,7 @@ HOT = {
     "s_topn": ("lineitem", ["l_suppkey"]),
     "s_having": ("lineitem", ["l_orderkey"]),
     "s_except": ("lineitem", ["l_orderkey"]),
+    "s_except@left": ("orders", ["o_orderkey"]),
     "s_first": ("events", ["user_id", "event_type"]),
     "s_semi": ("orders", ["o_custkey"]),
     "s_anti": ("orders", ["o_custkey"]),
@@ -73,7 +74,7 @@ def main(argv: list[str]) -> None:
         def tbl(name, table=table, cols=tuple(cols)):
             return heated[(table, cols)] if name == table else raw(name)
 
-        STAR[key](tbl).write.format("noop").mode("overwrite").save()
+        STAR[key.split("@")[0]](tbl).write.format("noop").mode("overwrite").save()
     app = spark.sparkContext.applicationId
     spark.stop()
     stage_group, max_read = {}, {}
