@@ -239,7 +239,7 @@ def test_estimate_is_close_to_the_similarity():
     assert np.abs(errors).max() < 0.2
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components_by_search(spark, edges):
     near = defaultdict(set)
@@ -454,22 +454,24 @@ def test_raking_meets_all_margins():
     w = rake(tokens, margins, targets)
     for values, wanted in zip(margins, targets, strict=True):
         assert np.allclose(np.bincount(values, w), wanted, atol=1e-6)
-    p = calibrate(tokens, w, 0.4)
-    assert (p <= 1).all() and math.isclose((p * tokens).sum(), 0.4 * tokens.sum(), rel_tol=1e-9)
-    free = p < 1
-    assert np.ptp((p * tokens / w)[free]) < 1e-6 * (p * tokens / w)[free].max()
+    p = calibrate(tokens, w, 0.0)
+    assert math.isclose(p.max(), 1, rel_tol=1e-6) and np.allclose(p * tokens / (p * tokens).sum(), w)
+    more = calibrate(tokens, w, 0.05)
+    factor = (more * tokens / w)[more < 1].max()
+    assert (more <= 1).all() and (more >= p - 1e-9).all()
+    assert math.isclose(np.maximum(factor * w - tokens, 0).sum(), 0.05 * factor, rel_tol=1e-3)
 
 
 def test_mixing_probabilities_and_sample(spark):
     rng = random.Random(12)
     texts = [("licensed under x " if i % 7 == 0 else "mail a@b " if i % 5 == 0 else "") + prose(rng, 30) for i in range(6000)]
     targets = Targets(source={"src0": 0.6, "src1": 0.2, "src2": 0.2}, topic={"prose": 0.8, "contact": 0.1, "notice": 0.1})
-    got = mix_documents(documents(spark, texts), targets, keep=0.5, carry=["doc_id", "source"]).collect()
+    got = mix_documents(documents(spark, texts), targets, shortfall=0.0, carry=["doc_id", "source"]).collect()
     assert len(got) == len(texts)
     total = sum(r["n_tokens"] for r in got)
-    assert math.isclose(sum(r["n_tokens"] * r["probability"] for r in got), 0.5 * total, rel_tol=1e-6)
+    expected = sum(r["n_tokens"] * r["probability"] for r in got)
     kept = [r for r in got if r["kept"]]
-    assert abs(sum(r["n_tokens"] for r in kept) / total - 0.5) < 0.03
+    assert abs(sum(r["n_tokens"] for r in kept) - expected) < 0.05 * expected
     share = Counter()
     for r in kept:
         share[r["source"]] += r["n_tokens"]
@@ -478,8 +480,9 @@ def test_mixing_probabilities_and_sample(spark):
         assert abs(share[value] / sum(r["n_tokens"] for r in kept) - wanted) < 0.05
     weighted = Counter()
     for r in got:
-        weighted[r["source"]] += r["n_tokens"] * r["weight"] / total
-    assert all(abs(weighted[s] - w) < 1e-6 for s, w in targets.source.items())
+        for value in (r["source"], r["topic"]):
+            weighted[value] += r["n_tokens"] * r["probability"] / expected
+    assert all(abs(weighted[s] - w) < 1e-6 for s, w in {**targets.source, **targets.topic}.items())
 
 
 # queries against their SQL
@@ -508,6 +511,6 @@ def test_pipeline_runs_stage_by_stage(spark):
         assert after.exceptAll(docs).count() == 0
         kept.append(after.count())
         docs = after
-    assert kept[0] > kept[1] >= kept[2] > kept[3] > kept[4] > 0.5 * kept[0]
+    assert kept[0] > kept[1] >= kept[2] > kept[3] > kept[4] > 0.2 * kept[0]
     pieces = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert {p["doc_id"] for p in pieces} == {r["doc_id"] for r in docs.collect()}
