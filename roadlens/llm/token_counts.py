@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 
 from roadlens.llm.common import append_columns
-from roadlens.llm.words import Memory, distinct, segment_hash
+from roadlens.llm.words import LOOK_UP_BYTES, Memory, distinct, segment_hash
 from roadlens.llm.words import blocks as text_blocks
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -57,38 +57,49 @@ class PieceCounter:
         self.memory = Memory(1)
 
     def count(self, word: str) -> int:
-        """Pieces of the best path through a word (the space before it written as SPACE)."""
+        """Pieces of the best path through a word (the space before it written as SPACE).
+
+        The automaton lists matches by their end and, for one end, longest first: the earliest beginning first.
+        """
         n = len(word)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, found in self.automaton.iter(word):
-            ending[end].append(found)
         best, pieces = [0.0] * (n + 1), [0] * (n + 1)
         run = [0] * (n + 1)  # characters of the unknown that ends here
-        for end in range(n):
-            top, at, length = None, -1, 0
-            single = False
-            for size, score in sorted(ending[end], reverse=True):  # the earliest beginning first
-                single |= size == 1
-                candidate = best[end + 1 - size] + score
-                if top is None or candidate > top:
-                    top, at, length = candidate, end + 1 - size, size
-            if not single:
-                candidate = best[end] + self.unknown
-                if top is None or candidate > top:
-                    top, at, length = candidate, end, 0
-            best[end + 1] = top
-            if length:
-                pieces[end + 1] = pieces[at] + 1
-            elif self.by_bytes:
-                pieces[end + 1] = pieces[at] + len(word[end].encode("utf-8", "surrogatepass"))
+        unknown, by_bytes = self.unknown, self.by_bytes
+
+        def without_piece(end: int) -> None:
+            best[end] = best[end - 1] + unknown
+            if by_bytes:
+                pieces[end] = pieces[end - 1] + len(word[end - 1].encode("utf-8", "surrogatepass"))
             else:
-                pieces[end + 1] = pieces[at] + (run[at] == 0)
-                run[end + 1] = run[at] + 1
+                pieces[end] = pieces[end - 1] + (run[end - 1] == 0)
+                run[end] = run[end - 1] + 1
+
+        at, single = 0, True
+        for end, (size, score) in self.automaton.iter(word):
+            end += 1
+            if end != at:
+                if not single and best[at - 1] + unknown > best[at]:
+                    without_piece(at)
+                while at < end - 1:
+                    at += 1
+                    without_piece(at)
+                at, top, single = end, None, False
+            candidate = best[end - size] + score
+            if top is None or candidate > top:
+                top = best[end] = candidate
+                pieces[end] = pieces[end - size] + 1
+            if size == 1:
+                single = True
+        if not single and best[at - 1] + unknown > best[at]:
+            without_piece(at)
+        while at < n:
+            at += 1
+            without_piece(at)
         return pieces[n]
 
     def count_texts(self, text: pa.Array) -> np.ndarray:
         out = []
-        for b in text_blocks(text):
+        for b in text_blocks(text, size=LOOK_UP_BYTES):
             # A word begins at each space and at the text's beginning (unless a space stands there).
             spaces = np.flatnonzero(b.data == 0x20)
             full = np.flatnonzero(np.diff(b.offsets))
