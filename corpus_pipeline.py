@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.common import stage, table
 from roadlens.llm.mixing import mix_documents
-from roadlens.llm.near_dedup import near_duplicates
+from roadlens.llm.near_dedup import BROADCAST_IDS, near_duplicates
 from roadlens.llm.packing import pack_documents
-from roadlens.llm.quality_classifier import quality_classifier
+from roadlens.llm.quality_classifier import apply_classifier, fit_classifier
 from roadlens.llm.quality_rules import quality_rules
 
 
@@ -26,13 +26,16 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
-    judged = quality_classifier(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
-    return judged.where("predicted = 1").select(*docs.columns)
+    # Fitted on all labelled documents: the rules have left hardly any bad ones among ``docs``.
+    model = fit_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return apply_classifier(docs, model).where("predicted = 1").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id; empty and unidentified ones stay."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled
+        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,20 @@ from roadlens.session import scratch_path
 
 #: Most labelled rows that a model is fitted on.
 SAMPLE_ROWS = 20_000
+PIECE_BYTES = 4 << 20
+
+
+def pieces(batch: pa.RecordBatch, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes of its last column, a text; no row is cut.
+
+    Small pieces keep the memory of a task even: what is sent back is as large as what is worked on.
+    """
+    bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0))))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + size, side="right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def append_columns(
@@ -33,9 +49,10 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_columns - 1
-            arrays = [batch.column(i) for i in range(n)] + compute(batch.column(n))
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            for part in pieces(batch):
+                n = part.num_columns - 1
+                arrays = [part.column(i) for i in range(n)] + compute(part.column(n))
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from roadlens.llm.words import Block, blocks, distinct
+from roadlens.llm.words import LOOK_UP_BYTES, Block, blocks, distinct
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -46,7 +46,7 @@ WINDOW_TOKENS = 1_500_000
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1 / 1024
 #: Distinct words that a task remembers.
-REMEMBER = 2_000_000
+REMEMBER = 1_000_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
@@ -74,9 +74,9 @@ class WordIds:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.begin = np.zeros(0, dtype=np.int64)
-        self.length = np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
+        self.begin = np.zeros(0, dtype=np.int32)
+        self.length = np.zeros(0, dtype=np.int32)
+        self.ids = np.zeros(0, dtype=np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
 
     def encode(self, word: str) -> list[int]:
         """Ids of a word.  Plain lower-case letters are one piece of the tokenizer's pattern, a stop after them another."""
@@ -102,7 +102,7 @@ class WordIds:
             found = [self.encode(b.word(i).decode("utf-8", "replace")) for i in first[new].tolist()]
             length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             begin = len(self.ids) + np.cumsum(length) - length
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(length.sum()))))
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), self.ids.dtype, int(length.sum()))))
             at = np.searchsorted(self.hashes, hashes[new])
             self.hashes = np.insert(self.hashes, at, hashes[new])
             self.begin = np.insert(self.begin, at, begin)
@@ -124,7 +124,7 @@ def token_ids(b: Block, memory: WordIds) -> tuple[np.ndarray, np.ndarray]:
     ends = np.searchsorted(b.doc, np.arange(b.n_docs), side="right")
     lengths = np.insert(length, ends, 1)
     begins = np.insert(begin, ends, len(memory.ids))
-    pool = np.append(memory.ids, np.uint32(END_ID))
+    pool = np.append(memory.ids, memory.ids.dtype.type(END_ID))
     total = np.cumsum(lengths)
     ids = pool[np.arange(total[-1]) + np.repeat(begins - (total - lengths), lengths)]
     last = ends + np.arange(b.n_docs)
@@ -134,7 +134,7 @@ def token_ids(b: Block, memory: WordIds) -> tuple[np.ndarray, np.ndarray]:
 def texts_of(text: pa.Array) -> Iterator[Block]:
     """Blocks of lower-cased texts; as they are where one may hold a special string, whose case counts."""
     special = pc.any(pc.match_substring(text.cast(pa.large_string()), "<|")).as_py()
-    return blocks(text, lower=not special)
+    return blocks(text, lower=not special, size=LOOK_UP_BYTES)
 
 
 def plan(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.llm.common import SAMPLE_ROWS, append_columns, fold, labelled_sample, stage
-from roadlens.llm.words import Block, Memory, blocks, distinct, keyed, segment_hash
+from roadlens.llm.words import LOOK_UP_BYTES, Block, Memory, blocks, distinct, keyed, segment_hash
 
 LEXICON = 5_000
 LEAST_TOXIC = 3
@@ -181,7 +181,7 @@ class Matcher:
         return self.trie.within_one(word), 1
 
     def features(self, text: pa.Array) -> np.ndarray:
-        parts = [self._block(b) for b in blocks(text, lower=True)]
+        parts = [self._block(b) for b in blocks(text, lower=True, size=LOOK_UP_BYTES)]
         return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
 
     def _block(self, b: Block) -> np.ndarray:

@@ -17,7 +17,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that are worked on at once; the arrays made of them take some forty times as much.
+BLOCK_BYTES = 1 << 20
+#: For work that looks words up in a memory, which larger blocks do less often.
+LOOK_UP_BYTES = 2 << 20
 #: Longer segments are hashed one by one.
 LONG = 4096
 
@@ -172,7 +175,7 @@ class Memory:
     Holds at most ``most`` words; when a block would exceed that, it starts anew.
     """
 
-    def __init__(self, width: int, most: int = 2_000_000) -> None:
+    def __init__(self, width: int, most: int = 1_000_000) -> None:
         self.width, self.most = width, most
         self._clear()
 
