@@ -239,9 +239,11 @@ def _candidate_edges(sets: DataFrame) -> DataFrame:
         .select("rep", "set_id",
                 estimate([F.col(c) for c in _LANE], [F.col(f"rep_{c}") for c in _LANE]).alias("alike"), *_LANE),
         "op6-star")
-    rest = members.join(star, ["rep", "set_id"]).where(F.col("alike") < TIGHT)
-    often = rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rest = rest.select("key", "set_id", *_LANE).join(often, "key")
+    rest = stage(members.join(star, ["rep", "set_id"]).where(F.col("alike") < TIGHT).select("key", "set_id", *_LANE),
+                 "op6-rest")
+    # A written table, so that the join reads both shuffles directly and can split a hot bucket.
+    often = stage(rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "op6-often")
+    rest = rest.join(often, "key")
     dealt = _in_blocks(rest, "key", "set_id", F.ceil(F.col("n") / BLOCK_SETS)).select("key", "bi", "bj", "set_id", *_LANE)
     among = (dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
              .mapInArrow(_bucket_edges, "a long, b long"))
@@ -252,7 +254,7 @@ def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
     """Exact links (a, b) within the clusters that candidate edges make."""
     clusters = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
     sized = clusters.join(sets.select("set_id", "n_shingles"), "set_id")
-    totals = sized.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    totals = stage(sized.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")), "op6-totals")
     parts = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("total") / BLOCK_SHINGLES))
     wanted = stage(clusters.join(totals, "cluster").select("set_id", "cluster", parts.alias("parts")), "op6-wanted")
     if wanted.count() <= BROADCAST_IDS:
