@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from roadlens.plans.registry import QUERIES  # noqa: E402
 from roadlens.session import build_session  # noqa: E402
 
 
@@ -57,7 +57,7 @@ def main(argv: list[str]) -> None:
     print()
     print("| key | exchanges | joins | top-k / window limit / subquery | max task rows |")
     print("| --- | --- | --- | --- | --- |")
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if name.startswith("o_"):
             continue
         buf = io.StringIO()
