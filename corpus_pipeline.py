@@ -17,6 +17,9 @@ from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import apply_classifier, fit_classifier
 from roadlens.llm.quality_rules import quality_rules
 
+#: Documents that share so many percent of their five-word shingles are near copies.
+NEAR_PERCENT = 80
+
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -33,7 +36,7 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id; empty and unidentified ones stay."""
-    gone = stage(near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    gone = stage(near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")).select("doc_id").distinct(), "gone")
     if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled
         gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -9,11 +9,12 @@
    it must then lie within LOOSE of the bucket's smallest (Jaccard distance obeys the triangle inequality).
    The sets that remain in a bucket are compared with each other in blocks of bounded size.
 3. Candidate edges form clusters.  The full sets of a cluster are shipped once, in blocks of bounded size,
-   and all pairs inside are confirmed exactly: 100 * |intersection| >= 85 * |union|.
+   and all pairs inside are confirmed exactly: 100 * |intersection| >= percent * |union|.
 4. The confirmed links form the components.
 
-Nothing is capped: larger buckets and clusters make more blocks.  A pair at similarity 0.85 shares no band
-with probability (1 - 0.85^4)^24, about 2e-8.  Shingles are compared by 64-bit hashes.
+LOOSE follows from the threshold (:func:`loose`).  Nothing is capped: larger buckets and clusters make more
+blocks.  A pair at similarity 0.85 shares no band with probability (1 - 0.85^4)^24, about 2e-8; at 0.80 about
+3e-6.  Shingles are compared by 64-bit hashes.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; rows that share an
 id are one document of several texts, a link of any of them counts; a null id takes no part in links, its
@@ -39,7 +40,9 @@ PERCENT = 85
 BANDS, ROWS, BITS = 24, 4, 4
 MINIMA = BANDS * ROWS
 LANES = MINIMA * BITS // 64
-LOOSE, TIGHT = 0.6, 0.8
+TIGHT = 0.8
+#: What LOOSE leaves for the error of an estimate, about four standard deviations.
+SLACK = 0.15
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1_000_000
 #: Up to so many ids (8 MB) are broadcast to the documents; more are joined by a shuffle.
@@ -105,6 +108,15 @@ _SIGNATURE = T.StructType(
     + [T.StructField("bands", T.ArrayType(T.LongType()))])
 
 
+def loose(percent: int) -> float:
+    """Least estimate of a candidate edge.
+
+    Estimated distances obey the triangle inequality too: what links with a set that lies within 1 - TIGHT
+    of a bucket's smallest is estimated within (1 - TIGHT) + (1 - percent / 100) of it, but for SLACK.
+    """
+    return TIGHT - (1 - percent / 100) - SLACK
+
+
 def estimate(left: list, right: list):
     """Similarity from two packed signatures (lists of long columns): bit counts, corrected for chance."""
     differ = F.lit(0)
@@ -177,12 +189,12 @@ def _in_blocks(df: DataFrame, group: str, member: str, n_blocks) -> DataFrame:
     return dealt.withColumn("__o", other).withColumn("bi", F.least("__c", "__o")).withColumn("bj", F.greatest("__c", "__o")).drop("__n", "__c", "__o")
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate edges among the remaining sets of each block of a bucket."""
+def _bucket_edges(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Candidate edges, of an estimate of ``least`` or more, among the remaining sets of each block of a bucket."""
     for t in _by_group(batches, 3):
         ids = t.column("set_id").to_numpy()
         lanes = np.stack([t.column(c).to_numpy() for c in _LANE], axis=1).view(np.uint64)
-        edges = np.array(_forest(_estimates(lanes) >= LOOSE), dtype=np.int64).reshape(-1, 2)
+        edges = np.array(_forest(_estimates(lanes) >= least), dtype=np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
 
 
@@ -205,14 +217,14 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _exact_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Links confirmed on full sets in each block of a cluster, thinned to a spanning forest."""
     for t in _by_group(batches, 3):
         ids = t.column("set_id").to_numpy()
         sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in t.column("hashes")]
         size = np.array([len(s) for s in sets])
         both = overlaps(sets)
-        linked = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
         edges = np.array(_forest(linked), dtype=np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
 
@@ -226,8 +238,9 @@ def _sets_of(text: pa.Array) -> list[pa.Array]:
     return [pa.array(out, pa.binary())]
 
 
-def _candidate_edges(sets: DataFrame) -> DataFrame:
-    """Edges between distinct sets whose estimated similarity is LOOSE or more, enough to connect all such pairs."""
+def _candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges between distinct sets whose estimated similarity is LOOSE or more, enough to connect all pairs at ``percent``."""
+    least = loose(percent)
     rows = sets.select("set_id", F.explode("bands").alias("key"))
     buckets = stage(rows.groupBy("key").agg(F.min("set_id").alias("rep"), F.count("*").alias("n")).where("n > 1"),
                     "op6-buckets")
@@ -246,11 +259,11 @@ def _candidate_edges(sets: DataFrame) -> DataFrame:
     rest = rest.join(often, "key")
     dealt = _in_blocks(rest, "key", "set_id", F.ceil(F.col("n") / BLOCK_SETS)).select("key", "bi", "bj", "set_id", *_LANE)
     among = (dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-             .mapInArrow(_bucket_edges, "a long, b long"))
-    return star.where(F.col("alike") >= LOOSE).select(F.col("rep").alias("a"), F.col("set_id").alias("b")).unionByName(among)
+             .mapInArrow(lambda batches: _bucket_edges(batches, least), "a long, b long"))
+    return star.where(F.col("alike") >= least).select(F.col("rep").alias("a"), F.col("set_id").alias("b")).unionByName(among)
 
 
-def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
+def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """Exact links (a, b) within the clusters that candidate edges make."""
     clusters = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
     sized = clusters.join(sets.select("set_id", "n_shingles"), "set_id")
@@ -264,11 +277,11 @@ def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
     full = append_columns(texts, "text", schema, _sets_of, ["cluster", "parts", "set_id"])
     dealt = _in_blocks(full, "cluster", "set_id", F.col("parts")).select("cluster", "bi", "bj", "set_id", "hashes")
     return (dealt.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj")
-            .mapInArrow(_exact_links, "a long, b long"))
+            .mapInArrow(lambda batches: _exact_links(batches, percent), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text); links from ``percent`` on."""
     signed = stage(append_columns(docs.select("doc_id", "text"), "text", _SIGNATURE, _signatures, ["doc_id"]), "op6-signed")
     some = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # Equal sets have equal signatures and bands, so any of them will do.
@@ -276,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         some.groupBy("set_a", "set_b", "n_shingles").agg(
             F.min("doc_id").alias("set_id"), *[F.min(c).alias(c) for c in _LANE], F.first("bands").alias("bands")),
         "op6-sets")
-    links = _confirmed(docs, sets, _candidate_edges(sets))
+    links = _confirmed(docs, sets, _candidate_edges(sets, percent), percent)
     found = components(links)
     named = stage(
         sets.join(found, sets["set_id"] == found["node"], "left")

@@ -43,7 +43,7 @@ def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

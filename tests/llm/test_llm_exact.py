@@ -223,6 +223,57 @@ def test_large_groups_go_in_many_blocks(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def _links(texts, percent):
+    """Pairs (i, j), i < j, of documents at ``percent`` or more, by comparing all pairs; and each pair's similarity."""
+    sets = []
+    for text in texts:
+        w = words(text, lower=True)
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set()))
+    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+             for j in range(len(sets)) for i in range(j) if sets[i] and sets[j] and not sets[i].isdisjoint(sets[j])}
+    return {p for p, x in alike.items() if round(100 * x, 9) >= percent}, alike
+
+
+def _groups(n, links):
+    """Smallest member of the group of each of n documents."""
+    group = list(range(n))
+    for _ in range(n):
+        before = list(group)
+        for i, j in links:
+            group[i] = group[j] = min(group[i], group[j])
+        if group == before:
+            return group
+    return group
+
+
+def test_pipeline_near_dedup_links_from_080(spark):
+    """The stage as wired, against all pairs, with pairs between 0.80 and 0.85 and just below 0.80."""
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    texts = []
+    for size in range(60, 240, 4):
+        base = [f"b{size}x{i}" for i in range(size)]
+        texts.append(" ".join(base))
+        # the first k words replaced: k shingles differ on either side
+        for similarity in (0.76, 0.79, 0.81, 0.83, 0.88):
+            k = round((size - 4) * (1 - similarity) / (1 + similarity))
+            edited = [f"e{rng.random()}" for _ in range(k)] + base[k:]
+            if rng.random() < 0.5:
+                texts.append(" ".join(edited))
+    # a pair at exactly 16 of 20 shingles
+    texts += [" ".join(f"s{i}" for i in range(22)), " ".join(f"s{i}" for i in range(2, 24))]
+    links, alike = _links(texts, 80)
+    assert sum(0.8 <= x < 0.85 for x in alike.values()) > 30 and sum(0.75 < x < 0.8 for x in alike.values()) > 30
+    want = _groups(len(texts), links)
+    assert want != _groups(len(texts), _links(texts, 85)[0])
+    kept = corpus_pipeline.near_dedup(spark, documents(spark, texts), None).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(want))
+    got = {r["doc_id"]: r["component_id"]
+           for r in near_dedup.near_duplicates(documents(spark, texts), corpus_pipeline.NEAR_PERCENT).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_estimate_is_close_to_the_similarity():
     rng = random.Random(9)
     base = [f"w{i}" for i in range(2000)]
