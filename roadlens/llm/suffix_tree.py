@@ -1,22 +1,23 @@
 """Operator 5, language-model scoring by a probabilistic suffix tree over words.
 
-Training, each step one pass over the texts that are counted in Spark:
+Everything the tree learns is a Spark table; nothing of it comes to the driver or is broadcast.
 
 1. How often each token occurs, over all training texts.  Tokens are the words of a text (A-Z lowered) and
    one end.  The counts are the root of the tree.
-2. For each length 1 to DEPTH, what follows the contexts of that length: tokens before it in the same text,
-   the text's beginning included.  As in suffix-tree learning, contexts and followers below a probability
-   (CONTEXT_FROM, FOLLOWER_FROM of all tokens, at least two occurrences) are not candidates, which bounds
-   the tree by 1 / FOLLOWER_FROM entries a level, whatever the corpus; counting itself covers all texts.
+2. Every token of every text with the two tokens before it (the text's beginning included) is a gram.  One
+   pass writes the texts in pieces, as places in the list of the piece's distinct grams, and these lists
+   with their counts, which Spark adds up.  Followers of a context that occur LEAST times or more are listed
+   there, whatever the size of the corpus.
 3. A context is retained if its followers' distribution diverges from that of its suffix by DIVERGENCE nats
    an occurrence or more.  Suffixes of retained contexts are kept too.
+4. Each distinct gram gets its probability; the lists of the pieces are joined to it by a shuffle, and each
+   piece meets its list in one task.
 
-Scoring walks each text with the longest retained suffix as its state.  A follower listed there has its
-discounted relative frequency; the mass that is left is spread over the others in proportion to the parent's
-distribution, so each state's probabilities sum to one (an unseen token counts as one more word).
+A token's state is the longest retained suffix.  A follower listed there has its discounted relative
+frequency; the mass that is left is spread over the others in proportion to the parent's distribution, so
+each state's probabilities sum to one (an unseen token counts as one more word).
 
-The tree is broadcast, as is the list of words above FOLLOWER_FROM: both bounded.  Rarer words cannot be
-followers, so their probability is always the root's: they are joined to the counts by a shuffle and added.
+:func:`fit_tree` is the same tree in memory, for small corpora: the tests hold the tables against it.
 
 Defined results: null and empty texts are the end alone; null ids are scored, are not trained on and have
 ``held_out`` null; extra columns are left out; with no training text every token has probability 1.
@@ -32,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import fold, stage
-from roadlens.llm.words import Block, blocks, distinct
+from roadlens.llm.common import fold, pieces, stage
+from roadlens.llm.words import Block, blocks, distinct, mix64, weights
 
 DEPTH = 2
-FOLLOWER_FROM = 1 / 2_000_000
-CONTEXT_FROM = 1 / 50_000
+#: Occurrences of a context and of its follower; they do not depend on the size of the corpus.
+LEAST = 2
 DIVERGENCE = 0.02
 DISCOUNT = 0.75
 HELD_OUT = 1
@@ -46,6 +47,9 @@ HELD_OUT = 1
 END = np.int64(-1)
 #: Words have numbers below 2**21, so a context's number and a follower fit in 63 bits.
 _WIDTH = 1 << 21
+#: Bytes of text whose grams are listed together.
+_LISTED = 8 << 20
+_GRAM = weights(3, 1 << 45)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -209,10 +213,8 @@ def _keep(level: Level, keep: np.ndarray) -> Level:
 
 
 def fit_tree(training: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH) -> Tree:
-    """The tree of the training texts; only frequent words, contexts and followers (all bounded) come to the driver."""
-    least = max(2, int(np.ceil(total * FOLLOWER_FROM)))
-    context_least = max(2, int(np.ceil(total * CONTEXT_FROM)))
-    words = counts.where((F.col("c") >= least) & (F.col("token") != F.lit(int(END)))).toArrow()
+    """The tree of the training texts in memory, for small corpora."""
+    words = counts.where((F.col("c") >= LEAST) & (F.col("token") != F.lit(int(END)))).toArrow()
     hashes = words.column("token").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, c = hashes[order], words.column("c").to_numpy()[order]
@@ -220,20 +222,20 @@ def fit_tree(training: DataFrame, counts: DataFrame, total: int, vocabulary: int
     every = np.append(c, n_end).astype(float)
     root = np.log10((every + 0.5) / (total + 0.5 * (vocabulary + 1)))
     tree = Tree(hashes, root, len(hashes), [])
-    contexts, totals = np.flatnonzero(every >= context_least), every[every >= context_least]
+    contexts, totals = np.flatnonzero(every >= LEAST), every[every >= LEAST]
     keep: list[np.ndarray] = []
     for _ in range(depth):
         if not len(contexts):
             break
         none = np.zeros(0)
         tree.levels.append(Level(contexts, np.zeros(len(contexts)), np.zeros(0, dtype=np.int64), none))
-        found = _count_followers(training, tree, least).toArrow()
+        found = _count_followers(training, tree, LEAST).toArrow()
         keys, n = found.column("key").to_numpy(), found.column("n").to_numpy()
         keep.append(_fill(tree, keys, n, totals) >= DIVERGENCE)
         entries = tree.levels[-1].entries
         order = np.argsort(keys)
         n = n[order]
-        longer = (n >= context_least) & (entries % _WIDTH != tree.end)  # a context's number: its shorter one, then its last token
+        longer = (n >= LEAST) & (entries % _WIDTH != tree.end)  # a context's number: its shorter one, then its last token
         contexts, totals = entries[longer], n[longer].astype(float)
     # a retained context keeps its suffixes
     for level in range(len(tree.levels) - 1, 0, -1):
@@ -257,56 +259,143 @@ def log_probability(number: np.ndarray, doc: np.ndarray, tree: Tree) -> tuple[np
     return score, root
 
 
-def score_texts(docs: DataFrame, counts: DataFrame, tree: Tree, total: int, vocabulary: int) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, base_score, score) of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def _grams(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, second token before, token before, token, text) of all tokens of a block, the end after each text's words.
+
+    The beginning of a text is written as the end, also as what stands before it: that context has the
+    followers of the beginning alone, so it does not diverge.
+    """
+    ends = np.searchsorted(b.doc, np.arange(b.n_docs), side="right")
+    token, doc = np.insert(b.hash.view(np.int64), ends, END), np.insert(b.doc, ends, np.arange(b.n_docs))
+    before, second = np.full(len(token), END), np.full(len(token), END)
+    before[1:] = np.where(doc[1:] == doc[:-1], token[:-1], END)
+    second[1:] = np.where(doc[1:] == doc[:-1], before[:-1], END)
+    key = sum((x.view(np.uint64) * w for x, w in zip((second, before, token), _GRAM, strict=True)), np.uint64(0))
+    return mix64(key).view(np.int64), second, before, token, doc
+
+
+def list_grams(texts: DataFrame) -> DataFrame:
+    """A row for each text: (piece, doc_id, held_out, places, start, key, c2, c1, token, n).
+
+    ``places`` are those of the text's grams in the list of its piece.  The list is dealt to the rows of the
+    piece, each has the part from place ``start``; n counts a gram in the training texts of the piece.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            n_tokens, n_known, base, score, rare, rare_of = [], [], [], [], [], []
-            for b in blocks(batch.column(3), lower=True):
-                number, doc, hashes = _walk(b, own)
-                by_tree, by_root = log_probability(number, doc, own)
-                n_tokens.append(b.per_doc(doc))
-                n_known.append(b.per_doc(doc[number >= 0]))
-                base.append(b.per_doc(doc, by_root))
-                score.append(b.per_doc(doc, by_tree))
-                unknown = number < 0
-                rare.append(hashes[unknown].view(np.int64))
-                rare_of.append(b.per_doc(doc[unknown]).astype(np.int64))
-            if not n_tokens:
-                continue
-            offsets = np.concatenate(([0], np.cumsum(np.concatenate(rare_of))))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rare)))
-            long = lambda parts: pa.array(np.concatenate(parts).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), long(n_tokens), long(n_known),
-                 pa.array(np.concatenate(base)), pa.array(np.concatenate(score)), lists],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "tree", "rare"])
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    walked = stage(
-        _texts(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-            run, f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, tree double, "
-                 "rare array<long>"), "op5-walked")
-    each = walked.select("row", F.explode("rare").alias("token")).join(counts, "token", "left")
+        for whole in batches:
+            for batch in pieces(whole, _LISTED):
+                learnt = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+                found, lengths = [], []
+                for b in blocks(batch.column(4), lower=True):
+                    *gram, doc = _grams(b)
+                    found.append((*gram, learnt[b.lo + doc]))
+                    lengths.append(b.per_doc(doc).astype(np.int64))
+                key, c2, c1, token, counted = (np.concatenate(x) for x in zip(*found, strict=True))
+                values, first, inverse = distinct(key)
+                n = np.bincount(inverse, counted, len(values)).astype(np.int64)
+                ends = pa.array(np.concatenate(([0], np.cumsum(np.concatenate(lengths)))), pa.int32())
+                dealt = np.linspace(0, len(values), batch.num_rows + 1).astype(np.int32)
+                deal = lambda x: pa.ListArray.from_arrays(pa.array(dealt), pa.array(x))  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(batch.column(0)[0], batch.num_rows), batch.column(1), batch.column(2),
+                     pa.ListArray.from_arrays(ends, pa.array(inverse.astype(np.int32))), pa.array(dealt[:-1]),
+                     *[deal(x) for x in (values, c2[first], c1[first], token[first], n)]],
+                    names=["piece", "doc_id", "held_out", "places", "start", "key", "c2", "c1", "token", "n"])
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    return texts.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "held_out",
+        F.coalesce(~F.col("held_out"), F.lit(False)).alias("learnt"), "text").mapInArrow(
+            run, f"piece long, doc_id {id_type}, held_out boolean, places array<int>, start int, key array<long>, "
+                 "c2 array<long>, c1 array<long>, token array<long>, n array<long>")
+
+
+def count_grams(listed: DataFrame) -> DataFrame:
+    """(key, c2, c1, token, n) of the distinct grams of all texts; n counts those of the training texts."""
+    each = listed.select(F.explode(F.arrays_zip("key", "c2", "c1", "token", "n")).alias("g")).select("g.*")
+    return each.groupBy("key").agg(*[F.first(c).alias(c) for c in ("c2", "c1", "token")], F.sum("n").alias("n"))
+
+
+def _contexts(followers: DataFrame, context: list[str], parent_log_p: str) -> DataFrame:
+    """(context, total, back_off, diverging); back_off is a log10.  Contexts that training lacks are as their suffix."""
+    listed = F.col("n") >= LEAST
+    mass = F.when(listed, F.col("n") - DISCOUNT).otherwise(0.0)
+    sums = followers.groupBy(*context).agg(
+        F.sum("n").alias("total"), F.sum(mass).alias("mass"),
+        F.sum(F.when(listed, F.pow(F.lit(10.0), F.col(parent_log_p))).otherwise(0.0)).alias("parent"),
+        F.sum(F.when(listed, mass * (F.log(mass) - F.col(parent_log_p) * float(np.log(10)))).otherwise(0.0)).alias("gain"))
+    total = F.greatest("total", F.lit(1))
+    left = F.greatest(1 - F.col("mass") / total, F.lit(1e-9))
+    share = left / F.greatest(1 - F.col("parent"), F.lit(1e-9))
+    gain = (F.col("gain") - F.col("mass") * F.log(total)) / total + left * F.log(share)
+    return sums.select(
+        *context, "total", F.log10(share).alias("back_off"), F.when(F.col("mass") > 0, gain).otherwise(0.0).alias("diverging"))
+
+
+def _follower_log_p(parent_log_p: str):
+    """log10 probability of a follower in a context, by its own count there or by the context's suffix."""
+    return (F.when(F.col("n") >= LEAST, F.log10((F.col("n") - DISCOUNT) / F.col("total")))
+            .otherwise(F.col("back_off") + F.col(parent_log_p)))
+
+
+def gram_scores(grams: DataFrame, counts: DataFrame, total: int, vocabulary: int) -> DataFrame:
+    """(key, known, root, log_p) of each distinct gram: log10 probabilities by the root and by the tree.
+
+    Contexts are written before they are joined, so that the joins read their shuffles directly and can
+    split a hot one.
+    """
     c = F.coalesce(F.col("c"), F.lit(0))
-    rare = each.groupBy("row").agg(
-        F.sum(F.log10((c + 0.5) / F.lit(total + 0.5 * (vocabulary + 1)))).alias("rare_score"),
-        F.count("c").alias("rare_known"))
-    both = walked.drop("rare").join(rare, "row", "left")
-    added = F.coalesce("rare_score", F.lit(0.0))
-    return both.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + added).alias("base_score"), (F.col("tree") + added).alias("score"))
+    pairs = stage(grams.groupBy("c1", "token").agg(F.sum("n").alias("n")).join(counts, "token", "left").select(
+        "c1", "token", "n", (c > 0).alias("known"),
+        F.log10((c + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("root")), "op5-pairs")
+    ones = stage(_contexts(pairs, ["c1"], "root"), "op5-ones")
+    pairs = stage(pairs.join(ones, "c1").select("c1", "token", "known", "root", _follower_log_p("root").alias("one")), "op5-pairs")
+    full = stage(grams.join(pairs, ["c1", "token"]), "op5-full")
+    twos = stage(_contexts(full, ["c2", "c1"], "one").withColumn("keep", F.col("diverging") >= DIVERGENCE), "op5-twos")
+    # a retained context keeps its suffix
+    suffixes = twos.where("keep").select("c1").distinct().withColumn("suffix", F.lit(True))
+    kept = stage(ones.join(suffixes, "c1", "left").select(
+        "c1", (F.coalesce("suffix", F.lit(False)) | (F.col("diverging") >= DIVERGENCE)).alias("keep_one")), "op5-kept")
+    states = stage(twos.select("c2", "c1", "total", "back_off", "keep").join(kept, "c1"), "op5-states")
+    return full.join(states, ["c2", "c1"]).select(
+        "key", "known", "root",
+        F.when(F.col("keep"), _follower_log_p("one")).when(F.col("keep_one"), F.col("one")).otherwise(F.col("root")).alias("log_p"))
+
+
+def score_texts(listed: DataFrame, scores: DataFrame, total: int) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
+
+    def summed(texts: pa.Table, grams: pa.Table) -> pa.Table:
+        places = texts.column("places").combine_chunks()
+        length = np.diff(places.offsets.to_numpy())
+        of, place = np.repeat(np.arange(len(length)), length), places.flatten().to_numpy()
+        at = grams.column("place").to_numpy()
+
+        def add(name: str) -> np.ndarray:
+            values = np.zeros(len(at))
+            values[at] = grams.column(name).to_numpy()
+            return np.bincount(of, values[place], len(length))
+
+        return pa.table([texts.column("doc_id"), texts.column("held_out"), pa.array(length.astype(np.int64)),
+                         pa.array(add("known").astype(np.int64)), pa.array(np.full(len(length), total)),
+                         pa.array(add("root")), pa.array(add("log_p"))],
+                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    each = listed.select("piece", "start", F.posexplode("key").alias("at", "key"))
+    found = each.join(scores, "key").select(F.col("piece").alias("of"), (F.col("start") + F.col("at")).alias("place"),
+                                            F.col("known").cast("int").alias("known"), "root", "log_p")
+    id_type = listed.schema["doc_id"].dataType.simpleString()
+    return listed.select("piece", "doc_id", "held_out", "places").groupBy("piece").cogroup(found.groupBy("of")).applyInArrow(
+        summed, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+                "score double")
 
 
 def suffix_tree_scores(docs: DataFrame) -> DataFrame:
     """Learn from the texts that are not held out, then score every text."""
-    training = _texts(docs).where(~F.col("held_out"))
-    counts = stage(count_tokens(training), "op5-counts").where("c > 0")
+    texts = _texts(docs)
+    counts = stage(count_tokens(texts.where(~F.col("held_out"))), "op5-counts").where("c > 0")
     found = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, vocabulary = int(found["n"] or 0), int(found["v"])
-    return score_texts(docs, counts, fit_tree(training, counts, total, vocabulary), total, vocabulary)
+    listed = stage(list_grams(texts), "op5-listed")
+    grams = stage(count_grams(listed), "op5-grams")
+    return score_texts(listed, gram_scores(grams, counts, total, vocabulary), total)

@@ -427,6 +427,37 @@ def test_suffix_tree_states_sum_to_one(spark):
         assert math.isclose(mass, 1, rel_tol=1e-6), before
 
 
+def test_suffix_tree_tables_are_the_tree(spark):
+    """Scores by the tables are those of the tree in memory."""
+    rng = random.Random(12)
+    docs = documents(spark, [prose(rng, rng.randint(0, 60), 30) for _ in range(80)] + [None, "", "never seen"])
+    training = suffix_tree._texts(docs).where(~suffix_tree.F.col("held_out"))
+    counts = suffix_tree.count_tokens(training).cache()
+    total, vocabulary = counts.agg(suffix_tree.F.sum("c")).first()[0], counts.count()
+    of = {r["token"]: r["c"] for r in counts.collect()}
+    tree = suffix_tree.fit_tree(training, counts, total, vocabulary)
+    assert len(tree.levels) == 2 and len(tree.levels[1].entries)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.suffix_tree_scores(docs).collect()}
+    for r in docs.collect():
+        want = 0.0
+        for b in blocks(pa.array([r["text"]], pa.string()), lower=True):
+            number, doc, hashes = suffix_tree._walk(b, tree)
+            want += suffix_tree.log_probability(number, doc, tree)[0].sum()
+            want += sum(math.log10((of.get(h, 0) + 0.5) / (total + 0.5 * (vocabulary + 1)))
+                        for h in hashes[number < 0].view(np.int64).tolist())
+        assert math.isclose(got[r["doc_id"]], want, rel_tol=1e-9, abs_tol=1e-9), r
+
+
+def test_suffix_tree_learns_rare_contexts_of_a_large_corpus(spark):
+    """What was seen five times counts, however many other tokens there are."""
+    learnt = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1][:45]
+    held = next(i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1)
+    texts = [(i, "alpha beta gamma" if n < 5 else "filler " * 12_000) for n, i in enumerate(learnt)] + [(held, "alpha beta gamma")]
+    got = {r["doc_id"]: r for r in suffix_tree.suffix_tree_scores(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got[held]["train_tokens"] > 400_000
+    assert got[held]["score"] > got[held]["base_score"] + 10
+
+
 # op 8
 
 
