@@ -199,3 +199,18 @@ def test_job_runs_analyses_in_parallel(spark, tables_small, tmp_out):
     assert list(written) == list(ANALYSES)
     for name in ("a03", "a10"):
         assert rows(read_table(spark, written[name])) == rows(_as_strings(ANALYSES[name](tables_small))), name
+
+
+def test_single_file_query_writes_a_bounded_result(spark, monkeypatch, tmp_out):
+    """One line for each property, not one for each damage; the counts add up to the table."""
+    from conftest import SF_SMALL
+
+    from roadlens.plans import registry
+    from roadlens.sources.fixtures import crash_tables
+
+    monkeypatch.setattr(registry, "scratch_path", lambda *_: f"{tmp_out}/single")
+    damages = crash_tables(spark, SF_SMALL).damages
+    got = registry.o_single_file(spark, SF_SMALL).collect()
+    assert [tuple(r) for r in got] == [(damages.count(), 1)]
+    written = spark.read.option("header", True).csv(f"{tmp_out}/single").count()
+    assert written == damages.select("damaged_property").distinct().count() < damages.count()
