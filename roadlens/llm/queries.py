@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.llm.bit_packing import packed_ids
 from roadlens.llm.common import fold, table
 from roadlens.llm.knn_join import knn_join, scaled
 from roadlens.llm.mixing import mix_documents
@@ -63,6 +64,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_join": op1_knn_join,
     "op2_sharding": op2_sharding,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_bit_packing": op11_bit_packing,
 }
 
 OP1_SQL = """
