@@ -24,8 +24,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 #: Distinct chunks, and their ids, that a worker remembers.
 REMEMBER, REMEMBER_IDS = 1_000_000, 16_000_000
 
-_WHITE = np.zeros(256, dtype=bool)
-_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: ASCII letters, digits and signs other than the apostrophe.
 _KIND = np.array([1 if chr(i).isalpha() else 2 if chr(i).isdigit() else 3 if 32 < i < 127 and i != 39 else 0
                   for i in range(128)] + [0] * 128, dtype=np.uint8)
@@ -65,7 +65,7 @@ def byte_level_chunks(data: np.ndarray, offsets: np.ndarray, whole: tuple[bytes,
     the character after white space.  Apostrophes, bytes beyond ASCII and control characters have no class,
     and after what may be white space beyond ASCII there is no cut.  Strings in ``whole`` are not cut.
     """
-    first = _cuts(data, offsets, _WHITE[data])
+    first = _cuts(data, offsets, WHITE[data])
     start = np.flatnonzero(first)
     heads = np.zeros(len(data) + 1, dtype=bool)
     heads[offsets] = True

@@ -13,6 +13,7 @@ from roadlens.llm.knn_join import knn_join, scaled
 from roadlens.llm.mixing import mix_documents
 from roadlens.llm.near_dedup import near_duplicates
 from roadlens.llm.packing import pack_documents
+from roadlens.llm.periodic_runs import longest, periodic_runs, with_repeats
 from roadlens.llm.quality_classifier import quality_classifier
 from roadlens.llm.quality_rules import quality_rules
 from roadlens.llm.sharding import shard_documents
@@ -68,6 +69,16 @@ def op11_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeats(table(spark, sf_dir, "documents")), carry=["doc_id"]).withColumn("r", longest())
+    line = lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n_runs", "r.start", "r.length", "r.period",
+        F.floor(1000 * F.col("r.length") / F.col("r.period")).alias("exponent_milli"),
+        digest(F.concat_ws("", F.transform("runs", line))).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_join": op1_knn_join,
     "op2_sharding": op2_sharding,
@@ -80,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_bit_packing": op11_bit_packing,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 OP1_SQL = """

@@ -1,0 +1,144 @@
+"""Operator 12 against brute force: Lyndon words, runs, the repeated texts and the digests."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import AWKWARD, awkward, documents, nothing, words
+
+from roadlens.llm.periodic_runs import lyndon_groups, periodic_runs, runs_of_block
+from roadlens.llm.queries import QUERIES
+from roadlens.llm.words import blocks
+
+
+def lyndon_length(w, i, order):
+    best = 1
+    for j in range(i + 1, len(w) + 1):
+        x = [order * c for c in w[i:j]]
+        if all(x < x[k:] for k in range(1, len(x))):
+            best = j - i
+    return best
+
+
+def all_runs(w, times=4, least=6):
+    """Every period by itself: maximal stretches of words that equal those a period on, of no smaller period."""
+    out = []
+    for q in range(1, len(w) // times + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, times * q):
+                x = w[i:j + q]
+                if not any(x[r:] == x[:-r] for r in range(1, q)):
+                    out.append((i, j - i + q, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=3))
+def test_grouping_gives_lyndon_words(texts):
+    flat = np.array([c for t in texts for c in [-1, *t]])
+    for order in (1, -1):
+        rank = flat if order == 1 else np.where(flat < 0, flat, 3 - flat)
+        length, group = lyndon_groups(rank)
+        want, content = [], {}
+        for t in texts:
+            want += [0, *[lyndon_length(t, i, order) for i in range(len(t))]]
+        assert length.tolist() == want
+        for i in np.flatnonzero(flat >= 0).tolist():
+            root = tuple(flat[i:i + length[i]])
+            assert content.setdefault(int(group[i]), root) == root
+        assert len(set(content.values())) == len(content) and (group[flat < 0] == -1).all()
+
+
+def periodic(rng, letters):
+    w = [rng.randrange(letters) for _ in range(rng.randrange(60))]
+    for _ in range(rng.randrange(4)):
+        base = [rng.randrange(letters) for _ in range(rng.randint(1, 6))]
+        at, n = rng.randint(0, len(w)), len(base) * rng.randint(2, 8)
+        w[at:at] = (base * 8)[:n - rng.randrange(len(base))]
+    return w
+
+
+def test_runs_of_blocks():
+    rng, n_runs = random.Random(9), 0
+    for _ in range(1500):
+        texts = [periodic(rng, rng.randint(1, 6)) for _ in range(rng.randint(1, 4))]
+        (b,) = blocks(pa.array([" ".join(f"w{x}" for x in w) for w in texts]))
+        got = runs_of_block(b)
+        want = {d: r for d, w in enumerate(texts) if (r := all_runs(w))}
+        assert got == want
+        n_runs += sum(map(len, want.values()))
+    assert n_runs > 3000
+
+
+def digests(doc_id, w):
+    """The row of the query, by brute force."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = all_runs(w)
+    dropped = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(" ".join(x for i, x in enumerate(w) if i not in dropped)))
+
+
+COLUMNS = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def by_text(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[-1]))
+
+
+def run_query(spark, docs):
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return by_text(tuple(r) for r in QUERIES["op12_periodic_runs"](spark, folder).select(*COLUMNS).collect())
+
+
+def test_query_on_a_corpus(spark):
+    rng = random.Random(2)
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect() if len(r["text"] or "") < 20_000]
+    docs += [(100_000 + i, " ".join(f"w{x}" for x in periodic(rng, rng.randint(1, 30)))) for i in range(300)]
+    got = run_query(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    want = by_text(digests(i, words(t)) for i, t in docs)
+    assert got == want
+    assert sum(r[1] > 0 for r in want) > 100
+
+
+def test_query_on_awkward_documents(spark):
+    short = [(i, t) for i, t in AWKWARD if i not in (6, 7)]
+    got = run_query(spark, awkward(spark))
+    assert [g for g in got if g[0] not in (6, 7)] == by_text(digests(i, words(t)) for i, t in short)
+    assert [g[1:6] for g in got if g[0] == 7] == [(1, 0, 20_000, 5, 4_000_000)]  # five words, four thousand times
+    assert all(g[1] >= 1 for g in got if g[0] == 6)  # the same with a periodic end
+    assert run_query(spark, nothing(spark)) == []
+
+
+def test_operator_keeps_columns_and_spans(spark):
+    docs = documents(spark, ["x a b a b a b a b y", None, "go go go go go go", "a b c"]).withColumnRenamed("n_chars", "runs")
+    got = {r["doc_id"]: r for r in periodic_runs(docs).collect()}
+    assert [tuple(r) for r in got[0]["runs"]] == [(1, 8, 2)] and got[0]["collapsed"] == "x a b y"
+    assert [tuple(r) for r in got[2]["runs"]] == [(0, 6, 1)] and got[2]["collapsed"] == "go"
+    assert got[1]["runs"] == [] and got[1]["collapsed"] == "" and got[3]["n_runs"] == 0 and got[3]["source"] == "src0"
+    assert {r["n_runs"] for r in periodic_runs(docs, times=5).collect()} == {0, 1}
+    with pytest.raises(ValueError, match="four periods"):
+        periodic_runs(docs, times=2)
