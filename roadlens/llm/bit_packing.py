@@ -12,39 +12,37 @@ block and the file; the format counts them as padding.  Its commit protocol make
 files can lie wherever Spark writes.  Ids at any place are found by the block offsets and unpacked in numpy,
 64 ids to ``width`` words at a time (:class:`PackedFile`).
 
-1. Texts are encoded where they are read and written once as rows of ids.
-2. Those rows are sorted by document id into ranges, one file each (repeated ids are dealt by their ids' hash and
-   their row, so one id may fill many files).
-3. The files are read back; a file's first place among all ids is the sum of the files before it.
+1. Texts are sorted by document id into ranges, one file each (those of a repeated id are dealt by their hash and
+   their row, so one id may fill many files), and encoded there.
+2. The files are read back; a file's first place among all ids is the sum of the files before it.
 
 Defined results: null and empty texts are the end id alone; null document ids come first; rows that share an id
-are documents of their own, in the order of their ids' hash; extra columns are left out; no documents give no rows.
+are documents of their own, in the order of their texts' hash; extra columns are left out; no documents give no rows.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from roadlens.llm.chunks import byte_level, byte_level_chunks, text_blocks
-from roadlens.llm.common import append_columns, stage
+from roadlens.llm.common import pieces, stage
 from roadlens.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 #: A multiple of 64.
 BLOCK_IDS = 1 << 16
-#: Bytes of a file, about; a document is never cut, so one may be longer.
-FILE_BYTES = 32 << 20
+#: Bytes of text whose ids go to one file, about; a document is never cut, so a file may have more.
+TEXT_BYTES = 64 << 20
 
 MAGIC = b"PACKIDS1"
 _TRAILER = struct.Struct("<8sIIQQQ")
@@ -160,53 +158,44 @@ class _Writer:
             _TRAILER.pack(MAGIC, self.width, self.block_ids, len(doc_id), self.n_ids, len(self.block))]))
 
 
-def _encoded(vocabulary: str, end_id: int, text: pa.Array) -> list[pa.Array]:
-    memory = byte_level(vocabulary, plain=False)
-    lengths, parts = [np.zeros(0, dtype=np.int64)], []
-    for data, offsets in text_blocks(text):
-        ids, bounds = memory.ids_of(data, offsets, byte_level_chunks(data, offsets, memory.whole))
-        parts.append(np.insert(ids, bounds[1:], np.uint32(end_id)))
-        lengths.append(np.diff(bounds) + 1)
-    length = np.concatenate(lengths)
-    raw = np.concatenate(parts).astype("<u4").tobytes() if parts else b""
-    bounds = np.concatenate(([0], np.cumsum(length * 4)))
-    binary = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw)])
-    return [pa.array(length), binary.cast(pa.binary())]
+def byte_level_encoder(vocabulary: str, end_id: int) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """(ids of each text, all of them one after another) of an array of texts, the end id behind each."""
 
+    def encode(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        memory = byte_level(vocabulary, plain=False)
+        lengths, parts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint32)]
+        for data, offsets in text_blocks(text):
+            ids, bounds = memory.ids_of(data, offsets, byte_level_chunks(data, offsets, memory.whole))
+            parts.append(np.insert(ids, bounds[1:], np.uint32(end_id)))
+            lengths.append(np.diff(bounds) + 1)
+        return np.concatenate(lengths), np.concatenate(parts)
 
-def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids) of each row; ids as little-endian 32-bit integers, the end id last."""
-    new = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return append_columns(slim, "text", new, lambda text: _encoded(vocabulary, end_id, text), ["doc_id"])
+    return encode
 
 
-def write_ids(encoded: DataFrame, path: str, width: int, file_bytes: int = FILE_BYTES, block_ids: int = BLOCK_IDS) -> None:
-    """Rows of :func:`encode_documents` as files in ascending order of the ids, under ``path``.
+def write_ids(docs: DataFrame, path: str, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], width: int,
+              text_bytes: int = TEXT_BYTES, block_ids: int = BLOCK_IDS) -> None:
+    """The ids of ``docs`` (doc_id, text) as files in ascending order of doc_id, under ``path``.
 
-    ``encoded`` is read twice, so it should be a written table.  ``block_ids`` is a multiple of 64.
+    ``block_ids`` is a multiple of 64.
     """
-    spark = encoded.sparkSession
-    total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
-    n_bytes = total * width // 8
-    n_files = max(1, -(-n_bytes // file_bytes), min(n_bytes >> 20, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_files = max(1, -(-total // text_bytes), min(total >> 20, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Writer(width, block_ids)
-        for batch in batches:
-            doc_id, ids = batch.column(0), batch.column(2)
-            bounds = np.frombuffer(ids.buffers()[1], "<i4", len(ids) + 1, ids.offset * 4) // 4
-            data = np.frombuffer(ids.buffers()[2], "<u4")[bounds[0]:bounds[-1]]
-            for raw in out.add(doc_id.fill_null(0).to_numpy(), doc_id.is_valid().to_numpy(zero_copy_only=False),
-                               batch.column(1).to_numpy(), data):
-                yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["row"])
+        for whole in batches:
+            for batch in pieces(whole):
+                doc_id = batch.column(0)
+                for raw in out.add(doc_id.fill_null(0).to_numpy(), doc_id.is_valid().to_numpy(zero_copy_only=False), *encode(batch.column(1))):
+                    yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["row"])
         for raw in out.finish():
             yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["row"])
 
-    ranged = (encoded.select("doc_id", "n_tokens", "ids", F.xxhash64("ids").alias("tie"),
-                             F.monotonically_increasing_id().alias("row"))
-              .repartitionByRange(n_files, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie")
-              .select("doc_id", "n_tokens", "ids"))
+    ranged = (texts.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+              .repartitionByRange(n_files, "doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
     # The cast keeps the bytes as they are, and so does the writer.
     ranged.mapInArrow(blocks, "row binary").select(F.col("row").cast("string").alias("value")).write.text(path)
 
@@ -259,5 +248,5 @@ def packed_ids(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_
     spark = docs.sparkSession
     largest = max(Tokenizer.from_file(vocabulary).get_vocab_size() - 1, end_id)
     path = path or scratch_path(spark, "op11-files")
-    write_ids(stage(encode_documents(docs, vocabulary, end_id), "op11-encoded"), path, bits_for(largest))
+    write_ids(docs, path, byte_level_encoder(vocabulary, end_id), bits_for(largest))
     return place(stage(read_ids(spark, path).drop("ids"), "op11-read"))

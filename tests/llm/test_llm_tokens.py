@@ -124,17 +124,22 @@ def test_packed_ids_of_awkward_documents(spark):
     assert bp.packed_ids(nothing(spark)).collect() == []
 
 
-@pytest.mark.parametrize(("vocabulary_bits", "file_bytes"), [(16, 2000), (17, 1 << 20), (5, 100)])
+@pytest.mark.parametrize(("vocabulary_bits", "file_bytes"), [(16, 6000), (17, 1 << 30), (5, 300)])
 def test_files_hold_everything(spark, vocabulary_bits, file_bytes):
     """Random access through the block offsets, on a memory map; small blocks and many files."""
+
+    def written_numbers(text):  # texts that are ids already
+        found = [[int(x) for x in t.split()] for t in text.to_pylist()]
+        return np.array([len(f) for f in found]), np.array([x for f in found for x in f], np.uint32)
+
     rng = random.Random(vocabulary_bits)
     rows = [(rng.randrange(50), np.array([rng.randrange(1 << vocabulary_bits) for _ in range(rng.choice([1, 3, 700]))], "<u4"))
             for _ in range(120)]
-    table = spark.createDataFrame([(i, len(x), x.tobytes()) for i, x in rows], "doc_id long, n_tokens long, ids binary")
+    table = spark.createDataFrame([(i, " ".join(map(str, x))) for i, x in rows], "doc_id long, text string")
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/ids"
-    bp.write_ids(table, path, vocabulary_bits, file_bytes, block_ids=128)
+    bp.write_ids(table, path, written_numbers, vocabulary_bits, file_bytes, block_ids=128)
     files = [mapped(f) for f in sorted(glob.glob(path + "/part-*"))]
-    assert len(files) > 1 or file_bytes > 2000
+    assert len(files) > 1 or file_bytes > 6000
     ids = [(int(f.doc_id[i]), f.document(i).astype("<u4").tobytes()) for f in files for i in range(len(f.doc_id))]
     assert [i for i, _ in ids] == sorted(i for i, _ in rows)
     assert sorted(ids) == sorted((i, x.tobytes()) for i, x in rows)
@@ -150,9 +155,8 @@ def test_files_hold_everything(spark, vocabulary_bits, file_bytes):
 
 def test_an_id_of_many_rows_fills_many_files(spark):
     rows = documents(spark, [f"text {i}" for i in range(400)]).selectExpr("case when doc_id < 300 then 7 else doc_id end doc_id", "text")
-    encoded = bp.encode_documents(rows)
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/ids"
-    bp.write_ids(encoded, path, 16, 400)
+    bp.write_ids(rows, path, bp.byte_level_encoder(bp.VOCABULARY, 2), 16, 400)
     files = [mapped(f) for f in sorted(glob.glob(path + "/part-*"))]
     assert sum(7 in f.doc_id for f in files) > 2 and max(len(f.doc_id) for f in files) < 200
     assert sum(len(f.doc_id) for f in files) == 400
