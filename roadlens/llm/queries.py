@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens.llm.alignment import align_documents
 from roadlens.llm.bit_packing import packed_ids
 from roadlens.llm.common import fold, table
 from roadlens.llm.knn_join import knn_join, scaled
@@ -79,6 +80,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.concat_ws("", F.transform("runs", line))).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))
+    found = align_documents(table(spark, sf_dir, "documents"), keep_groups=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_join": op1_knn_join,
     "op2_sharding": op2_sharding,
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_bit_packing": op11_bit_packing,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_alignment": op13_alignment,
 }
 
 OP1_SQL = """
