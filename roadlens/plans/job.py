@@ -7,6 +7,7 @@ Config (a mapping, or a YAML/JSON file holding one)::
     input_format: csv          # or parquet
     typed: false               # cast the count columns to int (try_cast) at the source
     infer_schema: false        # let Spark infer CSV column types (one extra pass)
+    bad_rows: keep             # CSV rows of too many or too few fields: keep, drop or refuse
     output_format: csv         # or parquet
     stage: true                # stage CSV inputs as Parquet once (default for csv)
     persist: false             # keep the inputs in memory/disk between the analyses instead
@@ -67,7 +68,8 @@ def run_job(
     fmt_in = config.get("input_format", "csv")
     if tables is None:
         tables = load_tables(spark, config["input_locations"], fmt=fmt_in,
-                             typed=config.get("typed", False), infer=config.get("infer_schema", False))
+                             typed=config.get("typed", False), infer=config.get("infer_schema", False),
+                             bad_rows=config.get("bad_rows", "keep"))
         if config.get("stage", fmt_in == "csv"):
             own_stage = None if config.get("stage_location") else scratch_path(spark, "stage")
             try:

@@ -103,6 +103,9 @@ IO_SQL = {
     "o_csv_typed": f"select {UNIT_COLUMNS_SQL} from units",
     "o_csv_inferred": "select cast(crash_id as integer) crash_id, cast(unit_nbr as integer) unit_nbr, "
                       "cast(prsn_nbr as integer) prsn_nbr, cast(drvr_zip as integer) drvr_zip from primary_person",
+    "o_csv_headers": "select * from units",
+    "o_csv_bad_rows": "select 'damages' table_name, count(*) filter (damaged_property not in ('1-URGENT', '2-HIGH')) good_rows, "
+                      "count(*) filter (damaged_property in ('1-URGENT', '2-HIGH')) bad_rows from damages",
     "o_single_file": "select count(*) row_count, cast(1 as bigint) file_count from damages",
     "o_extra_tables": "select 'endorse' table_name, drvr_lic_endors_id code, count(*) row_count from endorse group by 2 "
                       "union all select 'restrict', drvr_lic_restric_id, count(*) from restrict group by 2",

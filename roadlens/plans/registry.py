@@ -17,7 +17,7 @@ from roadlens.plans.variants import VARIANTS
 from roadlens.session import scratch_path
 from roadlens.sources.files import read_table, write_result
 from roadlens.sources.fixtures import crash_tables, extra_tables, star_table
-from roadlens.sources.tables import CrashTables, register_views
+from roadlens.sources.tables import CrashTables, count_bad_rows, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,26 @@ def o_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.select("crash_id", "unit_nbr", "prsn_nbr", "drvr_zip")
 
 
+def o_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``units`` into one folder in files of two column orders (one with capital headers), and read them as one table."""
+    path = scratch_path(spark, "csv")
+    units = crash_tables(spark, sf_dir).units
+    turned = units.select(*[F.col(c).alias(c.upper()) for c in reversed(units.columns)])
+    units.filter(F.col("veh_hnr_fl") == "Y").write.option("header", True).csv(path)
+    turned.filter(F.col("VEH_HNR_FL") != "Y").write.option("header", True).mode("append").csv(path)
+    return read_table(spark, path, fmt="csv", table="units", bad_rows="refuse").select(*units.columns)
+
+
+def o_csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``damages`` as CSV lines of which those of two properties have a field too few or too many, and count good and bad rows."""
+    path = scratch_path(spark, "csv")
+    crash, what = F.coalesce("crash_id", F.lit("0")), F.col("damaged_property")
+    line = F.when(what == "1-URGENT", crash).when(what == "2-HIGH", F.concat_ws(",", crash, what, what)).otherwise(F.concat_ws(",", crash, what))
+    damages = crash_tables(spark, sf_dir).damages.select(line.alias("crash_id,damaged_property"))
+    damages.write.option("header", True).option("quote", "").csv(path)
+    return count_bad_rows(spark, {"damages": path})
+
+
 def o_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count ``damages`` by property, write the counts as one CSV file and read it back: its sum and its files.
 
@@ -144,6 +164,8 @@ def build_queries() -> dict[str, Query]:
         "o_csv_roundtrip": o_csv_roundtrip,
         "o_csv_typed": o_csv_typed,
         "o_csv_inferred": o_csv_inferred,
+        "o_csv_headers": o_csv_headers,
+        "o_csv_bad_rows": o_csv_bad_rows,
         "o_single_file": o_single_file,
         "o_extra_tables": o_extra_tables,
         "o_views": o_views,

@@ -1,9 +1,10 @@
 """File sources and sinks (CSV with header, Parquet).
 
-CSV is read with the header names and every column as string, as the crash
-files are shipped; names are lower-cased at the source so the analyses can use
-one spelling.  ``typed=True`` casts the count columns with ``try_cast`` (a bad
-number becomes NULL instead of failing the job).
+CSV columns are matched by the name in each file's own header and read as
+strings, as the crash files are shipped (see :mod:`roadlens.sources.csv_source`);
+names are lower-cased at the source so the analyses can use one spelling.
+``typed=True`` casts the count columns with ``try_cast`` (a bad number becomes
+NULL instead of failing the job).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import to_number
+from roadlens.sources.csv_source import KEEP, read_csv
 from roadlens.sources.schemas import COUNT_COLUMNS
 
 
@@ -29,26 +31,28 @@ def cast_counts(df: DataFrame, table: str) -> DataFrame:
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "csv",
     table: str | None = None,
     typed: bool = False,
     infer: bool = False,
+    bad_rows: str = KEEP,
 ) -> DataFrame:
     """Read one crash table.
 
-    CSV: header row, every column string.  ``infer=True`` lets Spark infer
-    column types instead, at the price of a full extra pass over the input;
-    ``typed=True`` is the cheap alternative (casts only the count columns).
+    CSV: every column string, found by its name in each file.  ``infer=True``
+    lets Spark infer column types instead, at the price of a full extra pass
+    over the input; ``typed=True`` is the cheap alternative (casts only the
+    count columns).  ``bad_rows`` says what becomes of rows with too many or
+    too few fields: ``keep``, ``drop`` or ``refuse``.
     Parquet: the stored schema.
     """
     if fmt == "csv":
-        df = spark.read.option("header", True).option("inferSchema", infer).csv(path)
+        df = read_csv(spark, path, bad_rows=bad_rows, infer=infer)
     elif fmt == "parquet":
-        df = spark.read.parquet(path)
+        df = lower_case_columns(spark.read.parquet(*([path] if isinstance(path, str) else path)))
     else:
         raise ValueError(f"unsupported input format {fmt!r}")
-    df = lower_case_columns(df)
     if typed and table is not None:
         df = cast_counts(df, table)
     return df

@@ -13,6 +13,8 @@ columns of ``units`` makes Catalyst read only the lineitem columns behind them.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.sources.tables import CrashTables
@@ -117,13 +119,13 @@ def extra_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def crash_tables(spark: SparkSession, sf_dir: str) -> CrashTables:
-    """The four crash tables over ``sf_dir``, as lazy plans in the session ``spark``."""
-    q = _lines(spark, sf_dir)
+    """The four crash tables over ``sf_dir``, as lazy plans in the session ``spark``; a table that is not asked for is not read."""
+    lines = cache(lambda: _lines(spark, sf_dir))
     return CrashTables(
-        primary_person=q.selectExpr(*_PERSON_EXPRS),
-        units=q.selectExpr(*_UNIT_EXPRS),
-        damages=_damages(spark, sf_dir),
-        charges=q.filter("ls = 'O' AND rf <> 'R'").selectExpr(*_CHARGE_EXPRS),
+        primary_person=lambda: lines().selectExpr(*_PERSON_EXPRS),
+        units=lambda: lines().selectExpr(*_UNIT_EXPRS),
+        damages=lambda: _damages(spark, sf_dir),
+        charges=lambda: lines().filter("ls = 'O' AND rf <> 'R'").selectExpr(*_CHARGE_EXPRS),
     )
 
 

@@ -1,27 +1,55 @@
-"""The four crash tables as one value, and how to load, register and stage them."""
+"""The four crash tables as one value, and how to load, check, register and stage them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from roadlens.sources.csv_source import KEEP, count_rows
 from roadlens.sources.files import read_table
 from roadlens.sources.schemas import TABLE_COLUMNS
 
+Table = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class CrashTables:
-    primary_person: DataFrame
-    units: DataFrame
-    damages: DataFrame
-    charges: DataFrame
+    """The four crash tables.  Each is given as a DataFrame, or as a function that makes it when it is first asked for.
+
+    A question that needs one table then lists the files of that one alone.
+    """
+
+    def __init__(self, primary_person: Table, units: Table, damages: Table, charges: Table) -> None:
+        self._made = {"primary_person": primary_person, "units": units, "damages": damages, "charges": charges}
+
+    def _get(self, name: str) -> DataFrame:
+        table = self._made[name]
+        return table if isinstance(table, DataFrame) else table()
+
+    @cached_property
+    def primary_person(self) -> DataFrame:
+        return self._get("primary_person")
+
+    @cached_property
+    def units(self) -> DataFrame:
+        return self._get("units")
+
+    @cached_property
+    def damages(self) -> DataFrame:
+        return self._get("damages")
+
+    @cached_property
+    def charges(self) -> DataFrame:
+        return self._get("charges")
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in self._made}
 
-    def map(self, fn) -> "CrashTables":
+    def map(self, fn: Callable[[str, DataFrame], DataFrame]) -> CrashTables:
+        """Each table through ``fn(name, table)``, now."""
         return CrashTables(**{name: fn(name, df) for name, df in self.as_dict().items()})
 
 
@@ -31,8 +59,9 @@ def load_tables(
     fmt: str = "csv",
     typed: bool = False,
     infer: bool = False,
+    bad_rows: str = KEEP,
 ) -> CrashTables:
-    """Read the four configured tables.
+    """The four configured tables, each read when it is first asked for.
 
     Further entries (e.g. the endorsement and restriction files) are not
     needed by any question; read them with :func:`read_table` when wanted.
@@ -41,11 +70,17 @@ def load_tables(
     if missing:
         raise KeyError(f"input_locations lacks {missing}")
     return CrashTables(**{
-        t: read_table(spark, input_locations[t], fmt=fmt, table=t, typed=typed, infer=infer)
+        t: lambda t=t: read_table(spark, input_locations[t], fmt=fmt, table=t, typed=typed, infer=infer, bad_rows=bad_rows)
         for t in TABLE_COLUMNS
     })
 
 
+def count_bad_rows(spark: SparkSession, input_locations: dict[str, str | list[str]]) -> DataFrame:
+    """(table_name, good_rows, bad_rows) of configured CSV inputs, one pass over each."""
+    parts = [count_rows(spark, path).select(F.lit(name).alias("table_name"), "*") for name, path in input_locations.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def register_views(tables: dict[str, DataFrame] | CrashTables, prefix: str = "") -> list[str]:
     """Register each table as a temp view ``prefix + name``; returns the view names.
 
