@@ -21,6 +21,7 @@ from roadlens.operators import (
     having_count,
     keep_matching,
     rank_band,
+    split_join,
     top_1_per_group,
     top_k_by_count,
     top_n_filter,
@@ -41,21 +42,16 @@ def s_having(tbl: Tables) -> DataFrame:
 
 
 def s_entities(tbl: Tables) -> DataFrame:
-    """Distinct (order, line) of PROMO parts.
-
-    Part keys are unique, so the key list is not deduplicated: the semi join
-    then sits on its shuffles and AQE can split a hot part key of lineitem.
-    """
+    """Distinct (order, line) of PROMO parts; the lines of a hot part are filtered where they are."""
     promo = tbl("part").filter(F.col("p_type") == PROMO_TYPE).select(F.col("p_partkey").alias("l_partkey"))
-    lines = keep_matching(tbl("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), promo, ["l_partkey"],
-                          dedupe=False)
+    lines = split_join(tbl("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), promo, ["l_partkey"], "left_semi")
     return count_entities(lines, ["l_orderkey", "l_linenumber"], "entity_count")
 
 
 def s_topk(tbl: Tables) -> DataFrame:
-    """Five brands found in the most distinct orders."""
+    """Five brands found in the most distinct orders; the lines of a hot part get its brand where they are."""
     li = tbl("lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
-    brands = li.join(tbl("part").select("p_partkey", "p_brand"), "p_partkey")
+    brands = split_join(li, tbl("part").select("p_partkey", "p_brand"), ["p_partkey"])
     return top_k_by_count(brands, ["l_orderkey"], "p_brand", 5, out="cnt")
 
 

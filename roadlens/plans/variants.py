@@ -7,6 +7,8 @@ answer a different question and are kept because they are asked that way.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ from roadlens.operators import (
     drop_not_in,
     first_per_key,
     having_count,
-    keep_matching,
     limit_offset,
+    split_join,
     sum_having,
     top_k_by_measure,
 )
@@ -131,7 +133,7 @@ def zip_dedup_first(t: CrashTables) -> DataFrame:
     # output is partitioned by these keys) and keeps Catalyst from moving the
     # crash filter below the window onto raw person rows when the list is large.
     pairs = firsts.select(CRASH, "drvr_zip").distinct().filter(F.col("drvr_zip").isNotNull())
-    kept = keep_matching(pairs, A.alcohol_units(t), [CRASH])
+    kept = split_join(pairs, A.alcohol_units(t), [CRASH], "left_semi")
     return top_k_by_measure(count_by(kept, "drvr_zip", "tot_count"), "tot_count", "drvr_zip", 5)
 
 
@@ -141,6 +143,18 @@ def no_damage_not_in(t: CrashTables) -> DataFrame:
     return count_rows(drop_not_in(crashes, CRASH, t.damages), "crash_count")
 
 
+def no_damage_not_in_parts(t: CrashTables) -> DataFrame:
+    """v_no_damage_not_in against each part of damages by itself: (damaged_part, crash_count).
+
+    Parts are damages without a crash, damages with one, and none at all: a NULL in the list keeps nothing, an empty list everything.
+    """
+    crashes = A.insured_high_damage_units(t).select(CRASH).distinct()
+    parts = {"unknown": F.col(CRASH).isNull(), "known": F.col(CRASH).isNotNull(), "none": F.col("damaged_property") == ""}
+    counts = [count_rows(drop_not_in(crashes, CRASH, t.damages.filter(rows)), "crash_count").select(F.lit(name).alias("damaged_part"), "crash_count")
+              for name, rows in parts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def speeding_in(t: CrashTables) -> DataFrame:
     """a10 with state 'Unknown' also left out of the top 25."""
     return A.speeding_makes(t, excluded_states=STATES_EXCLUDED_SQL_FORM)
@@ -161,6 +175,7 @@ VARIANTS = {
     "v_rank_3_to_7": rank_3_to_7,
     "v_zip_dedup_first": zip_dedup_first,
     "v_no_damage_not_in": no_damage_not_in,
+    "v_no_damage_not_in_parts": no_damage_not_in_parts,
     "v_speeding_in": speeding_in,
     "v_hnr_vehicles": A.hnr_vehicles,
     "a04_hnr": A.a04_hnr,

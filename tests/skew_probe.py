@@ -2,7 +2,7 @@
 
 Usage: ``python tests/skew_probe.py [--hot=copies|distinct|null] <sf_dir> <scratch_dir> key [key ...]``; prints one
 JSON line.  ``copies`` (default): one crash holds a third of the rows; ``distinct``: likewise, with a unit
-number of its own for every row; ``null``: a third of the rows have a NULL crash_id.
+number and a zip code of its own for every row; ``null``: a third of the rows have a NULL crash_id.
 
 Broadcast joins and partition coalescing are switched off so every key join is a shuffle join, the
 shape the plans have when the key lists are far too large to broadcast.  The
@@ -48,6 +48,8 @@ def with_hot_crash(spark, tables, folder: str, share: float = 1 / 3, files: int
             more = hot.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
             if distinct:
                 more = more.withColumn("unit_nbr", F.concat("unit_nbr", F.lit("-"), F.col("_copy").cast("string")))
+                if "drvr_zip" in df.columns:  # and a zip code of its own
+                    more = more.withColumn("drvr_zip", F.concat(F.lit("z"), "_copy", "unit_nbr"))
             df = df.unionAll(more.drop("_copy"))
         path = f"{folder}/{name}"
         df.repartition(files).write.mode("overwrite").parquet(path)
@@ -80,6 +82,7 @@ def main(argv: list[str]) -> None:
         "spark.eventLog.dir": scratch,
         "spark.eventLog.compress": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "false",
         # keep the 16 hash partitions as they are, so one task's share shows the key spread
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     })

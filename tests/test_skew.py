@@ -38,15 +38,14 @@ def test_no_task_reads_the_hot_crash(hot):
 
 
 def test_star_queries_spread_a_hot_key():
-    """Each s_* key with a third of its table on one key: no task reads most of that key's rows.
+    """Each s_* key with a third of its table on one key and AQE's skew split off: no task reads most of that key's rows.
 
-    s_topk / s_entities join raw lineitem rows on l_partkey and rely on AQE's
-    skew split (thresholds lowered to the test size); the rest collapse the
-    hot key by partial aggregation, a window group limit or a bounded broadcast.
+    s_topk / s_entities join raw lineitem rows on l_partkey and split off the hot key themselves; the rest collapse
+    it by partial aggregation, a window group limit or a bounded broadcast.
     """
     scratch = tempfile.mkdtemp(prefix="roadlens-star-skew-", dir="/tmp")
     out = subprocess.run(
-        [sys.executable, os.path.join(ROOT, "tests", "star_skew_probe.py"), SF_MEDIUM, scratch, "on"],
+        [sys.executable, os.path.join(ROOT, "tests", "star_skew_probe.py"), SF_MEDIUM, scratch, "off"],
         capture_output=True, text=True, timeout=1200, check=True,
     ).stdout.strip().splitlines()[-1]
     report = json.loads(out)["queries"]
