@@ -4,9 +4,13 @@ A key that holds much of the rows of a table puts them into one task when the ta
 Here such keys are found first, by Spark's frequent-items sketch: one pass over the key columns that shuffles
 only sketches.  Keys above a share of 1 / PARTS of the rows are hot, so there are fewer than PARTS of them.
 
-Rows of hot keys are joined where they are, against the other side's rows of those keys, which are broadcast:
-at most one for each hot key, as the other side holds each key once.  All others are joined by a shuffle.  Which
-keys are hot decides the plan alone; whatever the sketch says, the result is the same.
+* :func:`split_join`: rows of hot keys are joined where they are, against the other side's rows of those keys,
+  which are broadcast: at most one for each hot key, as the other side holds each key once.  All others are
+  joined by a shuffle.  The table is read for each of both, but its hot rows are never shuffled.
+* :func:`salted_semi_join`, for a table of distinct rows that is costly to make: it is made once, and the rows of a hot key are
+  dealt to SALTS tasks, each of which gets the key of the other side.
+
+Which keys are hot decides the plan alone; whatever the sketch says, the result is the same.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from pyspark.sql import functions as F
 PARTS = 1000
 #: Keys that the sketch follows; its error is about 3.5 / TRACKED of the rows, far below 1 / PARTS.
 TRACKED = 16_384
+#: Tasks that the rows of a hot key are dealt to.
+SALTS = 256
 
 
 def _mark(keys: list[str]) -> Column:
@@ -31,6 +37,16 @@ def hot_marks(df: DataFrame, keys: list[str], parts: int = PARTS) -> Column:
     return found.select(F.transform(F.filter("top", lambda t: t["count"] * parts > F.col("n")), lambda t: t["item"])).scalar()
 
 
+def _same_types(df: DataFrame, other: DataFrame, keys: list[str]) -> None:
+    for k in keys:
+        if df.schema[k].dataType != other.schema[k].dataType:
+            raise TypeError(f"{k} has two types, and so two hashes: cast it first")
+
+
+def _is_hot(marks: Column, keys: list[str]) -> Column:
+    return F.coalesce(F.array_contains(marks, _mark(keys)), F.lit(False))
+
+
 def split_join(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner", parts: int = PARTS) -> DataFrame:
     """``df`` joined (``inner`` or ``left_semi``) to ``other`` on ``keys``, whose columns have the same names in both.
 
@@ -39,11 +55,22 @@ def split_join(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inn
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"no split for {how!r}")
-    for k in keys:
-        if df.schema[k].dataType != other.schema[k].dataType:
-            raise TypeError(f"{k} has two types, and so two hashes: cast it first")
+    _same_types(df, other, keys)
     if how == "left_semi":
         other = other.select(*keys).distinct()
-    hot = F.coalesce(F.array_contains(hot_marks(df, keys, parts), _mark(keys)), F.lit(False))
+    hot = _is_hot(hot_marks(df, keys, parts), keys)
     near = df.where(hot).join(F.broadcast(other.where(hot)), keys, how)
     return near.unionByName(df.where(~hot).join(other.where(~hot), keys, how))
+
+
+def salted_semi_join(df: DataFrame, other: DataFrame, keys: list[str], source: DataFrame, parts: int = PARTS, salts: int = SALTS) -> DataFrame:
+    """Rows of ``df``, which are distinct, whose ``keys`` occur in ``other``; NULL keys match nothing.
+
+    Hot keys are those of ``source``, the rows that ``df`` was made from: a key of more than 1 / ``parts`` of them.
+    """
+    _same_types(df, other, keys)
+    hot = _is_hot(hot_marks(source, keys, parts), keys)
+    salt = F.when(hot, F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(F.lit(0).cast("long")).alias("__salt")
+    dealt = F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    wanted = other.select(*keys).distinct().select(*keys, F.explode(dealt).alias("__salt"))
+    return df.select("*", salt).join(wanted, [*keys, "__salt"], "left_semi").select(*df.columns)

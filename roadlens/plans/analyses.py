@@ -31,7 +31,7 @@ from roadlens.operators import (
     having_count,
     keep_matching,
     rank_band,
-    split_join,
+    salted_semi_join,
     top_1_per_group,
     top_k_by_measure,
 )
@@ -194,10 +194,10 @@ def alcohol_units(t: CrashTables) -> DataFrame:
 def a08_alcohol_zip_codes(t: CrashTables) -> DataFrame:
     """Top 5 driver zip codes by crashes with alcohol as a contributing factor.
 
-    A crash of very many zip codes keeps them after the distinct, so hot crashes are split off.
+    A crash of very many zip codes keeps them after the distinct, so those of a hot crash are dealt to many tasks.
     """
     with_zip = t.primary_person.filter(F.col("drvr_zip").isNotNull())
-    crash_zips = split_join(with_zip.select(CRASH, "drvr_zip").distinct(), alcohol_units(t), [CRASH], "left_semi")
+    crash_zips = salted_semi_join(with_zip.select(CRASH, "drvr_zip").distinct(), alcohol_units(t), [CRASH], with_zip)
     return top_k_by_measure(count_by(crash_zips, "drvr_zip", "tot_count"), "tot_count", "drvr_zip", 5)
 
 
@@ -234,19 +234,25 @@ def speeding_makes(t: CrashTables, excluded_states: list[str] | None = None) ->
 
     Both lists and the units come from one relation of distinct vehicles, so
     that Spark scans and shuffles ``units`` once.  The lists are bounded by
-    their limits and hold each value once; they are broadcast and joined
-    inner, which (unlike a semi join) stays above the distinct.
+    their limits, so they are broadcast.  Joins of the relation are null-safe
+    although no NULL is on their other side: a plain equality would put a NULL
+    filter into the scan of one use, and the relation would be no longer the
+    same.
     """
-    vehicles = t.units.select(CRASH, UNIT, MAKE, "veh_color_id", "veh_lic_state_id").distinct()
+    # Counted and asked for one row or more, which all have: a plain distinct would be merged into those below.
+    vehicles = having_count(t.units, [CRASH, UNIT, MAKE, "veh_color_id", "veh_lic_state_id"], 1, "n_rows", inclusive=True)
     colours = _top_values_but(count_by(vehicles.select(CRASH, UNIT, "veh_color_id").distinct(), "veh_color_id", "n_found"),
                               "veh_color_id", [NOT_AVAILABLE], TOP_COLOURS)
     states = _top_values_but(count_by(vehicles.select(CRASH, "veh_lic_state_id").distinct(), "veh_lic_state_id", "n_found"),
                              "veh_lic_state_id", excluded_states or [NOT_AVAILABLE], TOP_STATES)
-    cars = vehicles.join(F.broadcast(colours), "veh_color_id").join(F.broadcast(states), "veh_lic_state_id")
-    cars_per_crash = count_by(cars, [CRASH, MAKE], "n_cars")
+    cars = vehicles
+    for top in (colours, states):
+        (attr,) = top.columns
+        cars = cars.join(F.broadcast(top.select(F.col(attr).alias("one_of_top"))), F.col(attr).eqNullSafe(F.col("one_of_top")), "left_semi")
+    cars_per_crash = count_by(cars, [CRASH, MAKE], "n_cars").withColumnRenamed(CRASH, "car_crash")
     licensed_per_crash = count_by(_licensed(t.primary_person), CRASH, "n_licensed")
     speeding_per_crash = count_by(t.charges.filter(F.col("charge").like(SPEEDING_PATTERN)), CRASH, "n_speeding")
-    per_crash = licensed_per_crash.join(speeding_per_crash, CRASH).join(cars_per_crash, CRASH)
+    per_crash = licensed_per_crash.join(speeding_per_crash, CRASH).join(cars_per_crash, F.col(CRASH).eqNullSafe(F.col("car_crash")))
     combos = F.col("n_cars") * F.col("n_licensed") * F.col("n_speeding")
     made = per_crash.groupBy(MAKE).agg(F.sum(combos).cast("bigint").alias("make_count"))
     return top_k_by_measure(made, "make_count", MAKE, 5)

@@ -13,7 +13,7 @@ from roadlens.plans.analyses import ANALYSES
 from roadlens.plans.job import result_row_counts, run_job
 from roadlens.plans.oracles import all_oracles
 from roadlens.plans.star import STAR
-from roadlens.plans.variants import VARIANTS
+from roadlens.plans.variants import VARIANTS, no_damage_not_in_parts
 from roadlens.session import scratch_path
 from roadlens.sources.files import read_table, write_result
 from roadlens.sources.fixtures import crash_tables, extra_tables, star_table
@@ -168,6 +168,7 @@ def build_queries() -> dict[str, Query]:
         "o_csv_bad_rows": o_csv_bad_rows,
         "o_single_file": o_single_file,
         "o_extra_tables": o_extra_tables,
+        "o_not_in_parts": partial(_on_crash_tables, no_damage_not_in_parts),
         "o_views": o_views,
         **{name: partial(_sql_over_views, text) for name, text in SQL_TEXTS.items()},
         "o_job_all": o_job_all,

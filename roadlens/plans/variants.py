@@ -22,7 +22,7 @@ from roadlens.operators import (
     first_per_key,
     having_count,
     limit_offset,
-    split_join,
+    salted_semi_join,
     sum_having,
     top_k_by_measure,
 )
@@ -133,7 +133,7 @@ def zip_dedup_first(t: CrashTables) -> DataFrame:
     # output is partitioned by these keys) and keeps Catalyst from moving the
     # crash filter below the window onto raw person rows when the list is large.
     pairs = firsts.select(CRASH, "drvr_zip").distinct().filter(F.col("drvr_zip").isNotNull())
-    kept = split_join(pairs, A.alcohol_units(t), [CRASH], "left_semi")
+    kept = salted_semi_join(pairs, A.alcohol_units(t), [CRASH], p)
     return top_k_by_measure(count_by(kept, "drvr_zip", "tot_count"), "tot_count", "drvr_zip", 5)
 
 
@@ -175,7 +175,6 @@ VARIANTS = {
     "v_rank_3_to_7": rank_3_to_7,
     "v_zip_dedup_first": zip_dedup_first,
     "v_no_damage_not_in": no_damage_not_in,
-    "v_no_damage_not_in_parts": no_damage_not_in_parts,
     "v_speeding_in": speeding_in,
     "v_hnr_vehicles": A.hnr_vehicles,
     "a04_hnr": A.a04_hnr,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from roadlens.operators import hot_marks, split_join
+from roadlens.operators import hot_marks, salted_semi_join, split_join
 
 
 def left(spark):
@@ -48,3 +48,14 @@ def test_refused_joins(spark):
         split_join(df, df, ["k"], "left_anti")
     with pytest.raises(TypeError, match="cast"):
         split_join(df, df.select(F.col("k").cast("int")), ["k"], "left_semi")
+
+
+@pytest.mark.parametrize("parts", [2, 1000])
+def test_salted_semi_join(spark, parts):
+    df = left(spark).withColumn("v", F.monotonically_increasing_id()).distinct()
+    other = spark.createDataFrame([(7,), (7,), (8,), (None,), (9,)], "k long")
+    want = rows(df.join(other, ["k"], "left_semi"))
+    assert rows(salted_semi_join(df, other, ["k"], df, parts, salts=5)) == want
+    assert rows(salted_semi_join(df, other, ["k"], df.where("false"), parts)) == want
+    assert rows(salted_semi_join(df, other.where("k <> 7"), ["k"], df, parts)) == rows(df.join(other.where("k <> 7"), ["k"], "left_semi"))
+    assert salted_semi_join(df, other.where("false"), ["k"], df, parts).count() == 0
