@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from roadlens.plans.job import result_row_counts, run_job
 from roadlens.plans.oracles import all_oracles
 from roadlens.plans.star import STAR
 from roadlens.plans.variants import VARIANTS, no_damage_not_in_parts
-from roadlens.session import scratch_path
+from roadlens.session import Scratch, scratch_path
 from roadlens.sources.files import read_table, write_result
 from roadlens.sources.fixtures import crash_tables, extra_tables, star_table
 from roadlens.sources.tables import CrashTables, count_bad_rows, register_views
@@ -30,6 +30,16 @@ def _on_star_tables(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(partial(star_table, spark, sf_dir))
 
 
+def _cleaned(fn: Query) -> Query:
+    """A query whose small result is written, and whose scratch folders are then deleted."""
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with Scratch(spark) as own:
+            return own.hand_over(fn(spark, sf_dir), "result")
+
+    return run
+
+
 def o_csv_roundtrip(spark: SparkSession, sf_dir: str, typed: bool = False) -> DataFrame:
     """Write ``units`` as header CSV to the shared folder and read it back."""
     path = scratch_path(spark, "csv")
@@ -59,6 +69,7 @@ def o_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, fmt="csv", table="units", bad_rows="refuse").select(*units.columns)
 
 
+@_cleaned
 def o_csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write ``damages`` as CSV lines of which those of two properties have a field too few or too many, and count good and bad rows."""
     path = scratch_path(spark, "csv")
@@ -69,6 +80,7 @@ def o_csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_bad_rows(spark, {"damages": path})
 
 
+@_cleaned
 def o_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count ``damages`` by property, write the counts as one CSV file and read it back: its sum and its files.
 
@@ -82,6 +94,7 @@ def o_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.count_distinct("_metadata.file_path").alias("file_count"))
 
 
+@_cleaned
 def o_extra_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the endorsement and restriction tables as CSV, scan them, and count their codes."""
     out = []
@@ -141,6 +154,7 @@ SQL_TEXTS = {
 }
 
 
+@_cleaned
 def o_job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The configured job from end to end: CSV inputs with capital headers, loaded by location and staged,
     ten analyses written; (analysis, row_count) of what was written."""

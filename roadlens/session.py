@@ -1,4 +1,4 @@
-"""Session settings and the shared scratch location.
+"""Session settings, the shared scratch location, and who cleans it.
 
 The library never changes settings of a session it is handed; only
 :func:`build_session` (tests, bench) and the job's command line set them.
@@ -7,8 +7,9 @@ The library never changes settings of a session it is handed; only
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from runtime sizes
 # (broadcast only what really is small), coalesces small shuffle partitions
@@ -66,6 +67,49 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_OWNER: ContextVar[Scratch | None] = ContextVar("roadlens_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/roadlens-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under :func:`shared_dir`; the :class:`Scratch` that is entered, if any, owns it."""
+    path = f"{shared_dir(spark)}/roadlens-{name}-{uuid.uuid4().hex[:12]}"
+    owner = _OWNER.get()
+    if owner is not None:
+        owner.paths.append(path)
+    return path
+
+
+class Scratch:
+    """Owns the scratch folders that are named while it is entered, and deletes them when it is left, well or not.
+
+    What is read lazily from those folders must be written before that: :meth:`hand_over` writes a result to a
+    folder that belongs to the enclosing scope, or to nobody, and reads it back.
+
+        with Scratch(spark) as own:
+            result = own.hand_over(near_duplicates(docs), "result")
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+        self._outer: list[Scratch | None] = []
+
+    def __enter__(self) -> Scratch:
+        self._outer.append(_OWNER.get())
+        _OWNER.set(self)
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        _OWNER.set(self._outer.pop())
+        self.close()
+
+    def close(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+    def hand_over(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)  # ours until it is written
+        df.write.parquet(path)
+        self.paths.remove(path)
+        if self._outer[-1] is not None:
+            self._outer[-1].paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)

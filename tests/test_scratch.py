@@ -1,0 +1,59 @@
+"""What a scope owns is gone when it is left, well or not."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from conftest import SF_SMALL
+from roadlens.plans.registry import QUERIES
+from roadlens.session import Scratch, scratch_path, shared_dir
+
+
+def folders(spark):
+    path = shared_dir(spark).removeprefix("file:")
+    return set(os.listdir(path)) if os.path.isdir(path) else set()
+
+
+def written(spark, name, n=3):
+    path = scratch_path(spark, name)
+    spark.range(n).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_nothing_is_left_after_success(spark):
+    before = folders(spark)
+    with Scratch(spark) as outer:
+        with Scratch(spark) as own:
+            result = own.hand_over(written(spark, "a").join(written(spark, "b", 2), "id"), "result")
+            assert len(folders(spark)) == len(before) + 3
+        assert len(folders(spark)) == len(before) + 1 and result.count() == 2
+        assert len(outer.paths) == 1
+        written(spark, "c")
+    assert folders(spark) == before
+
+
+def test_nothing_is_left_after_failure(spark):
+    before = folders(spark)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"), Scratch(spark) as own:
+        own.hand_over(written(spark, "a").selectExpr("1 / (id - id) AS x"), "result")
+    assert folders(spark) == before
+
+
+def test_without_a_scope_nothing_is_deleted(spark):
+    df = written(spark, "kept")
+    with Scratch(spark) as own:
+        result = own.hand_over(df, "result")
+    assert df.count() == result.count() == 3
+
+
+@pytest.mark.parametrize("name", ["o_single_file", "o_extra_tables", "o_csv_bad_rows", "o_job_all"])
+def test_queries_leave_their_result_alone(spark, name):
+    before = folders(spark)
+    rows = QUERIES[name](spark, SF_SMALL)
+    left = folders(spark) - before
+    assert len(left) == 1 and left.pop().startswith("roadlens-result-") and rows.count() > 0
+    with Scratch(spark):
+        QUERIES[name](spark, SF_SMALL).collect()
+    assert len(folders(spark) - before) == 1
