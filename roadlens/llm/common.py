@@ -63,11 +63,12 @@ def fold(doc_id: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, label, text) of at most ``rows`` labelled documents that are not held out.
+    """(doc_id, label, text) of at most ``rows`` labelled documents that are not held out; each text once.
 
-    Labels are taken in the order of a hash of their id, so the sample is fixed.  Null labels and ids take
-    no part; of several labels for an id the smallest counts.  The sample is bounded by ``rows``, so it is
-    broadcast to the documents, which are not shuffled.
+    Labels are taken in the order of a hash of their id, so the sample is fixed, however the tables are partitioned.
+    Null labels and ids take no part; of several labels for an id the smallest counts, of several texts of an
+    id the one of the smallest hash, of several labels for a text the largest.  The chosen ids, at most ``rows``,
+    are broadcast to the documents, which are not shuffled.
     """
     chosen = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
@@ -75,7 +76,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
         .groupBy("doc_id").agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("mark"), "text", "label")).alias("one"))
+    return one.groupBy("one.text").agg(F.max("one.label").alias("label"), F.min("doc_id").alias("doc_id")).select("doc_id", "label", "text")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

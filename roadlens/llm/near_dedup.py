@@ -17,7 +17,7 @@ blocks.  A pair at similarity 0.85 shares no band with probability (1 - 0.85^4)^
 3e-6.  Shingles are compared by 64-bit hashes.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; rows that share an
-id are one document of several texts, a link of any of them counts; a null id takes no part in links, its
+id are one document of several texts, a link of any of them counts and all have its component; a null id takes no part in links, its
 component is null and it is kept.
 """
 
@@ -281,7 +281,10 @@ def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame, percent: int)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text); links from ``percent`` on."""
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text); links from ``percent`` on.
+
+    Rows of one id are one document: they have one component, whatever their texts.
+    """
     signed = stage(append_columns(docs.select("doc_id", "text"), "text", _SIGNATURE, _signatures, ["doc_id"]), "op6-signed")
     some = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # Equal sets have equal signatures and bands, so any of them will do.
@@ -290,12 +293,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             F.min("doc_id").alias("set_id"), *[F.min(c).alias(c) for c in _LANE], F.first("bands").alias("bands")),
         "op6-sets")
     links = _confirmed(docs, sets, _candidate_edges(sets, percent), percent)
+    key = ["set_a", "set_b", "n_shingles"]
+    slim = signed.select("doc_id", *key)
+    repeated = stage(slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),
+                     "op6-repeated")
+    n_repeated = repeated.count()
+    few = F.broadcast if n_repeated <= BROADCAST_IDS else lambda df: df
+    if n_repeated:  # the sets of one id are linked, each with the smallest of them
+        theirs = slim.join(few(repeated), "doc_id").join(sets.select(*key, "set_id"), key).select("doc_id", "set_id")
+        owned = stage(theirs.groupBy("doc_id").agg(F.min("set_id").alias("own")), "op6-owned")
+        links = links.unionByName(theirs.join(few(owned), "doc_id").select(F.col("set_id").alias("a"), F.col("own").alias("b")))
     found = components(links)
     named = stage(
         sets.join(found, sets["set_id"] == found["node"], "left")
-        .select("set_a", "set_b", "n_shingles", F.coalesce("component", "set_id").alias("component_id")), "op6-named")
-    slim = signed.select("doc_id", "n_shingles", "set_a", "set_b")
-    out = slim.join(named, ["set_a", "set_b", "n_shingles"], "left")
+        .select(*key, "set_id", F.coalesce("component", "set_id").alias("component_id")), "op6-named")
+    out = slim.join(named.drop("set_id"), key, "left")
+    if n_repeated:  # also for the rows of such an id that have no set
+        by_id = named.select(F.col("set_id").alias("own"), F.col("component_id").alias("of_id")).distinct()
+        out = out.join(few(owned.join(by_id, "own").select("doc_id", "of_id").distinct()), "doc_id", "left")
+        out = out.withColumn("component_id", F.coalesce("of_id", "component_id"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
     return (out.withColumn("component_id", component)
             .select("doc_id", "n_shingles", "component_id",

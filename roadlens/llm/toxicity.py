@@ -250,7 +250,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
     ones, zeros = (sum(n for (_, v), n in halves.items() if v == k) for k in (1, 0))
     if not ones or not zeros:
         return Model(constant=1.0 if ones else 0.0)
-    first = sample.where("half = 0").dropDuplicates(["text"]).select("label", "text")
+    first = sample.where("half = 0").select("label", "text")
     counts = first.mapInArrow(_term_counts, "term binary, ones long, zeros long")
     toxic, clean = halves.get((0, 1), 0), halves.get((0, 0), 0)
     odds = F.log((F.col("ones") + 0.5) / (toxic + 1.0)) - F.log((F.col("zeros") + 0.5) / (clean + 1.0))

@@ -1,0 +1,140 @@
+"""Repeated ids and rows: one component a document, no text lost, samples that keep their bound."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+from llm_cases import awkward, nothing, prose, words
+
+import corpus_pipeline
+from roadlens.llm.common import labelled_sample
+from roadlens.llm.near_dedup import near_duplicates
+from roadlens.llm.quality_classifier import fit_classifier
+from roadlens.llm.quality_rules import fit_rules
+from roadlens.llm.toxicity import fit_toxicity
+
+A, B, C = "alpha " * 3 + " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40)), " ".join(f"c{i}" for i in range(30))
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(spark, rows, parts=3):
+    return spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], COLUMNS).repartition(parts)
+
+
+def shingles(text):
+    w = words(text, lower=True)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+
+
+def components(keys, sets, percent):
+    """Smallest reachable key of each row: rows of one key are linked, and rows alike; None is linked with nothing."""
+    n = len(keys)
+    group = list(range(n))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i in range(n):
+        for j in range(i):
+            if keys[i] is None or keys[j] is None:
+                continue
+            both = len(sets[i] & sets[j])
+            if keys[i] == keys[j] or (both and 100 * both >= percent * len(sets[i] | sets[j])):
+                group[find(i)] = find(j)
+    least = {}
+    for i in range(n):
+        if keys[i] is not None:
+            least[find(i)] = min(keys[i], least.get(find(i), keys[i]))
+    return [least.get(find(i)) for i in range(n)]
+
+
+def mixed(seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(12):
+        base = prose(rng, 80, 5000).split()
+        for m in range(5):
+            text = list(base)
+            for _ in range(m):
+                text[rng.randrange(len(text))] = f"e{rng.random()}"
+            rows.append((rng.randrange(40), " ".join(text)))
+    rows += [rng.choice(rows) for _ in range(15)] + [(rng.randrange(40), ""), (rng.randrange(40), None), (None, rows[0][1]), (None, C)]
+    rng.shuffle(rows)
+    return rows
+
+
+PROBE = [(3, A), (5, A), (5, B), (7, B)]
+
+
+@pytest.mark.parametrize("rows", [PROBE, [(5, A), (5, A), (5, B), (4, ""), (4, B), (9, None), (None, A)], mixed(1), mixed(2)])
+def test_one_component_a_document(spark, rows):
+    want = components([i for i, _ in rows], [shingles(t) for _, t in rows], 85)
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in near_duplicates(table(spark, rows)).collect())
+    assert got == sorted((str(i), len(shingles(t)), str(c), i is None or i == c) for (i, t), c in zip(rows, want, strict=True))
+
+
+@pytest.mark.parametrize("rows", [PROBE, [(5, A), (5, A), (5, B), (9, ""), (9, ""), (9, None), (None, A), (None, A)], mixed(3)])
+def test_the_stage_keeps_one_row_of_each_group(spark, rows):
+    """Rows are compared: groups of rows by all pairs, the kept one has the smallest id, other rows stay as they are."""
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, table(spark, rows), "").collect()]
+    sets = [shingles(t) for _, t in rows]
+    taking_part = [n for n, (i, _) in enumerate(rows) if i is not None and sets[n]]
+    names = components(taking_part, [sets[n] for n in taking_part], 80)
+    groups = {}
+    for n, g in zip(taking_part, names, strict=True):
+        groups.setdefault(g, []).append(rows[n])
+    others = [r for n, r in enumerate(rows) if n not in set(taking_part)]
+    assert len(kept) == len(groups) + len(others)
+    left = list(kept)
+    for r in others:
+        left.remove(r)
+    for members in groups.values():
+        least = min(i for i, _ in members)
+        (own,) = [r for r in left if r in members]
+        assert own[0] == least
+        left.remove(own)
+    assert not left
+
+
+def test_the_stage_on_awkward_documents(spark):
+    docs = awkward(spark)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0
+    ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
+    assert ids == [1, 2, 3, 4, 6, 8, 8, 9, 10, 11, 12, 13, 14]  # One = one, the second long text and the row repeated as a whole go
+    assert corpus_pipeline.near_dedup(spark, nothing(spark), "").collect() == []
+
+
+LEARNT = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+
+
+def test_a_sample_keeps_its_bound(spark):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in LEARNT], "doc_id long, quality int, toxic int")
+    many = spark.createDataFrame([(LEARNT[0], f"text {n}") for n in range(3000)] + [(i, f"own {i}") for i in LEARNT], "doc_id long, text string")
+    for rows in (2, 50):
+        assert labelled_sample(many, labels, "quality", rows).count() <= rows
+    one = spark.createDataFrame([(i, "the same") for i in LEARNT], "doc_id long, text string")
+    assert [tuple(r) for r in labelled_sample(one, labels, "toxic").collect()] == [(LEARNT[0], 1, "the same")]
+
+
+def test_fits_do_not_depend_on_partitions(spark):
+    """Repeated ids, texts of both labels, and labels given twice: the same model, however the rows lie."""
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in LEARNT:
+        toxic = rng.random() < 0.4
+        text = prose(rng, 60) + (" vermin scoundrel" * 2 if toxic else "")
+        docs += [(i, text)] + ([(i, text + " again"), (rng.choice(LEARNT), text)] if rng.random() < 0.2 else [])
+        labels += [(i, int(not toxic), int(toxic))] + ([(i, int(toxic), int(not toxic))] if rng.random() < 0.1 else [])
+    models = []
+    for parts in (1, 7):
+        rng.shuffle(docs), rng.shuffle(labels)
+        d = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+        lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").repartition(parts)
+        toxicity, trees, classifier = fit_toxicity(d, lab), fit_rules(d, lab), fit_classifier(d, lab)
+        models.append((toxicity.terms, toxicity.weights.tolist(), trees.value.tolist(), classifier.steps.round(9).tolist()))
+    assert models[0] == models[1]
