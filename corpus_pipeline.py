@@ -16,9 +16,12 @@ from roadlens.llm.near_dedup import BROADCAST_IDS, near_duplicates
 from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import apply_classifier, fit_classifier
 from roadlens.llm.quality_rules import quality_rules
+from roadlens.session import Scratch
 
 #: Documents that share so many percent of their five-word shingles are near copies.
 NEAR_PERCENT = 80
+#: The number of a row, which the documents' own columns are not called.
+ROW = "__pipeline_row"
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +38,21 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id; empty and unidentified ones stay."""
-    gone = stage(near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    """One row of each group of near duplicates: that of the smallest id, of several such the first.
+
+    Rows are compared, not ids: of two rows that share an id and are no near copies both stay, of a row that is repeated as
+    a whole one.  Null, empty and blank texts and rows without an id stay.
+    """
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")  # numbered once and for all
+    known = rows.where("doc_id IS NOT NULL")
+    linked = near_duplicates(known.select(F.col(ROW).alias("doc_id"), "text"), NEAR_PERCENT)
+    groups = linked.where("n_shingles > 0").select(F.col("doc_id").alias(ROW), F.col("component_id").alias("grp"))
+    grouped = stage(groups.join(known.select(ROW, "doc_id"), ROW), "groups")
+    first = stage(grouped.groupBy("grp").agg(F.min(F.struct("doc_id", ROW)).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
+    gone = stage(grouped.join(first, "grp").where(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW), "gone")
     if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled
         gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +73,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another; what a stage wrote besides its result goes when that is written, its result after the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    with Scratch(spark) as results:
+        for name, function in STAGES:
+            with Scratch(spark) as own:
+                docs = own.hand_over(function(spark, docs, sf_dir), name.replace(" ", "-"))
+            results.close(but=1)
+        results.release()
     return docs

@@ -102,9 +102,16 @@ class Scratch:
         _OWNER.set(self._outer.pop())
         self.close()
 
-    def close(self) -> None:
-        while self.paths:
-            delete_path(self.spark, self.paths.pop())
+    def close(self, but: int = 0) -> None:
+        """Delete the folders, but for the last few."""
+        while len(self.paths) > but:
+            delete_path(self.spark, self.paths.pop(0))
+
+    def release(self) -> None:
+        """Give the folders to the enclosing scope, or to nobody."""
+        if self._outer[-1] is not None:
+            self._outer[-1].paths += self.paths
+        self.paths = []
 
     def hand_over(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)  # ours until it is written
