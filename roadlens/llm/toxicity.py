@@ -2,12 +2,15 @@
 
 1. From one half of a bounded labelled sample Spark counts in how many toxic and clean texts each word
    occurs outside quotations, and the stems (first letters) of words likewise; those far more frequent in toxic texts are the
-   lexicon (at most LEXICON terms).  A stem stands for the compounds that begin with it and ends in ``*``.
+   lexicon.  A stem stands for the compounds that begin with it and ends in ``*``.
 2. The lexicon is a trie.  A word of a text that is no term itself is read against the trie by a bit-parallel
-   Levenshtein automaton of the word, so a term with one wrong, missing or added letter is found.
-3. Each hit is looked at in a window of words: between quotation marks it is quoted, else it is abuse.
-4. Exact, misspelled and quoted hits of a text are inputs of a logistic regression, fitted on the other half
-   of the sample.
+   Levenshtein automaton of the word.  An edit is a letter (a code point) that is wrong, missing or added, or two
+   neighbours that are swapped.  Terms of FUZZY_FROM letters or more are found within one edit, of TWO_FROM or more
+   within two, the nearest first.
+3. Each hit is looked at in a window of words: behind an opening and before a closing quotation mark it is quoted,
+   else it is abuse.  An apostrophe opens before a word and closes after one.
+4. Exact, misspelled, weakly misspelled (terms of SURE_FROM letters less) and quoted hits of a text are inputs of a
+   logistic regression, fitted on the other half of the sample.
 
 Defined results: null and empty texts have no hits and get the score of a text without hits; null ids are
 scored like others with ``held_out`` null; without labels of both classes every score is the share of label
@@ -28,13 +31,14 @@ from pyspark.sql import types as T
 from roadlens.llm.common import SAMPLE_ROWS, append_columns, fold, labelled_sample, stage
 from roadlens.llm.words import LOOK_UP_BYTES, Block, Memory, blocks, distinct, keyed, segment_hash
 
-LEXICON = 5_000
 LEAST_TOXIC = 3
 LEAST_LOG_ODDS = 3.0
 #: Bytes of a stem.
 STEMS = (4, 5, 6)
-#: Letters a term needs for a misspelling to count.
-FUZZY_FROM = 5
+#: Letters a term needs for one edit, for a misspelling to be no weak sign, and for two edits.
+FUZZY_FROM, SURE_FROM, TWO_FROM = 4, 5, 8
+#: Bytes of a term at most.
+LONGEST = 64
 CONTEXT = 6
 PREDICT_FROM = 0.5
 
@@ -57,30 +61,33 @@ def _folded(b: Block) -> np.ndarray:
     return data
 
 
-def _quotes(b: Block) -> np.ndarray:
-    """Words that begin or end with a quotation mark."""
+def _quotes(b: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Words that bear a mark which can open a quotation, and one which can close it.
+
+    All quotation marks can do both, as languages differ, but an apostrophe opens only at a word's beginning and closes at its end.
+    """
     at = b.data
-    plain = lambda x: (x == 0x22) | (x == 0x27)
     first, last = at[b.start], at[b.end - 1]
-    marked = plain(first) | plain(last)
+    marked = (first == 0x22) | (last == 0x22)
     padded = np.concatenate((at, np.zeros(3, dtype=np.uint8)))
     second, third = padded[b.start + 1], padded[b.start + 2]
     typographic = lambda x: (x >= 0x98) & (x <= 0x9F)
     marked |= (first == 0xE2) & (second == 0x80) & typographic(third)
     marked |= (first == 0xC2) & ((second == 0xAB) | (second == 0xBB))
-    marked |= (last == 0xAB) | (last == 0xBB)
+    before = padded[np.maximum(b.end - 2, 0)]
+    marked |= ((last == 0xAB) | (last == 0xBB)) & (before == 0xC2)
     marked |= typographic(last) & (padded[np.maximum(b.end - 3, 0)] == 0xE2)
-    return marked
+    return marked | (first == 0x27), marked | (last == 0x27)
 
 
 def in_quotes(b: Block, word: np.ndarray) -> np.ndarray:
-    """Which of the given words have a quotation mark at most CONTEXT words before them and one after (or bear them)."""
-    marks = np.concatenate(([0], np.cumsum(_quotes(b))))
+    """Which of the given words have an opening mark at most CONTEXT words before them and a closing one after (or bear them)."""
+    opening, closing = (np.concatenate(([0], np.cumsum(x))) for x in _quotes(b))
     begin = np.concatenate(([0], np.cumsum(b.per_doc(b.doc).astype(np.int64))))
     doc = b.doc[word]
     before = np.maximum(word - CONTEXT, begin[doc])
     after = np.minimum(word + CONTEXT + 1, begin[doc + 1])
-    return (marks[word + 1] > marks[before]) & (marks[after] > marks[word])
+    return (opening[word + 1] > opening[before]) & (closing[after] > closing[word])
 
 
 def terms_of(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,58 +102,83 @@ def terms_of(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return has, letters[low[has]], letters[high[has] - 1] + 1, data
 
 
+def edits_allowed(n: int) -> int:
+    """Edits within which a term of n letters is found."""
+    return 0 if n < FUZZY_FROM else 1 if n < TWO_FROM else 2
+
+
+def without_letters(word: str, edits: int) -> set[str]:
+    """The word with up to ``edits`` letters left out.
+
+    Words within that many edits of each other have such a rest in common: each edit leaves out at most one letter of either.
+    """
+    out = last = {word}
+    for _ in range(edits):
+        last = {w[:i] + w[i + 1:] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
 @dataclass
 class Trie:
-    """Lexicon terms (bytes) as nested dicts; key -1 holds the term's number."""
+    """Lexicon terms (text) as nested dicts; key None holds the term's number and its letters."""
 
-    terms: list[bytes]
+    terms: list[str]
     root: dict = field(default_factory=dict)
-    heads: set = field(default_factory=set)
-    tails: set = field(default_factory=set)
+    #: what is left of terms without one letter, and of long ones without two
+    rests: tuple[set, set] = field(default_factory=lambda: (set(), set()))
 
     def __post_init__(self) -> None:
         for number, term in enumerate(self.terms):
-            if len(term) < FUZZY_FROM or term.endswith(b"*"):
+            edits = edits_allowed(len(term))
+            if not edits or term.endswith("*"):
                 continue
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
-            node[-1] = number
-            self.heads.add(term[:len(term) // 2])
-            self.tails.add(term[len(term) // 2:])
-
-    def may_match(self, word: bytes) -> bool:
-        """Whether half of some term is exact at its end of the word; one edit cannot spoil both halves."""
-        n = len(word)
-        return any(word[:m // 2] in self.heads or word[n - (m - m // 2):] in self.tails for m in (n - 1, n, n + 1))
-
-    def within_one(self, word: bytes) -> int:
-        """Number of the smallest term at Levenshtein distance one or less, or -1.
-
-        ``exact`` and ``one`` are the states of the word's automaton after a path of the trie: bit i says
-        that the path matches the first i letters with no edit, or with one.
+            node[None] = (number, len(term))
+            self.rests[0].update(without_letters(term, 1))
+            if edits > 1:
+                self.rests[1].update(without_letters(term, 2))
+
+    def edits(self, word: str) -> int:
+        """Edits that are worth trying for a word: 0 if no term has a rest in common with it."""
+        if len(word) >= TWO_FROM - 2 and not self.rests[1].isdisjoint(without_letters(word, 2)):
+            return 2
+        return int(len(word) >= FUZZY_FROM - 1 and not self.rests[0].isdisjoint(without_letters(word, 1)))
+
+    def nearest(self, word: str, edits: int) -> int:
+        """Number of the term of the fewest edits, at most ``edits`` and what its length allows (of equal ones the smallest), or -1.
+
+        ``now[e]`` are the states of the word's automaton after a path of the trie: bit i says that the path matches
+        the first i letters with up to e edits; ``past`` are those a letter earlier, for swaps.
         """
-        goal, masks = 1 << len(word), {}
+        goal, every, masks = 1 << len(word), (2 << len(word)) - 1, {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | (1 << i)
-        best = -1
-        waiting = [(self.root, 1, 3)]
+        best = (edits + 1, -1)
+        none = (0,) * (edits + 1)
+        waiting = [(self.root, tuple((2 << e) - 1 & every for e in range(edits + 1)), none, 0)]
         while waiting:
-            node, exact, one = waiting.pop()
+            node, now, past, last = waiting.pop()
             for c, child in node.items():
-                if c == -1:
-                    if (exact | one) & goal and (best < 0 or child < best):
-                        best = child
+                if c is None:
+                    number, n = child
+                    fewest = next((e for e in range(min(edits, edits_allowed(n)) + 1) if now[e] & goal), None)
+                    if fewest is not None and (best[1] < 0 or (fewest, number) < best):
+                        best = (fewest, number)
                     continue
                 mask = masks.get(c, 0)
-                now = (exact & mask) << 1
-                then = ((one & mask) << 1) | exact | (exact << 1) | (now << 1)
-                if now | then:
-                    waiting.append((child, now, then & ((goal << 1) - 1)))
-        return best
+                following = [(now[0] & mask) << 1]
+                for e in range(1, edits + 1):
+                    following.append((((now[e] & mask) << 1) | now[e - 1] | (now[e - 1] << 1) | (following[e - 1] << 1)
+                                      | ((((past[e - 1] & mask) << 1) & last) << 1)) & every)
+                if following[-1]:
+                    waiting.append((child, tuple(following), now, mask))
+        return best[1]
 
 
-FEATURES = ["exact", "misspelled", "quoted", "exact_share", "misspelled_share", "distinct_terms", "strongest"]
+FEATURES = ["exact", "misspelled", "weak", "quoted", "exact_share", "misspelled_share", "distinct_terms", "strongest"]
 
 
 @dataclass
@@ -164,7 +196,9 @@ class Model:
 class Matcher:
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.trie = Trie(model.terms)
+        texts = [t.decode("utf-8", "replace") for t in model.terms]
+        self.trie = Trie(texts)
+        self.weak = np.array([len(t) < SURE_FROM for t in texts], dtype=bool)
         self.numbers = {t: i for i, t in enumerate(model.terms)}
         self.memory = Memory(2)
 
@@ -176,9 +210,11 @@ class Matcher:
         for n in reversed(STEMS):
             if n < len(word) and (number := self.numbers.get(word[:n] + b"*", -1)) >= 0:
                 return number, 0
-        if len(word) < FUZZY_FROM - 1 or not self.trie.may_match(word):
+        if len(word) > LONGEST + 8:  # two letters of four bytes more
             return -1, 0
-        return self.trie.within_one(word), 1
+        text = word.decode("utf-8", "replace")
+        edits = self.trie.edits(text)
+        return (self.trie.nearest(text, edits), 1) if edits else (-1, 0)
 
     def features(self, text: pa.Array) -> np.ndarray:
         parts = [self._block(b) for b in blocks(text, lower=True, size=LOOK_UP_BYTES)]
@@ -193,13 +229,14 @@ class Matcher:
         word, number, misspelled = word[hit], found[hit, 0], found[hit, 1] == 1
         doc, quoted = b.doc[word], in_quotes(b, word)
         n_words = b.per_doc(b.doc)
-        exact, near = ~quoted & ~misspelled, ~quoted & misspelled
+        faint = misspelled & (self.weak[number] if len(number) else False)
+        exact, near, weak = ~quoted & ~misspelled, ~quoted & misspelled & ~faint, ~quoted & faint
         count = lambda mask: b.per_doc(doc[mask])
         strongest = np.zeros(b.n_docs)
         np.maximum.at(strongest, doc[exact], self.model.log_odds[number[exact]] if len(number) else 0)
         _, at = np.unique(keyed(number[~quoted].astype(np.uint64), doc[~quoted]), return_index=True)
         size = np.maximum(n_words, 1)
-        return np.stack((np.log1p(count(exact)), np.log1p(count(near)), np.log1p(count(quoted)),
+        return np.stack((np.log1p(count(exact)), np.log1p(count(near)), np.log1p(count(weak)), np.log1p(count(quoted)),
                          count(exact) / size, count(near) / size, np.log1p(b.per_doc(doc[~quoted][at])), strongest), axis=1)
 
 
@@ -256,8 +293,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
     odds = F.log((F.col("ones") + 0.5) / (toxic + 1.0)) - F.log((F.col("zeros") + 0.5) / (clean + 1.0))
     lexicon = (
         counts.groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-        .where((F.col("ones") >= LEAST_TOXIC) & (F.length("term") >= 3)).withColumn("odds", odds)
-        .where(F.col("odds") >= LEAST_LOG_ODDS).orderBy(F.desc("odds"), "term").limit(LEXICON).collect())
+        .where((F.col("ones") >= LEAST_TOXIC) & F.length("term").between(3, LONGEST)).withColumn("odds", odds)
+        .where(F.col("odds") >= LEAST_LOG_ODDS).orderBy(F.desc("odds"), "term").collect())
     model = Model([bytes(r["term"]) for r in lexicon], np.array([r["odds"] for r in lexicon], dtype=float))
     second = sample.where("half = 1")
     rows = match_features(second, model, ["doc_id", "label"]).orderBy("doc_id", "label").collect()

@@ -120,25 +120,78 @@ def test_held_out_quality(spark):
 # op 4
 
 
-def _levenshtein(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.binary(min_size=5, max_size=8).map(lambda x: bytes(97 + c % 3 for c in x)), min_size=1, max_size=6),
-       st.binary(min_size=4, max_size=9).map(lambda x: bytes(97 + c % 3 for c in x)))
-def test_automaton_finds_what_one_edit_reaches(terms, word):
-    terms = sorted(set(terms))
+def _distance(a, b):
+    """Edits between two words: a letter wrong, missing or added, or two neighbours swapped (no letter is edited twice)."""
+    d = [[max(i, j) if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def _nearest(terms, word):
+    near = [(_distance(t, word), n) for n, t in enumerate(terms)]
+    near = [(d, n) for d, n in near if d <= (0 if len(terms[n]) < 4 else 1 if len(terms[n]) < 8 else 2)]
+    return min(near)[1] if near else -1
+
+
+LETTERS = st.text(alphabet="abé", min_size=3, max_size=10)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(LETTERS, min_size=1, max_size=6, unique=True), LETTERS)
+def test_automaton_finds_the_nearest_term(terms, word):
     trie = toxicity.Trie(terms)
-    near = [i for i, t in enumerate(terms) if _levenshtein(t, word) <= 1]
-    assert trie.within_one(word) == (near[0] if near else -1)
-    if near:
-        assert trie.may_match(word)
+    edits = trie.edits(word)
+    got = trie.nearest(word, edits) if edits else -1
+    want = _nearest(terms, word)
+    assert got == want or (word in terms and len(word) < 4)  # terms too short for edits are matched as they are
+
+
+def test_misspellings_by_name():
+    terms = [t.encode() for t in ("idiot", "trash", "scum", "estupido", "disgusting")]
+    match = toxicity.Matcher(toxicity.Model(terms, np.ones(5)))._match
+    for word, term in (("idiott", 0), ("idoit", 0), ("tarsh", 1), ("scun", 2), ("sucm", 2), ("estupid0", 3), ("estúpido", 3),
+                       ("ëstúpido", 3), ("digsustin", 4), ("disgustign", 4)):
+        assert match(word.encode()) == (term, 1), word
+    for word in ("idioms", "scam's", "crash", "stun", "rash" * 9):
+        assert match(word.encode())[0] in (-1, 1), word
+    assert match(b"scum") == (2, 0)
+
+
+def test_features_by_hand():
+    """A brute-force scorer over a small lexicon: every word against every term, quotations by looking around."""
+    rng = random.Random(3)
+    terms = ["idiot", "trash", "scum", "worthless"]
+    vocabulary = ["idiot", "idoit", "trash", "tarsh", "trsh", "scum", "scvm", "worthless", "wortless", "wrthles", "worth", "plain", "words", "and",
+                  "more", "of", "them", '"idiot"', '"trash', 'scum"', "'scum", "trash'", "owners'", "“idiot”"]
+    matcher = toxicity.Matcher(toxicity.Model([t.encode() for t in terms], np.array([4.0, 5.0, 6.0, 7.0])))
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(40))) for _ in range(200)]
+    got = matcher.features(pa.array(texts))
+    for row, text in zip(got, texts, strict=True):
+        w = text.split()
+        counts, strongest, seen = Counter(), 0.0, set()
+        for i, word in enumerate(w):
+            bare = word.strip("\"'“”")
+            n = terms.index(bare) if bare in terms else _nearest(terms, bare)
+            if n < 0:
+                continue
+            opened = any(x[0] in "\"'“”" or x[-1] in '"“”' for x in w[max(i - 6, 0):i + 1])
+            closed = any(x[-1] in "\"'“”" or x[0] in '"“”' for x in w[i:i + 7])
+            if opened and closed:
+                counts["quoted"] += 1
+                continue
+            seen.add(n)
+            kind = "exact" if bare in terms else "weak" if len(terms[n]) < 5 else "misspelled"
+            counts[kind] += 1
+            if kind == "exact":
+                strongest = max(strongest, 4.0 + n)
+        size = max(len(w), 1)
+        want = [math.log1p(counts[k]) for k in ("exact", "misspelled", "weak", "quoted")]
+        want += [counts["exact"] / size, counts["misspelled"] / size, math.log1p(len(seen)), strongest]
+        assert np.allclose(row, want), (text, dict(zip(toxicity.FEATURES, row, strict=True)), want)
 
 
 def test_held_out_toxicity(spark):
