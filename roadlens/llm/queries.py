@@ -20,6 +20,7 @@ from roadlens.llm.quality_rules import quality_rules
 from roadlens.llm.sharding import shard_documents
 from roadlens.llm.suffix_tree import suffix_tree_scores
 from roadlens.llm.token_counts import token_counts
+from roadlens.llm.topics import fit_topics
 from roadlens.llm.toxicity import toxicity
 
 
@@ -58,7 +59,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_documents(table(spark, sf_dir, "documents"), carry=["doc_id", "source", "lang"])
+    docs = table(spark, sf_dir, "documents")
+    return mix_documents(docs, carry=["doc_id", "source", "lang"], topics=fit_topics(docs))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
