@@ -16,6 +16,7 @@ from roadlens.llm.near_dedup import BROADCAST_IDS, near_duplicates
 from roadlens.llm.packing import pack_documents
 from roadlens.llm.quality_classifier import apply_classifier, fit_classifier
 from roadlens.llm.quality_rules import quality_rules
+from roadlens.llm.topics import fit_topics
 from roadlens.session import Scratch
 
 #: Documents that share so many percent of their five-word shingles are near copies.
@@ -56,8 +57,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target weights of sources, languages and topics."""
-    return mix_documents(docs).where("kept").select(*docs.columns)
+    """Documents sampled to the target weights of sources, languages and topics learnt from them."""
+    return mix_documents(docs, topics=fit_topics(docs)).where("kept").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
