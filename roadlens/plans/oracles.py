@@ -49,7 +49,7 @@ CRASH_SQL = {
     "a01": """select crash_id, count(*) male_death_count from primary_person where prsn_gndr_id='MALE' and prsn_injry_sev_id='KILLED' group by crash_id having count(*)>2""",
     "a02": """select count(*) count_two_wheeler_booked from (select distinct u.crash_id,u.unit_nbr from units u join (select distinct crash_id,unit_nbr from charges) b on u.crash_id=b.crash_id and u.unit_nbr=b.unit_nbr where veh_body_styl_id in ('MOTORCYCLE','POLICE MOTORCYCLE')) z""",
     "a03": """select veh_make_id, count(*) cnt from (select distinct u.crash_id,unit_nbr,veh_make_id from units u join (select crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED') p on u.crash_id=p.crash_id) z group by veh_make_id order by cnt desc, veh_make_id asc nulls last limit 5""",
-    "a04": """select count(*) count_licensed from primary_person p join (select distinct crash_id,veh_hnr_fl from units) u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id like '%CLASS%'""",
+    "a04": """with licensed as (select crash_id, count(*) n_people from primary_person where prsn_type_id = 'DRIVER' and drvr_lic_cls_id like '%CLASS%' group by crash_id), flags as (select crash_id, count(distinct coalesce(veh_hnr_fl, '')) n_flags from units group by crash_id) select cast(coalesce(sum(n_people * n_flags), 0) as bigint) count_licensed from licensed join flags using (crash_id)""",
     "a04_hnr": """select count(*) count_licensed from primary_person p join (select distinct crash_id,veh_hnr_fl from units where veh_hnr_fl='Y') u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id like '%CLASS%'""",
     "a05": """select drvr_lic_state_id, count(drvr_lic_state_id) state_count from (select distinct crash_id, drvr_lic_state_id from primary_person p where not exists (select 1 from primary_person f where f.prsn_gndr_id='FEMALE' and f.crash_id=p.crash_id)) z group by drvr_lic_state_id order by state_count desc, drvr_lic_state_id asc nulls last limit 1""",
     "a06": """select veh_make_id, sum_cas from (select veh_make_id, sum_cas, row_number() over (order by sum_cas desc nulls last, veh_make_id) rn from (select veh_make_id, cast(sum(cast(tot_injry_cnt as decimal(20,4))+cast(death_cnt as decimal(20,4))) as bigint) sum_cas from (select distinct crash_id,veh_make_id,tot_injry_cnt,death_cnt from units where veh_make_id<>'NA') a group by veh_make_id) b) c where rn between 3 and 5""",
@@ -63,12 +63,12 @@ CRASH_SQL = {
     "v_booked_crashes": """select count(*) crash_count from (select distinct u.crash_id from units u join charges c on u.crash_id=c.crash_id and u.unit_nbr=c.unit_nbr where veh_body_styl_id in ('MOTORCYCLE','POLICE MOTORCYCLE')) z""",
     "v_two_wheelers_all": """select count(*) unit_count from (select distinct crash_id,unit_nbr from units where contains(veh_body_styl_id,'MOTORCYCLE')) z""",
     "v_charge_rows": """select count(*) charge_rows from charges""",
-    "v_bottom_makes": """select veh_make_id, count(*) make_count from (select crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED') c join (select distinct crash_id,unit_nbr,veh_make_id from units) u on c.crash_id=u.crash_id group by veh_make_id order by make_count, veh_make_id nulls last limit 5""",
+    "v_bottom_makes": """with fatal as (select crash_id, count(*) n_fatal from primary_person where prsn_airbag_id = 'NOT DEPLOYED' and prsn_injry_sev_id = 'KILLED' and prsn_type_id = 'DRIVER' group by crash_id), cars as (select crash_id, veh_make_id, count(distinct coalesce(unit_nbr, '')) n_cars from units group by crash_id, veh_make_id) select veh_make_id, cast(sum(n_fatal * n_cars) as bigint) make_count from fatal join cars using (crash_id) group by veh_make_id order by make_count, veh_make_id nulls last limit 5""",
     "v_top_makes_in": """with fatal as (select distinct crash_id from primary_person where prsn_type_id='DRIVER' and prsn_injry_sev_id='KILLED' and prsn_airbag_id='NOT DEPLOYED'), vehicles as (select crash_id, unit_nbr, veh_make_id from units group by all) select veh_make_id, count(*) cnt from vehicles semi join fatal using (crash_id) group by veh_make_id order by cnt desc, veh_make_id nulls last limit 5""",
-    "v_not_unlicensed": """select count(*) row_count from primary_person p join (select distinct crash_id,veh_hnr_fl from units) u on p.crash_id=u.crash_id where prsn_type_id='DRIVER' and drvr_lic_cls_id<>'UNLICENSED'""",
-    "v_non_female_pairs": """select count(*) pair_count from (select distinct crash_id,drvr_lic_state_id from primary_person where crash_id not in (select crash_id from primary_person where prsn_gndr_id='FEMALE') and drvr_lic_cls_id<>'OTHER/OUT OF STATE') z""",
-    "v_non_female_state": """select drvr_lic_state_id, count(*) state_count from (select distinct crash_id,drvr_lic_state_id from primary_person where crash_id not in (select crash_id from primary_person where prsn_gndr_id='FEMALE') and drvr_lic_cls_id<>'OTHER/OUT OF STATE') z group by drvr_lic_state_id order by state_count desc, drvr_lic_state_id nulls last limit 1""",
-    "v_rank_3_to_7": """select veh_make_id, cast(sum(total_cas) as bigint) sum_cas from (select veh_make_id, cast(tot_injry_cnt as decimal(20,4))+cast(death_cnt as decimal(20,4)) total_cas from (select distinct crash_id,tot_injry_cnt,death_cnt,veh_make_id from units where veh_make_id<>'NA') y) z group by veh_make_id order by sum_cas desc nulls last, veh_make_id limit 5 offset 2""",
+    "v_not_unlicensed": """with others as (select crash_id, count(*) n_people from primary_person where drvr_lic_cls_id <> 'UNLICENSED' and prsn_type_id = 'DRIVER' group by crash_id), flags as (select crash_id, count(distinct coalesce(veh_hnr_fl, '')) n_flags from units group by crash_id) select cast(coalesce(sum(n_people * n_flags), 0) as bigint) row_count from others join flags using (crash_id)""",
+    "v_non_female_pairs": """with females as (select crash_id from primary_person where prsn_gndr_id = 'FEMALE' group by crash_id), pairs as (select crash_id, drvr_lic_state_id from primary_person where drvr_lic_cls_id <> 'OTHER/OUT OF STATE' group by crash_id, drvr_lic_state_id), kept as (select * from pairs p where (p.crash_id is not null or not exists (select 1 from females)) and not exists (select 1 from females f where f.crash_id is null) and not exists (select 1 from females f where f.crash_id = p.crash_id)) select count(*) pair_count from kept""",
+    "v_non_female_state": """with females as (select crash_id from primary_person where prsn_gndr_id = 'FEMALE' group by crash_id), pairs as (select crash_id, drvr_lic_state_id from primary_person where drvr_lic_cls_id <> 'OTHER/OUT OF STATE' group by crash_id, drvr_lic_state_id), kept as (select * from pairs p where (p.crash_id is not null or not exists (select 1 from females)) and not exists (select 1 from females f where f.crash_id is null) and not exists (select 1 from females f where f.crash_id = p.crash_id)), counted as (select drvr_lic_state_id, count(*) state_count from kept group by drvr_lic_state_id), placed as (select *, row_number() over (order by state_count desc, drvr_lic_state_id nulls last) place from counted) select drvr_lic_state_id, state_count from placed where place = 1""",
+    "v_rank_3_to_7": """with cars as (select crash_id, veh_make_id, cast(tot_injry_cnt as decimal(20,4)) hurt, cast(death_cnt as decimal(20,4)) dead from units where veh_make_id <> 'NA' group by crash_id, veh_make_id, tot_injry_cnt, death_cnt), totals as (select veh_make_id, cast(sum(hurt + dead) as bigint) sum_cas from cars group by veh_make_id), placed as (select *, row_number() over (order by sum_cas desc nulls last, veh_make_id) place from totals) select veh_make_id, sum_cas from placed where place between 3 and 7""",
     "v_zip_dedup_first": """with alcohol as (select distinct crash_id from units where concat_ws('|', contrib_factr_1_id, contrib_factr_2_id, contrib_factr_p1_id) like '%ALCOHOL%') select drvr_zip, count(distinct p.crash_id) tot_count from primary_person p semi join alcohol a on p.crash_id = a.crash_id where drvr_zip is not null group by drvr_zip order by tot_count desc, drvr_zip limit 5""",
     "v_no_damage_not_in": """select count(*) crash_count from (select distinct crash_id from units where crash_id not in (select crash_id from damages) and (veh_dmag_scl_1_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST') or veh_dmag_scl_2_id in ('DAMAGED 5','DAMAGED 6','DAMAGED 7 HIGHEST')) and fin_resp_type_id like '%INSURANCE%') z""",
     "v_speeding_in": """with vehicles as (select distinct crash_id, veh_make_id, unit_nbr, veh_color_id, veh_lic_state_id from units), colours as (select veh_color_id from units where veh_color_id <> 'NA' group by veh_color_id order by count(distinct (crash_id, unit_nbr)) desc, veh_color_id limit 10), states as (select veh_lic_state_id from units where veh_lic_state_id not in ('Unknown', 'NA') group by veh_lic_state_id order by count(distinct struct_pack(c := crash_id)) desc, veh_lic_state_id limit 25), licensed as (select crash_id, count(*) n from primary_person where drvr_lic_cls_id like '%CLASS%' group by crash_id), speeding as (select crash_id, count(*) n from charges where charge like '%SPEED%' group by crash_id) select veh_make_id, cast(sum(l.n * s.n) as bigint) make_count from vehicles v join licensed l using (crash_id) join speeding s using (crash_id) semi join colours using (veh_color_id) semi join states using (veh_lic_state_id) group by veh_make_id order by make_count desc, veh_make_id nulls last limit 5""",
