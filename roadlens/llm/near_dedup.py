@@ -4,13 +4,17 @@
    packed signature of the four low bits of each (mixed) minimum.  Equal sets collapse to one, so copies
    are never paired.
 2. Sets that share a band key are candidates.  Each is compared with the smallest of its bucket by the bit
-   counts of the packed signatures, corrected for chance collisions.  An estimate of LOOSE or more makes a
-   candidate edge; one of TIGHT or more also takes the set out of the bucket, because whatever links with
-   it must then lie within LOOSE of the bucket's smallest (Jaccard distance obeys the triangle inequality).
-   The sets that remain in a bucket are compared with each other in blocks of bounded size.
-3. Candidate edges form clusters.  The full sets of a cluster are shipped once, in blocks of bounded size,
-   and all pairs inside are confirmed exactly: 100 * |intersection| >= percent * |union|.
-4. The confirmed links form the components.
+   counts of the packed signatures, corrected for chance collisions.  An estimate of TIGHT or more takes the set out of the
+   bucket, because whatever links with it must then lie within LOOSE of the bucket's smallest (Jaccard distance
+   obeys the triangle inequality).  The sets that remain in a bucket are compared with each other in blocks of
+   bounded size.
+3. Each bucket's smallest and the sets within LOOSE of it are its star.  Members are confirmed against the smallest on full
+   sets.  A linked pair that is not both confirmed lies in the star, or in the bucket's remainder, and is
+   estimated near the threshold; of a block of either the sets that such estimates join form a group.
+4. The full sets of a group are shipped once, in blocks of bounded size, and all pairs inside are confirmed exactly:
+   100 * |intersection| >= percent * |union|.  Groups reach no further than a block, so chains of sets that are
+   somewhat alike are not followed.
+5. The confirmed links form the components.
 
 LOOSE follows from the threshold (:func:`loose`).  Nothing is capped: larger buckets and clusters make more
 blocks.  A pair at similarity 0.85 shares no band with probability (1 - 0.85^4)^24, about 2e-8; at 0.80 about
@@ -189,13 +193,44 @@ def _in_blocks(df: DataFrame, group: str, member: str, n_blocks) -> DataFrame:
     return dealt.withColumn("__o", other).withColumn("bi", F.least("__c", "__o")).withColumn("bj", F.greatest("__c", "__o")).drop("__n", "__c", "__o")
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Candidate edges, of an estimate of ``least`` or more, among the remaining sets of each block of a bucket."""
+def _near_groups(batches: Iterator[pa.RecordBatch], near: float) -> Iterator[pa.RecordBatch]:
+    """(grp, set_id): in each block the sets that estimates of ``near`` or more join.
+
+    Pairs that are both confirmed already are passed over.  A group is called by its members, so blocks that find the
+    same one agree.
+    """
     for t in _by_group(batches, 3):
         ids = t.column("set_id").to_numpy()
         lanes = np.stack([t.column(c).to_numpy() for c in _LANE], axis=1).view(np.uint64)
-        edges = np.array(_forest(_estimates(lanes) >= least), dtype=np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], names=["a", "b"])
+        linked = _estimates(lanes) >= near
+        confirmed = t.column("confirmed").to_numpy(zero_copy_only=False).astype(bool)
+        linked[np.ix_(confirmed, confirmed)] = False
+        of = np.arange(len(ids))
+        for a, b in _forest(linked):  # a root comes before its tree
+            of[b] = of[a]
+        order = np.argsort(of, kind="stable")
+        heads = np.flatnonzero(np.concatenate(([True], np.diff(of[order]) != 0)))
+        size = np.diff(np.append(heads, len(ids)))
+        name = np.add.reduceat(mix64(ids[order].view(np.uint64) + np.uint64(0x632BE59BD9B4E019)), heads)
+        several = np.repeat(size > 1, size)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(mix64(name), size)[several].view(np.int64)), pa.array(ids[order][several])],
+                                         names=["grp", "set_id"])
+
+
+def _star_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(rep, set_id, linked): the members of each block of a star against its smallest set."""
+    for t in _by_group(batches, 2):
+        ids, is_rep = t.column("set_id").to_numpy(), t.column("is_rep").to_numpy(zero_copy_only=False).astype(bool)
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in t.column("hashes")]
+        own = np.sort(sets[int(np.flatnonzero(is_rep)[0])])
+        members = np.flatnonzero(~is_rep)
+        linked = []
+        for i in members.tolist():
+            at = np.minimum(np.searchsorted(own, sets[i]), len(own) - 1)
+            both = int((own[at] == sets[i]).sum())
+            linked.append(100 * both >= percent * (len(own) + len(sets[i]) - both))
+        yield pa.RecordBatch.from_arrays([pa.repeat(t.column(0)[0], len(members)), pa.array(ids[members]), pa.array(linked, pa.bool_())],
+                                         names=["rep", "set_id", "linked"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -238,9 +273,8 @@ def _sets_of(text: pa.Array) -> list[pa.Array]:
     return [pa.array(out, pa.binary())]
 
 
-def _candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges between distinct sets whose estimated similarity is LOOSE or more, enough to connect all pairs at ``percent``."""
-    least = loose(percent)
+def _stars(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stars (rep, set_id, alike, lanes) and remainders (key, n, set_id, lanes) of the buckets of several sets."""
     rows = sets.select("set_id", F.explode("bands").alias("key"))
     buckets = stage(rows.groupBy("key").agg(F.min("set_id").alias("rep"), F.count("*").alias("n")).where("n > 1"),
                     "op6-buckets")
@@ -256,28 +290,59 @@ def _candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
                  "op6-rest")
     # A written table, so that the join reads both shuffles directly and can split a hot bucket.
     often = stage(rest.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "op6-often")
-    rest = rest.join(often, "key")
-    dealt = _in_blocks(rest, "key", "set_id", F.ceil(F.col("n") / BLOCK_SETS)).select("key", "bi", "bj", "set_id", *_LANE)
-    among = (dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-             .mapInArrow(lambda batches: _bucket_edges(batches, least), "a long, b long"))
-    return star.where(F.col("alike") >= least).select(F.col("rep").alias("a"), F.col("set_id").alias("b")).unionByName(among)
-
-
-def _confirmed(docs: DataFrame, sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
-    """Exact links (a, b) within the clusters that candidate edges make."""
-    clusters = components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("cluster"))
-    sized = clusters.join(sets.select("set_id", "n_shingles"), "set_id")
-    totals = stage(sized.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total")), "op6-totals")
-    parts = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("total") / BLOCK_SHINGLES))
-    wanted = stage(clusters.join(totals, "cluster").select("set_id", "cluster", parts.alias("parts")), "op6-wanted")
+    return star, rest.join(often, "key")
+
+
+def _in_groups(df: DataFrame, key: str, near: float) -> DataFrame:
+    """:func:`_near_groups` of ``df`` (key, n, set_id, lanes, confirmed) by key, in blocks."""
+    dealt = _in_blocks(df, key, "set_id", F.ceil(F.col("n") / BLOCK_SETS)).select(key, "bi", "bj", "set_id", "confirmed", *_LANE)
+    return (dealt.repartition(key, "bi", "bj").sortWithinPartitions(key, "bi", "bj")
+            .mapInArrow(lambda batches: _near_groups(batches, near), "grp long, set_id long"))
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_id, hashes) of the wanted sets."""
+    wanted = stage(wanted.distinct(), "op6-wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").alias("set_id"), F.col("text").cast("string").alias("text")).join(wanted, "set_id")
     schema = T.StructType([T.StructField("hashes", T.BinaryType())])
-    full = append_columns(texts, "text", schema, _sets_of, ["cluster", "parts", "set_id"])
-    dealt = _in_blocks(full, "cluster", "set_id", F.col("parts")).select("cluster", "bi", "bj", "set_id", "hashes")
-    return (dealt.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj")
-            .mapInArrow(lambda batches: _exact_links(batches, percent), "a long, b long"))
+    return stage(append_columns(texts, "text", schema, _sets_of, ["set_id"]), "op6-full")
+
+
+def _confirmed(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Exact links (a, b), enough to connect all that ``percent`` links."""
+    near, least = percent / 100 - SLACK, loose(percent)
+    star, rest = _stars(sets)
+    star = star.where(F.col("alike") >= least)
+    apart = stage(_in_groups(rest.withColumn("confirmed", F.lit(False)), "key", near).distinct(), "op6-apart")
+    full = _full_sets(docs, star.select("set_id").unionByName(star.select(F.col("rep").alias("set_id"))).unionByName(apart.select("set_id")))
+
+    # members against the smallest of their star, which every block of a star gets
+    checked = star.where(F.col("alike") >= near).select("rep", "set_id").join(sets.select("set_id", "n_shingles"), "set_id")
+    sizes = stage(checked.groupBy("rep").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES))
+                                             .cast("int").alias("parts")), "op6-sizes")
+    members = (star.where(F.col("alike") >= near).select("rep", "set_id").join(sizes, "rep")
+               .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")).join(full, "set_id")
+               .select("rep", "part", F.lit(False).alias("is_rep"), "set_id", "hashes"))
+    reps = (sizes.select(F.col("rep").alias("set_id"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(full, "set_id")
+            .select(F.col("set_id").alias("rep"), "part", F.lit(True).alias("is_rep"), "set_id", "hashes"))
+    links = stage(members.unionByName(reps).repartition("rep", "part").sortWithinPartitions("rep", "part")
+                  .mapInArrow(lambda batches: _star_links(batches, percent), "rep long, set_id long, linked boolean"), "op6-starred")
+
+    # stars that are not confirmed whole: what else is near the threshold there
+    marked = stage(star.join(links.where("linked"), ["rep", "set_id"], "left")
+                   .withColumn("confirmed", F.coalesce("linked", F.lit(False))).drop("linked", "alike"), "op6-marked")
+    open_stars = stage(marked.groupBy("rep").agg(F.count("*").alias("n"), F.count_if(~F.col("confirmed")).alias("u"))
+                       .where("u > 0 AND n > 1").select("rep", "n"), "op6-open")
+    within = _in_groups(marked.join(open_stars, "rep"), "rep", near)
+    groups = stage(apart.unionByName(within).distinct(), "op6-groups")
+    totals = stage(groups.join(sets.select("set_id", "n_shingles"), "set_id").groupBy("grp")
+                   .agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts")), "op6-totals")
+    dealt = _in_blocks(groups.join(totals, "grp").join(full, "set_id"), "grp", "set_id", F.col("parts"))
+    exact = (dealt.select("grp", "bi", "bj", "set_id", "hashes").repartition("grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj")
+             .mapInArrow(lambda batches: _exact_links(batches, percent), "a long, b long"))
+    return links.where("linked").select(F.col("rep").alias("a"), F.col("set_id").alias("b")).unionByName(exact)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -292,7 +357,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         some.groupBy("set_a", "set_b", "n_shingles").agg(
             F.min("doc_id").alias("set_id"), *[F.min(c).alias(c) for c in _LANE], F.first("bands").alias("bands")),
         "op6-sets")
-    links = _confirmed(docs, sets, _candidate_edges(sets, percent), percent)
+    links = _confirmed(docs, sets, percent)
     key = ["set_a", "set_b", "n_shingles"]
     slim = signed.select("doc_id", *key)
     repeated = stage(slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),

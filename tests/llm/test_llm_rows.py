@@ -7,6 +7,7 @@ import zlib
 
 import pytest
 from llm_cases import awkward, nothing, prose, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from roadlens.llm.common import labelled_sample
@@ -14,6 +15,7 @@ from roadlens.llm.near_dedup import near_duplicates
 from roadlens.llm.quality_classifier import fit_classifier
 from roadlens.llm.quality_rules import fit_rules
 from roadlens.llm.toxicity import fit_toxicity
+from roadlens.session import Scratch
 
 A, B, C = "alpha " * 3 + " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40)), " ".join(f"c{i}" for i in range(30))
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -138,3 +140,28 @@ def test_fits_do_not_depend_on_partitions(spark):
         toxicity, trees, classifier = fit_toxicity(d, lab), fit_rules(d, lab), fit_classifier(d, lab)
         models.append((toxicity.terms, toxicity.weights.tolist(), trees.value.tolist(), classifier.steps.round(9).tolist()))
     assert models[0] == models[1]
+
+
+def test_chains_are_not_followed(spark):
+    """Texts of which each is about 0.6 like the next: what is confirmed grows with their number, not with its square."""
+    rng = random.Random(9)
+
+    def chain(n):
+        text, out = [f"x{rng.random()}" for _ in range(120)], []
+        for _ in range(n):
+            out.append(" ".join(text))
+            for at in rng.sample(range(0, 120, 5), 6):
+                text[at] = f"x{rng.random()}"
+        return out
+
+    def compared(texts):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+        with Scratch(spark) as own:
+            groups = len(near_duplicates(rows).select("component_id").distinct().collect())
+            path = next(p for p in own.paths if "op6-groups" in p)
+            sizes = [r["n"] for r in spark.read.parquet(path).groupBy("grp").agg(F.count("*").alias("n")).collect()]
+        assert groups == len(texts)
+        return sum(n * (n - 1) // 2 for n in sizes)
+
+    short, long = compared(chain(60)), compared(chain(240))
+    assert long <= 6 * short + 60
