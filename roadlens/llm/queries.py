@@ -122,25 +122,25 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 OP6_SQL = """
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents
-), s AS (
-  SELECT doc_id, CASE WHEN len(w) >= 5
+), s AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(w) >= 5
     THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
   FROM w
-), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+), u AS (SELECT r, doc_id, len(s) AS n, unnest(s) AS g FROM s WHERE doc_id IS NOT NULL),
 p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
-  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
-), e AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (na + nb - shared)),
-l AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
+  SELECT any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM u a JOIN u b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r
+), e AS (SELECT DISTINCT a, b FROM p WHERE 100 * shared >= 85 * (na + nb - shared) AND a <> b),
+l AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
 c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
-SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
-FROM s JOIN c ON c.x = s.doc_id
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, coalesce(s.doc_id = component_id, true) AS kept
+FROM s LEFT JOIN c ON c.x = s.doc_id
 """
 
 ORACLES: dict[str, str] = {"op1_knn_join": OP1_SQL, "op6_near_duplicates": OP6_SQL}

@@ -1,23 +1,28 @@
 """Operator 5, language-model scoring by a probabilistic suffix tree over words.
 
-Everything the tree learns is a Spark table; nothing of it comes to the driver or is broadcast.
-
-1. How often each token occurs, over all training texts.  Tokens are the words of a text (A-Z lowered) and
-   one end.  The counts are the root of the tree.
-2. Every token of every text with the two tokens before it (the text's beginning included) is a gram.  One
-   pass writes the texts in pieces, as places in the list of the piece's distinct grams, and these lists
-   with their counts, which Spark adds up.  Followers of a context that occur LEAST times or more are listed
-   there, whatever the size of the corpus.
-3. A context is retained if its followers' distribution diverges from that of its suffix by DIVERGENCE nats
-   an occurrence or more.  Suffixes of retained contexts are kept too.
-4. Each distinct gram gets its probability; the lists of the pieces are joined to it by a shuffle, and each
-   piece meets its list in one task.
-
-A token's state is the longest retained suffix.  A follower listed there has its discounted relative
-frequency; the mass that is left is spread over the others in proportion to the parent's distribution, so
-each state's probabilities sum to one (an unseen token counts as one more word).
-
-:func:`fit_tree` is the same tree in memory, for small corpora: the tests hold the tables against it.
+A token's state is the longest retained suffix of the two tokens before it (the text's beginning included).  A follower that
+occurs LEAST times or more in a context is listed there and has its discounted relative frequency; the mass that is
+left is spread over the others in proportion to the parent's distribution, so each state's probabilities sum to
+one (an unseen token counts as one more word).  The root is the contract's base.  A context is retained if its followers'
+distribution diverges from that of its suffix by DIVERGENCE nats an occurrence or more, or if it is the suffix of one
+that is.  LEAST and DIVERGENCE do not depend on the size of the corpus.
+
+Everything that decides about contexts that end in one token is known where all of that token's occurrences
+meet, so the token stream is shuffled once, by the token before:
+
+1. Texts are taken in pieces.  A piece asks the tokens' buckets for the counts of its distinct tokens, and for numbers for
+   those that occur LEAST times or more (small ones for frequent tokens).  Other tokens are all alike as followers, and no
+   contexts.
+2. Each piece turns its tokens into records (token before, token, the one before both, document), sorted and packed by
+   bucket of the token before.
+3. A bucket counts its records, finds what its contexts retain, and returns for each document what its tokens score above
+   the root.
+4. A token before that holds more than HOT occurrences is dealt to buckets by the token before both.  What of it
+   is not known in one bucket goes through Spark's grouping: counts of its followers, and whether it is a retained one's suffix.
+
+Arrays travel packed in the bytes that their largest number needs, by byte planes, compressed.  Nothing the tree learns
+comes to the driver or is broadcast.  Pieces and buckets are of bounded size.  Both passes over the texts must find the same
+pieces, so read ``docs`` from files or a checkpoint; a piece without its answers raises an error.
 
 Defined results: null and empty texts are the end alone; null ids are scored, are not trained on and have
 ``held_out`` null; extra columns are left out; with no training text every token has probability 1.
@@ -26,376 +31,460 @@ Defined results: null and empty texts are the end alone; null ids are scored, ar
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.common import fold, pieces, stage
-from roadlens.llm.words import Block, blocks, distinct, mix64, weights
+from roadlens.llm.words import blocks, mix64
 
-DEPTH = 2
-#: Occurrences of a context and of its follower; they do not depend on the size of the corpus.
+#: Occurrences of a context and of its follower.
 LEAST = 2
 DIVERGENCE = 0.02
 DISCOUNT = 0.75
 HELD_OUT = 1
 
-#: The end of a text as a token; words hash to any other number.
+#: The end of a text as a token, and its beginning as a context; words hash to any other number.
 END = np.int64(-1)
-#: Words have numbers below 2**21, so a context's number and a follower fit in 63 bits.
-_WIDTH = 1 << 21
-#: Bytes of text whose grams are listed together.
-_LISTED = 8 << 20
-_GRAM = weights(3, 1 << 45)
+#: Bytes of text, and documents, of a piece.
+PIECE_BYTES, PIECE_DOCS = 16 << 20, 1 << 15
+#: Bytes of text whose records share a bucket, about.
+BUCKET_BYTES = 20 << 20
+#: Occurrences above which a token's followers are dealt to many buckets.
+HOT = 1_000_000
+
+#: Smallest part of a context's mass that is left to unlisted followers.
+_FLOOR = 1e-9
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), (fold() == HELD_OUT).alias("held_out"))
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), (fold() == HELD_OUT).alias("held_out"))
 
 
-def count_tokens(training: DataFrame) -> DataFrame:
-    """(token, c): a token's hash and how often it occurs; the end of a text is one."""
+# arrays of numbers as bytes
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = list(blocks(batch.column(0), lower=True))
-            values, first, inverse = distinct(np.concatenate([b.hash for b in parts]) if parts else np.zeros(0, np.uint64))
-            tokens = np.append(values.view(np.int64), END)
-            counts = np.append(np.bincount(inverse, minlength=len(values)), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts.astype(np.int64))], names=["token", "c"])
 
-    found = training.select("text").mapInArrow(partial, "token long, c long")
-    return found.groupBy("token").agg(F.sum("c").alias("c"))
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers from 0 on, packed: their count, width, and byte planes compressed."""
+    x = np.ascontiguousarray(x, dtype="<u8")
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    planes = x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(x).to_bytes(5, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-@dataclass
-class Level:
-    """Contexts of one length: numbers (sorted), retained or not, log10 of their back-off, and their followers."""
+def unsqueeze(raw: bytes) -> np.ndarray:
+    n, width = int.from_bytes(raw[:5], "little"), raw[5]
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        planes = pa.decompress(raw[6:], decompressed_size=n * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<i8")
 
-    contexts: np.ndarray
-    back_off: np.ndarray
-    #: context index * _WIDTH + follower, sorted, and log10 of the follower's probability there
-    entries: np.ndarray
-    log_p: np.ndarray
 
+# 1. tokens
 
-@dataclass
-class Tree:
-    """Frequent words by hash with their root log10 probability, and a level for each context length."""
 
-    hashes: np.ndarray
-    root: np.ndarray
-    end: int
-    levels: list[Level]
+def _tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of all tokens of a piece, the end after each text's words."""
+    hashes, docs, lo = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], 0
+    for b in blocks(text, lower=True):
+        ends = np.searchsorted(b.doc, np.arange(b.n_docs), side="right")
+        hashes.append(np.insert(b.hash, ends, END.view(np.uint64)))
+        docs.append(lo + np.insert(b.doc, ends, np.arange(b.n_docs)))
+        lo += b.n_docs
+    return np.concatenate(hashes), np.concatenate(docs)
 
 
-def _find(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Index of each wanted number in the sorted values, -1 where it is not there."""
-    if not len(values):
-        return np.full(len(wanted), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
-    return np.where(values[at] == wanted, at, -1)
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct hashes, index of each in them)."""
+    codes, values = pd.factorize(hashes)
+    order = np.argsort(values)
+    place = np.empty(len(values), dtype=np.int64)
+    place[order] = np.arange(len(values))
+    return values[order], place[codes]
 
 
-def _walk(b: Block, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token number or -1, text, hash) of all tokens of a block, the end after each text's words."""
-    values, _, inverse = distinct(b.hash)
-    number = _find(tree.hashes, values)[inverse] if len(values) else np.zeros(0, dtype=np.int64)
-    ends = np.searchsorted(b.doc, np.arange(b.n_docs), side="right")
-    return np.insert(number, ends, tree.end), np.insert(b.doc, ends, np.arange(b.n_docs)), np.insert(b.hash, ends, 0)
+def _bucket_bounds(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Where each bucket begins among sorted hashes; buckets are ranges of them."""
+    return np.searchsorted(keys, (np.arange(n_buckets, dtype=object) * (1 << 64) // n_buckets).astype(np.uint64))
 
 
-def _states(number: np.ndarray, doc: np.ndarray, tree: Tree) -> list[np.ndarray]:
-    """For each length the index of the context before each token in its level; -1: not among its contexts.
+def _in_pieces(texts: DataFrame) -> DataFrame:
+    return texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out",
+                        F.coalesce(~F.col("held_out"), F.lit(False)).alias("learnt"), "text")
 
-    The beginning of a text is written as the number of the end, which can stand in no other place.
-    """
-    n = len(number)
-    before = np.full(n, -1, dtype=np.int64)
-    before[1:] = number[:-1]
-    first = np.ones(n, dtype=bool)
-    first[1:] = doc[1:] != doc[:-1]
-    before[first] = tree.end
-    out: list[np.ndarray] = []
-    longer = before
-    for depth, level in enumerate(tree.levels):
-        if depth == 0:
-            state = np.where(before >= 0, _find(level.contexts, before), -1)
-        else:
-            # a context of this length: one shorter that ended a token ago, then the token before
-            shorter = np.full(n, -1, dtype=np.int64)
-            shorter[1:] = longer[:-1]
-            shorter[first] = -1
-            state = np.full(n, -1, dtype=np.int64)
-            some = np.flatnonzero((shorter >= 0) & (before >= 0))
-            state[some] = _find(level.contexts, shorter[some] * _WIDTH + before[some])
-        out.append(state)
-        longer = state
-    return out
-
-
-def _count_followers(training: DataFrame, tree: Tree, least: int) -> DataFrame:
-    """(key, n): how often a token follows each context of the deepest level, key = context index * _WIDTH + token."""
-    shared = training.sparkSession.sparkContext.broadcast(tree)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            keys = []
-            for b in blocks(batch.column(0), lower=True):
-                number, doc, _ = _walk(b, own)
-                state = _states(number, doc, own)[-1]
-                some = (state >= 0) & (number >= 0)
-                keys.append(state[some] * _WIDTH + number[some])
-            values, _, inverse = distinct(np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64))
-            counts = np.bincount(inverse, minlength=len(values)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], names=["key", "n"])
-
-    found = training.select("text").mapInArrow(partial, "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-
-
-def _parent_log_p(tree: Tree, depth: int, suffix: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """log10 probability of tokens after a context of the given length, by its index (-1: the root only)."""
-    if depth < 0:
-        return tree.root[token]
-    level = tree.levels[depth]
-    at = np.where(suffix >= 0, _find(level.entries, suffix * _WIDTH + token), -1)
-    # the suffix of a context of length one is the root
-    shorter = _suffix(tree, depth, suffix)
-    lower = _parent_log_p(tree, depth - 1, shorter, token)
-    out = np.where(suffix >= 0, level.back_off[suffix], 0.0) + lower
-    return np.where(at >= 0, level.log_p[at], out) if len(level.log_p) else out
-
-
-def _suffix(tree: Tree, depth: int, context: np.ndarray) -> np.ndarray:
-    """Index, one level up, of each context without its first token."""
-    if depth == 0:
-        return np.full(len(context), -1, dtype=np.int64)
-    contexts = tree.levels[depth].contexts
-    last = contexts[context] % _WIDTH
-    if depth == 1:
-        return np.where(context >= 0, _find(tree.levels[0].contexts, last), -1)
-    first = _suffix(tree, depth - 1, contexts[context] // _WIDTH)
-    return np.where((context >= 0) & (first >= 0), _find(tree.levels[depth - 1].contexts, first * _WIDTH + last), -1)
-
-
-def _fill(tree: Tree, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Give the deepest level its followers and back-off; returns the divergence of each context from its suffix.
-
-    ``totals`` are the occurrences of the contexts.
-    """
-    level = tree.levels[-1]
-    depth = len(tree.levels) - 1
-    order = np.argsort(keys)
-    level.entries, counts = keys[order], counts[order].astype(float)
-    context, token = level.entries // _WIDTH, level.entries % _WIDTH
-    p = (counts - DISCOUNT) / totals[context]
-    suffix = _suffix(tree, depth, context)
-    parent = 10 ** _parent_log_p(tree, depth - 1, suffix, token)
-    n = len(level.contexts)
-    left = 1 - np.bincount(context, p, n)
-    parent_left = np.maximum(1 - np.bincount(context, parent, n), 1e-9)
-    left = np.maximum(left, 1e-9)
-    level.log_p = np.log10(p)
-    level.back_off = np.log10(left / parent_left)
-    diverging = np.bincount(context, p * np.log(p / parent), n) + left * np.log(left / parent_left)
-    return diverging
-
-
-def _keep(level: Level, keep: np.ndarray) -> Level:
-    """The level without followers and back-off at contexts that are not retained: those act as their suffix."""
-    kept = keep[level.entries // _WIDTH]
-    return Level(level.contexts, np.where(keep, level.back_off, 0.0), level.entries[kept], level.log_p[kept])
-
-
-def fit_tree(training: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH) -> Tree:
-    """The tree of the training texts in memory, for small corpora."""
-    words = counts.where((F.col("c") >= LEAST) & (F.col("token") != F.lit(int(END)))).toArrow()
-    hashes = words.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, c = hashes[order], words.column("c").to_numpy()[order]
-    n_end = counts.where(F.col("token") == F.lit(int(END))).agg(F.sum("c")).first()[0] or 0
-    every = np.append(c, n_end).astype(float)
-    root = np.log10((every + 0.5) / (total + 0.5 * (vocabulary + 1)))
-    tree = Tree(hashes, root, len(hashes), [])
-    contexts, totals = np.flatnonzero(every >= LEAST), every[every >= LEAST]
-    keep: list[np.ndarray] = []
-    for _ in range(depth):
-        if not len(contexts):
-            break
-        none = np.zeros(0)
-        tree.levels.append(Level(contexts, np.zeros(len(contexts)), np.zeros(0, dtype=np.int64), none))
-        found = _count_followers(training, tree, LEAST).toArrow()
-        keys, n = found.column("key").to_numpy(), found.column("n").to_numpy()
-        keep.append(_fill(tree, keys, n, totals) >= DIVERGENCE)
-        entries = tree.levels[-1].entries
-        order = np.argsort(keys)
-        n = n[order]
-        longer = (n >= LEAST) & (entries % _WIDTH != tree.end)  # a context's number: its shorter one, then its last token
-        contexts, totals = entries[longer], n[longer].astype(float)
-    # a retained context keeps its suffixes
-    for level in range(len(tree.levels) - 1, 0, -1):
-        suffix = _suffix(tree, level, np.flatnonzero(keep[level]))
-        keep[level - 1][suffix[suffix >= 0]] = True
-    tree.levels = [_keep(level, k) for level, k in zip(tree.levels, keep, strict=True)]
-    return tree
-
-
-def log_probability(number: np.ndarray, doc: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """(log10 probability by the tree, by the root) of each token; rare tokens get the part that is not the root's."""
-    root = np.where(number >= 0, tree.root[number], 0.0)
-    score = root.copy()
-    for level, state in zip(tree.levels, _states(number, doc, tree), strict=True):
-        at = np.full(len(number), -1, dtype=np.int64)
-        some = np.flatnonzero((state >= 0) & (number >= 0))
-        at[some] = _find(level.entries, state[some] * _WIDTH + number[some])
-        score = np.where(state >= 0, score + level.back_off[state] if len(level.back_off) else score, score)
-        if len(level.log_p):
-            score = np.where(at >= 0, level.log_p[at], score)
-    return score, root
-
-
-def _grams(b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, second token before, token before, token, text) of all tokens of a block, the end after each text's words.
-
-    The beginning of a text is written as the end, also as what stands before it: that context has the
-    followers of the beginning alone, so it does not diverge.
-    """
-    ends = np.searchsorted(b.doc, np.arange(b.n_docs), side="right")
-    token, doc = np.insert(b.hash.view(np.int64), ends, END), np.insert(b.doc, ends, np.arange(b.n_docs))
-    before, second = np.full(len(token), END), np.full(len(token), END)
-    before[1:] = np.where(doc[1:] == doc[:-1], token[:-1], END)
-    second[1:] = np.where(doc[1:] == doc[:-1], before[:-1], END)
-    key = sum((x.view(np.uint64) * w for x, w in zip((second, before, token), _GRAM, strict=True)), np.uint64(0))
-    return mix64(key).view(np.int64), second, before, token, doc
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in pieces(whole, PIECE_BYTES):
+            for lo in range(0, batch.num_rows, PIECE_DOCS):
+                yield batch.slice(lo, PIECE_DOCS)
 
-def list_grams(texts: DataFrame) -> DataFrame:
-    """A row for each text: (piece, doc_id, held_out, places, start, key, c2, c1, token, n).
 
-    ``places`` are those of the text's grams in the list of its piece.  The list is dealt to the rows of the
-    piece, each has the part from place ``start``; n counts a gram in the training texts of the piece.
-    """
+def ask_tokens(texts: DataFrame, n_buckets: int) -> DataFrame:
+    """(bucket, piece, keys, n): distinct tokens of each piece, and how often they occur in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in pieces(whole, _LISTED):
-                learnt = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-                found, lengths = [], []
-                for b in blocks(batch.column(4), lower=True):
-                    *gram, doc = _grams(b)
-                    found.append((*gram, learnt[b.lo + doc]))
-                    lengths.append(b.per_doc(doc).astype(np.int64))
-                key, c2, c1, token, counted = (np.concatenate(x) for x in zip(*found, strict=True))
-                values, first, inverse = distinct(key)
-                n = np.bincount(inverse, counted, len(values)).astype(np.int64)
-                ends = pa.array(np.concatenate(([0], np.cumsum(np.concatenate(lengths)))), pa.int32())
-                dealt = np.linspace(0, len(values), batch.num_rows + 1).astype(np.int32)
-                deal = lambda x: pa.ListArray.from_arrays(pa.array(dealt), pa.array(x))  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(batch.column(0)[0], batch.num_rows), batch.column(1), batch.column(2),
-                     pa.ListArray.from_arrays(ends, pa.array(inverse.astype(np.int32))), pa.array(dealt[:-1]),
-                     *[deal(x) for x in (values, c2[first], c1[first], token[first], n)]],
-                    names=["piece", "doc_id", "held_out", "places", "start", "key", "c2", "c1", "token", "n"])
+        for batch in _cut(batches):
+            hashes, doc = _tokens(batch.column(4))
+            keys, of = _distinct(hashes)
+            n = np.bincount(of, batch.column(3).to_numpy(zero_copy_only=False)[doc], len(keys)).astype(np.int64)
+            bounds = [*_bucket_bounds(keys, n_buckets).tolist(), len(keys)]
+            cells = [(i, bounds[i], bounds[i + 1]) for i in range(n_buckets) if bounds[i] < bounds[i + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[0] for c in cells], pa.int32()), pa.repeat(batch.column(0)[0], len(cells)),
+                 pa.array([squeeze(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in cells], pa.binary()),
+                 pa.array([squeeze(n[a:b]) for _, a, b in cells], pa.binary())], names=["bucket", "piece", "keys", "n"])
 
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "held_out",
-        F.coalesce(~F.col("held_out"), F.lit(False)).alias("learnt"), "text").mapInArrow(
-            run, f"piece long, doc_id {id_type}, held_out boolean, places array<int>, start int, key array<long>, "
-                 "c2 array<long>, c1 array<long>, token array<long>, n array<long>")
+    return _in_pieces(texts).mapInArrow(run, "bucket int, piece long, keys binary, n binary")
 
 
-def count_grams(listed: DataFrame) -> DataFrame:
-    """(key, c2, c1, token, n) of the distinct grams of all texts; n counts those of the training texts."""
-    each = listed.select(F.explode(F.arrays_zip("key", "c2", "c1", "token", "n")).alias("g")).select("g.*")
-    return each.groupBy("key").agg(*[F.first(c).alias(c) for c in ("c2", "c1", "token")], F.sum("n").alias("n"))
+def answer_tokens(asked: DataFrame, n_buckets: int) -> DataFrame:
+    """(piece, bucket, number, c, total, vocabulary): counts of the tokens asked for, and numbers of those of LEAST or more.
 
+    ``total`` and ``vocabulary`` are those of the bucket, in one row of it (else 0).
+    """
 
-def _contexts(followers: DataFrame, context: list[str], parent_log_p: str) -> DataFrame:
-    """(context, total, back_off, diverging); back_off is a log10.  Contexts that training lacks are as their suffix."""
-    listed = F.col("n") >= LEAST
-    mass = F.when(listed, F.col("n") - DISCOUNT).otherwise(0.0)
-    sums = followers.groupBy(*context).agg(
-        F.sum("n").alias("total"), F.sum(mass).alias("mass"),
-        F.sum(F.when(listed, F.pow(F.lit(10.0), F.col(parent_log_p))).otherwise(0.0)).alias("parent"),
-        F.sum(F.when(listed, mass * (F.log(mass) - F.col(parent_log_p) * float(np.log(10)))).otherwise(0.0)).alias("gain"))
-    total = F.greatest("total", F.lit(1))
-    left = F.greatest(1 - F.col("mass") / total, F.lit(1e-9))
-    share = left / F.greatest(1 - F.col("parent"), F.lit(1e-9))
-    gain = (F.col("gain") - F.col("mass") * F.log(total)) / total + left * F.log(share)
-    return sums.select(
-        *context, "total", F.log10(share).alias("back_off"), F.when(F.col("mass") > 0, gain).otherwise(0.0).alias("diverging"))
+    def merged(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        keys = [np.cumsum(unsqueeze(x.as_py()).view(np.uint64), dtype=np.uint64) for x in rows.column("keys")]
+        values, of = _distinct(np.concatenate(keys))
+        c = np.bincount(of, np.concatenate([unsqueeze(x.as_py()) for x in rows.column("n")]), len(values)).astype(np.int64)
+        order = np.argsort(-c, kind="stable")
+        number = np.empty(len(values), dtype=np.int64)
+        number[order] = np.arange(len(values)) * n_buckets + bucket + 1
+        number[c < LEAST] = 0
+        at = np.cumsum([0] + [len(k) for k in keys])
+        cells = [of[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        first = np.arange(len(cells)) == 0
+        return pa.table([rows.column("piece"), rows.column("bucket"), pa.array([squeeze(number[x]) for x in cells], pa.binary()),
+                         pa.array([squeeze(c[x]) for x in cells], pa.binary()), pa.array(np.where(first, int(c.sum()), 0)),
+                         pa.array(np.where(first, int((c > 0).sum()), 0))], names=["piece", "bucket", "number", "c", "total", "vocabulary"])
+
+    return asked.groupBy("bucket").applyInArrow(merged, "piece long, bucket int, number binary, c binary, total long, vocabulary long")
+
+
+# 2. records
+
+#: Cells: arrays of one piece for one bucket.  "hot" ones hold tokens before of more than HOT occurrences.
+_CELL = ["before", "n_before", "pairs", "token", "n_token", "records", "second", "doc"]
+_PARTS = ("kind string, bucket int, piece long, " + ", ".join(f"{c} binary" for c in _CELL)
+          + ", doc_id array<{id}>, held_out array<boolean>, n_tokens binary, n_known binary, base binary, sums binary, "
+            "c1 long, c1_n long, t long, t_n long, n long")
+
+
+def _part(kind: str, size: int, schema: pa.Schema, /, **columns: pa.Array) -> pa.Table:
+    """Rows of the table of parts; columns that are not given are null."""
+    columns["kind"] = pa.array([kind] * size, pa.string())
+    return pa.table([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+
+def _heads(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a group of equal rows begins."""
+    change = np.ones(len(sorted_columns[0]), dtype=bool)
+    change[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_columns])
+    return np.flatnonzero(change)
+
+
+def _cells(bucket: np.ndarray, before: np.ndarray, n_before: np.ndarray, token: np.ndarray, n_token: np.ndarray, second: np.ndarray,
+           doc: np.ndarray) -> tuple[list[int], dict[str, list[bytes]]]:
+    """(buckets, packed arrays) of records; each bucket's are sorted by token before and token."""
+    order = np.lexsort((token, before, bucket))
+    bucket, before, n_before, token, n_token, second, doc = (x[order] for x in (bucket, before, n_before, token, n_token, second, doc))
+    cuts = np.append(_heads(bucket), len(bucket)) if len(bucket) else np.zeros(1, dtype=np.int64)
+    out: dict[str, list[bytes]] = {c: [] for c in _CELL}
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        pair = _heads(before[a:z], token[a:z])
+        one = _heads(before[a:z][pair])
+        for name, x in (("before", before[a:z][pair][one]), ("n_before", n_before[a:z][pair][one]), ("pairs", np.diff(np.append(one, len(pair)))),
+                        ("token", token[a:z][pair]), ("n_token", n_token[a:z][pair]), ("records", np.diff(np.append(pair, z - a))),
+                        ("second", second[a:z]), ("doc", doc[a:z])):
+            out[name].append(squeeze(x))
+    return bucket[cuts[:-1]].tolist(), out
+
+
+def _recorded(n_buckets: int, total: int, vocabulary: int, hot: int, schema: pa.Schema):
+    """Turn a piece's texts and answers into its documents' row and its cells."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows or not answers.num_rows:
+            raise RuntimeError("a piece of the texts has changed between two passes: read them from files or a checkpoint")
+        raw = pa.decompress(texts.column("blob")[0].as_py(), decompressed_size=int(texts.column("size")[0].as_py()), codec="zstd")
+        offsets = np.concatenate(([0], np.cumsum(unsqueeze(texts.column("lengths")[0].as_py()))))
+        n_docs = len(offsets) - 1
+        text = pa.Array.from_buffers(pa.large_string(), n_docs, [None, pa.py_buffer(offsets.astype(np.int64)), raw])
+        learnt = np.array(texts.column("learnt")[0].as_py(), dtype=np.int64)
+        hashes, doc = _tokens(text)
+        keys, of = _distinct(hashes)
+        answers = answers.sort_by("bucket")
+        number, c = (np.concatenate([unsqueeze(x.as_py()) for x in answers.column(name)]) for name in ("number", "c"))
+        if len(number) != len(keys):
+            raise RuntimeError("a piece of the texts has changed between two passes: read them from files or a checkpoint")
+        root = np.log10((c + 0.5) / (total + 0.5 * (vocabulary + 1)))
+        piece = texts.column("piece")[0].as_py()
+        rows = [_part("documents", 1, schema, piece=pa.array([piece], pa.int64()), bucket=pa.array([piece % n_buckets], pa.int32()),
+                      doc_id=texts.column("doc_id").combine_chunks(), held_out=texts.column("held_out").combine_chunks(),
+                      n_tokens=pa.array([squeeze(np.bincount(doc, minlength=n_docs))], pa.binary()),
+                      n_known=pa.array([squeeze(np.bincount(doc, (c > 0)[of], n_docs))], pa.binary()),
+                      base=pa.array([np.bincount(doc, root[of], n_docs).tobytes()], pa.binary()))]
+        end = int(np.searchsorted(keys, END.view(np.uint64)))
+        before, second = np.full(len(of), end), np.full(len(of), end)
+        before[1:] = np.where(doc[1:] == doc[:-1], of[:-1], end)
+        second[1:] = np.where(doc[1:] == doc[:-1], before[:-1], end)
+        some = np.flatnonzero(number[before] > 0)
+        before, second, of, mark = before[some], second[some], of[some], 2 * doc[some] + learnt[doc[some]]
+        is_hot = c[before] > hot
+        spread = np.where(is_hot, mix64((number[before].view(np.uint64) << np.uint64(1)) ^ mix64(number[second].view(np.uint64))),
+                          mix64(number[before].view(np.uint64)))
+        bucket = (spread % np.uint64(n_buckets)).astype(np.int64)
+        token = np.where(number[of] > 0, number[of], 0)
+        n_token = np.where(token > 0, c[of], 0)
+        for kind, mine in (("plain", ~is_hot), ("hot", is_hot)):
+            if mine.any():
+                at, packed = _cells(bucket[mine], number[before[mine]], c[before[mine]], token[mine], n_token[mine], number[second[mine]], mark[mine])
+                rows.append(_part(kind, len(at), schema, bucket=pa.array(at, pa.int32()), piece=pa.array([piece] * len(at), pa.int64()),
+                                  **{name: pa.array(x, pa.binary()) for name, x in packed.items()}))
+        return pa.concat_tables(rows)
+
+    return run
+
+
+def _texts_by_piece(texts: DataFrame) -> DataFrame:
+    """(piece, doc_id, held_out, learnt, lengths, size, blob): a row for each piece, its texts compressed."""
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _cut(batches):
+            text = batch.column(4).cast(pa.large_string()).fill_null("")
+            offsets = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, 8 * text.offset)
+            raw = (text.buffers()[2] or pa.py_buffer(b""))[int(offsets[0]):int(offsets[-1])]
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.column(0)[0].as_py()], pa.int64()), one(batch.column(1)), one(batch.column(2)), one(batch.column(3)),
+                 pa.array([squeeze(np.diff(offsets))], pa.binary()), pa.array([len(raw)], pa.int64()),
+                 pa.array([pa.compress(raw, codec="zstd", asbytes=True)], pa.binary())],
+                names=["piece", "doc_id", "held_out", "learnt", "lengths", "size", "blob"])
+
+    return _in_pieces(texts).mapInArrow(run, f"piece long, doc_id array<{id_type}>, held_out array<boolean>, learnt array<boolean>, "
+                                             "lengths binary, size long, blob binary")
 
 
-def _follower_log_p(parent_log_p: str):
-    """log10 probability of a follower in a context, by its own count there or by the context's suffix."""
-    return (F.when(F.col("n") >= LEAST, F.log10((F.col("n") - DISCOUNT) / F.col("total")))
-            .otherwise(F.col("back_off") + F.col(parent_log_p)))
+# 3. buckets
 
 
-def gram_scores(grams: DataFrame, counts: DataFrame, total: int, vocabulary: int) -> DataFrame:
-    """(key, known, root, log_p) of each distinct gram: log10 probabilities by the root and by the tree.
+class Records:
+    """The records of the cells of a bucket, one after another.
 
-    Contexts are written before they are joined, so that the joins read their shuffles directly and can
-    split a hot one.
+    ``one``, ``pair``, ``two``, ``three`` number each record's token before, (token before, token), (second, token
+    before) and all three; a second that has no number is 0, and so is a token.
     """
-    c = F.coalesce(F.col("c"), F.lit(0))
-    pairs = stage(grams.groupBy("c1", "token").agg(F.sum("n").alias("n")).join(counts, "token", "left").select(
-        "c1", "token", "n", (c > 0).alias("known"),
-        F.log10((c + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("root")), "op5-pairs")
-    ones = stage(_contexts(pairs, ["c1"], "root"), "op5-ones")
-    pairs = stage(pairs.join(ones, "c1").select("c1", "token", "known", "root", _follower_log_p("root").alias("one")), "op5-pairs")
-    full = stage(grams.join(pairs, ["c1", "token"]), "op5-full")
-    twos = stage(_contexts(full, ["c2", "c1"], "one").withColumn("keep", F.col("diverging") >= DIVERGENCE), "op5-twos")
-    # a retained context keeps its suffix
-    suffixes = twos.where("keep").select("c1").distinct().withColumn("suffix", F.lit(True))
-    kept = stage(ones.join(suffixes, "c1", "left").select(
-        "c1", (F.coalesce("suffix", F.lit(False)) | (F.col("diverging") >= DIVERGENCE)).alias("keep_one")), "op5-kept")
-    states = stage(twos.select("c2", "c1", "total", "back_off", "keep").join(kept, "c1"), "op5-states")
-    return full.join(states, ["c2", "c1"]).select(
-        "key", "known", "root",
-        F.when(F.col("keep"), _follower_log_p("one")).when(F.col("keep_one"), F.col("one")).otherwise(F.col("root")).alias("log_p"))
-
-
-def score_texts(listed: DataFrame, scores: DataFrame, total: int) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
-
-    def summed(texts: pa.Table, grams: pa.Table) -> pa.Table:
-        places = texts.column("places").combine_chunks()
-        length = np.diff(places.offsets.to_numpy())
-        of, place = np.repeat(np.arange(len(length)), length), places.flatten().to_numpy()
-        at = grams.column("place").to_numpy()
-
-        def add(name: str) -> np.ndarray:
-            values = np.zeros(len(at))
-            values[at] = grams.column(name).to_numpy()
-            return np.bincount(of, values[place], len(length))
-
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), pa.array(length.astype(np.int64)),
-                         pa.array(add("known").astype(np.int64)), pa.array(np.full(len(length), total)),
-                         pa.array(add("root")), pa.array(add("log_p"))],
+
+    def __init__(self, cells: pa.Table) -> None:
+        columns = {name: [unsqueeze(x.as_py()) for x in cells.column(name)] for name in _CELL}
+        self.piece = np.repeat(np.arange(cells.num_rows), [len(x) for x in columns["doc"]])
+        flat = {name: np.concatenate(x) for name, x in columns.items()}
+        of_pair = np.repeat(np.arange(len(flat["records"])), flat["records"])
+        of_one = np.repeat(np.arange(len(flat["pairs"])), flat["pairs"])
+        self.doc, self.learnt = flat["doc"] >> 1, flat["doc"] & 1
+        one, self.before = pd.factorize(flat["before"])
+        self.n_before = np.zeros(len(self.before), dtype=np.int64)
+        self.n_before[one] = flat["n_before"]
+        token, self.token = pd.factorize(flat["token"])
+        pair, keys = pd.factorize(one[of_one] << 32 | token)
+        self.pair = pair[of_pair]
+        self.one_of_pair, self.token_of_pair = keys >> 32, self.token[keys & 0xFFFFFFFF]
+        self.n_token = np.zeros(len(keys), dtype=np.int64)
+        self.n_token[pair] = flat["n_token"]
+        self.n_pair = np.bincount(self.pair, self.learnt, len(keys)).astype(np.int64)
+        self.one = self.one_of_pair[self.pair]
+        second, seconds = pd.factorize(flat["second"])
+        self.two, keys = pd.factorize(second << 32 | self.one)
+        self.one_of_two, self.known_two = keys & 0xFFFFFFFF, seconds[keys >> 32] > 0
+        self.n_two = np.bincount(self.two, self.learnt, len(keys)).astype(np.int64)
+        self.three, keys = pd.factorize(self.two << 32 | self.pair)
+        self.two_of_three, self.pair_of_three = keys >> 32, keys & 0xFFFFFFFF
+        self.n_three = np.bincount(self.three, self.learnt, len(keys)).astype(np.int64)
+
+
+def _contexts(context: np.ndarray, n: np.ndarray, log_p: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 of the back-off, divergence) of each context from its listed followers: counts and the parent's log10 probability."""
+    mass = n - DISCOUNT
+    add = lambda x: np.bincount(context, x, len(total))
+    return finish_contexts(add(mass), add(10 ** log_p), add(mass * (np.log(mass) - log_p * np.log(10))), total)
+
+
+def finish_contexts(mass: np.ndarray, parent: np.ndarray, gain: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    total = np.maximum(total, 1)
+    left = np.maximum(1 - mass / total, _FLOOR)
+    share = left / np.maximum(1 - parent, _FLOOR)
+    return np.log10(share), np.where(mass > 0, (gain - mass * np.log(total)) / total + left * np.log(share), 0.0)
+
+
+def score_records(r: Records, root_total: float, n_pair: np.ndarray | None = None, back_off: np.ndarray | None = None,
+                  diverging: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score above the root of each record, whether that is certain, tokens before that are suffixes of retained contexts).
+
+    Counts of pairs and the contexts of one token are given for hot tokens, else found in the records.  For hot ones it
+    may be uncertain whether they are retained.
+    """
+    given = n_pair is not None
+    n_pair = n_pair if given else r.n_pair
+    listed = (n_pair >= LEAST) & (r.token_of_pair > 0)
+    with np.errstate(divide="ignore"):
+        root = np.log10((r.n_token + 0.5) / root_total)
+        own = np.where(listed, np.log10(np.maximum(n_pair - DISCOUNT, _FLOOR) / np.maximum(r.n_before[r.one_of_pair], 1)), 0.0)
+    if not given:
+        back_off, diverging = _contexts(r.one_of_pair[listed], n_pair[listed].astype(float), root[listed], r.n_before)
+    above = np.where(listed, own - root, back_off[r.one_of_pair])  # above the root by the token before alone
+    listed_three = (r.n_three >= LEAST) & listed[r.pair_of_three] & r.known_two[r.two_of_three]
+    two, pair = r.two_of_three[listed_three], r.pair_of_three[listed_three]
+    off_two, diverging_two = _contexts(two, r.n_three[listed_three].astype(float), own[pair], r.n_two)
+    keep_two = diverging_two >= DIVERGENCE
+    suffix = np.zeros(len(r.before), dtype=bool)
+    suffix[r.one_of_two[keep_two]] = True
+    keep_one = (diverging >= DIVERGENCE) | suffix
+    by_two = off_two[r.two_of_three] + above[r.pair_of_three]
+    by_two[listed_three] = np.log10((r.n_three[listed_three] - DISCOUNT) / r.n_two[two]) - root[pair]
+    kept = keep_two[r.two]
+    score = np.where(kept, by_two[r.three], above[r.pair])
+    certain = kept | keep_one[r.one]
+    return (score, certain, suffix) if given else (np.where(certain, score, 0.0), np.ones(len(score), dtype=bool), suffix)
+
+
+def _sums(r: Records, score: np.ndarray, cells: pa.Table, kind: str, schema: pa.Schema) -> pa.Table:
+    """What the records add to each document of their pieces."""
+    of, out = [], []
+    for i, piece in enumerate(cells.column("piece").to_pylist()):
+        mine = r.piece == i
+        added = np.bincount(r.doc[mine], score[mine])
+        at = np.flatnonzero(added)
+        if len(at):
+            packed = squeeze(at)
+            of.append(piece), out.append(len(packed).to_bytes(8, "little") + packed + added[at].tobytes())
+    return _part(kind, len(of), schema, piece=pa.array(of, pa.int64()), sums=pa.array(out, pa.binary()))
+
+
+def added_sums(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, what to add to each) of a row of :func:`_sums`."""
+    n = int.from_bytes(raw[:8], "little")
+    return unsqueeze(raw[8:8 + n]), np.frombuffer(raw[8 + n:], np.float64)
+
+
+def _scored(root_total: float, schema: pa.Schema):
+    """Score a bucket's plain cells; count the pairs of its hot ones; pass on the rest."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        kinds = np.array(rows.column("kind").to_pylist())
+        out = [rows.filter(pa.array((kinds == "documents") | (kinds == "hot")))]
+        plain, hot = rows.filter(pa.array(kinds == "plain")), rows.filter(pa.array(kinds == "hot"))
+        if plain.num_rows:
+            r = Records(plain)
+            out.append(_sums(r, score_records(r, root_total)[0], plain, "sums", schema))
+        if hot.num_rows:
+            r = Records(hot)
+            one, n = r.one_of_pair, len(r.one_of_pair)
+            out.append(_part("pair", n, schema, bucket=pa.repeat(rows.column("bucket")[0], n), c1=pa.array(r.before[one]), c1_n=pa.array(r.n_before[one]),
+                             t=pa.array(r.token_of_pair), t_n=pa.array(r.n_token), n=pa.array(r.n_pair)))
+        return pa.concat_tables([t.cast(schema) for t in out])
+
+    return run
+
+
+# 4. hot tokens
+
+
+def _hot_contexts(pairs: DataFrame, root_total: float) -> DataFrame:
+    """(bucket, c1, t, n, back_off, diverging) for each hot pair of each bucket, by counts over all buckets."""
+    counted = stage(pairs.groupBy("c1", "t").agg(F.sum("n").alias("n"), F.max("t_n").alias("t_n"), F.max("c1_n").alias("c1_n")), "op5-hot-pairs")
+    listed = (F.col("n") >= LEAST) & (F.col("t") > 0)
+    mass = F.when(listed, F.col("n") - DISCOUNT).otherwise(0.0)
+    p = (F.col("t_n") + 0.5) / root_total
+    sums = counted.groupBy("c1").agg(
+        F.max("c1_n").alias("c1_n"), F.sum(mass).alias("mass"), F.sum(F.when(listed, p).otherwise(0.0)).alias("parent"),
+        F.sum(F.when(listed, mass * (F.log(mass) - F.log(p))).otherwise(0.0)).alias("gain"))
+    total = F.greatest("c1_n", F.lit(1))
+    left = F.greatest(1 - F.col("mass") / total, F.lit(_FLOOR))
+    share = left / F.greatest(1 - F.col("parent"), F.lit(_FLOOR))
+    gain = (F.col("gain") - F.col("mass") * F.log(total)) / total + left * F.log(share)
+    contexts = stage(sums.select("c1", F.log10(share).alias("back_off"), F.when(F.col("mass") > 0, gain).otherwise(0.0).alias("diverging")), "op5-hot")
+    return pairs.select("bucket", "c1", "t").join(counted.select("c1", "t", "n"), ["c1", "t"]).join(contexts, "c1")
+
+
+def _scored_hot(root_total: float, schema: pa.Schema):
+    """Score a bucket's hot cells: sums, sums that count only if their token before is retained, and suffixes of retained contexts."""
+
+    def run(cells: pa.Table, known: pa.Table) -> pa.Table:
+        r = Records(cells)
+        place = {b: i for i, b in enumerate(r.before.tolist())}
+        one = np.array([place[b] for b in known.column("c1").to_pylist()])
+        keys = pd.Series(np.arange(known.num_rows), index=pd.MultiIndex.from_arrays([one, known.column("t").to_numpy()]))
+        at = keys.loc[list(zip(r.one_of_pair.tolist(), r.token_of_pair.tolist(), strict=True))].to_numpy()
+        back_off, diverging = np.zeros(len(r.before)), np.zeros(len(r.before))
+        back_off[one], diverging[one] = known.column("back_off").to_numpy(), known.column("diverging").to_numpy()
+        score, certain, suffix = score_records(r, root_total, known.column("n").to_numpy()[at], back_off, diverging)
+        found = np.flatnonzero(suffix)
+        out = [_sums(r, np.where(certain, score, 0.0), cells, "sums", schema), _part("suffix", len(found), schema, c1=pa.array(r.before[found]))]
+        for i in np.unique(r.one[~certain]).tolist():
+            part = _sums(r, np.where(certain | (r.one != i), 0.0, score), cells, "if", schema)
+            out.append(part.set_column(part.schema.get_field_index("c1"), "c1", pa.array(np.full(part.num_rows, r.before[i]))))
+        return pa.concat_tables([t.cast(schema) for t in out])
+
+    return run
+
+
+def _total(total: int):
+    """Put a piece's parts together: a row for each of its documents."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        kinds = np.array(rows.column("kind").to_pylist())
+        own = rows.filter(pa.array(kinds == "documents"))
+        base = np.frombuffer(own.column("base")[0].as_py(), np.float64)
+        score = base.copy()
+        for raw in rows.filter(pa.array(kinds == "sums")).column("sums"):
+            at, added = added_sums(raw.as_py())
+            score[at] += added
+        n_tokens, n_known = (unsqueeze(own.column(c)[0].as_py()) for c in ("n_tokens", "n_known"))
+        ids, held = (own.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out"))
+        return pa.table([ids, held, pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(base), total)), pa.array(base), pa.array(score)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    each = listed.select("piece", "start", F.posexplode("key").alias("at", "key"))
-    found = each.join(scores, "key").select(F.col("piece").alias("of"), (F.col("start") + F.col("at")).alias("place"),
-                                            F.col("known").cast("int").alias("known"), "root", "log_p")
-    id_type = listed.schema["doc_id"].dataType.simpleString()
-    return listed.select("piece", "doc_id", "held_out", "places").groupBy("piece").cogroup(found.groupBy("of")).applyInArrow(
-        summed, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-                "score double")
+    return run
 
 
-def suffix_tree_scores(docs: DataFrame) -> DataFrame:
-    """Learn from the texts that are not held out, then score every text."""
+def suffix_tree_scores(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): learn from the texts that are not held out, score all."""
     texts = _texts(docs)
-    counts = stage(count_tokens(texts.where(~F.col("held_out"))), "op5-counts").where("c > 0")
-    found = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total, vocabulary = int(found["n"] or 0), int(found["v"])
-    listed = stage(list_grams(texts), "op5-listed")
-    grams = stage(count_grams(listed), "op5-grams")
-    return score_texts(listed, gram_scores(grams, counts, total, vocabulary), total)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = 1 + n_bytes // BUCKET_BYTES
+    answers = stage(answer_tokens(ask_tokens(texts, n_buckets), n_buckets), "op5-answers")
+    found = answers.agg(F.sum("total").alias("n"), F.sum("vocabulary").alias("v")).first()
+    total, vocabulary = int(found["n"] or 0), int(found["v"] or 0)
+    root_total = total + 0.5 * (vocabulary + 1)
+    spark_schema = _PARTS.format(id=id_type)
+    schema = _arrow_schema(docs, spark_schema)
+    recorded = _texts_by_piece(texts).groupBy("piece").cogroup(answers.select("piece", F.col("bucket"), "number", "c").groupBy("piece")).applyInArrow(
+        _recorded(n_buckets, total, vocabulary, hot, schema), spark_schema)
+    parts = stage(recorded.groupBy("bucket").applyInArrow(_scored(root_total, schema), spark_schema), "op5-parts")
+    done = parts.where("kind in ('documents', 'sums')")
+    pairs = parts.where("kind = 'pair'")
+    if pairs.limit(1).count():
+        known = _hot_contexts(pairs, root_total).select(F.col("bucket").alias("of"), "c1", "t", "n", "back_off", "diverging")
+        cells = parts.where("kind = 'hot'").select("bucket", "piece", *_CELL)
+        more = stage(cells.groupBy("bucket").cogroup(known.groupBy("of")).applyInArrow(_scored_hot(root_total, schema), spark_schema), "op5-hot-parts")
+        suffixes = more.where("kind = 'suffix'").select("c1").distinct()
+        certain = more.where("kind = 'if'").join(suffixes, "c1", "left_semi").withColumn("kind", F.lit("sums"))
+        done = done.unionByName(more.where("kind = 'sums'")).unionByName(certain.select(*done.columns))
+    slim = done.select("kind", "piece", "doc_id", "held_out", "n_tokens", "n_known", "base", "sums")
+    return slim.groupBy("piece").applyInArrow(
+        _total(total), f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _arrow_schema(docs: DataFrame, spark_schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(spark_schema))

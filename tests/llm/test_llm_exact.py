@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import tree_in_memory
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -465,9 +466,9 @@ def test_suffix_tree_states_sum_to_one(spark):
         texts.append(" ".join(text))
     docs = documents(spark, texts)
     training = suffix_tree._texts(docs).where(~suffix_tree.F.col("held_out"))
-    counts = suffix_tree.count_tokens(training).cache()
+    counts = tree_in_memory.count_tokens(training).cache()
     total = counts.agg(suffix_tree.F.sum("c")).first()[0]
-    tree = suffix_tree.fit_tree(training, counts, total, counts.count())
+    tree = tree_in_memory.fit_tree(training, counts, total, counts.count())
     assert len(tree.levels) == 2 and len(tree.levels[0].entries)
     letters = len(tree.hashes)
     unseen = math.log10(0.5 / (total + 0.5 * (counts.count() + 1)))
@@ -475,7 +476,7 @@ def test_suffix_tree_states_sum_to_one(spark):
         mass = 0.0
         for token in [*range(letters), tree.end, -1]:
             number = np.array([*before, token])
-            score, _ = suffix_tree.log_probability(number, np.zeros(len(number), dtype=np.int64), tree)
+            score, _ = tree_in_memory.log_probability(number, np.zeros(len(number), dtype=np.int64), tree)
             mass += 10 ** (score[-1] + (unseen if token < 0 else 0))
         assert math.isclose(mass, 1, rel_tol=1e-6), before
 
@@ -485,20 +486,21 @@ def test_suffix_tree_tables_are_the_tree(spark):
     rng = random.Random(12)
     docs = documents(spark, [prose(rng, rng.randint(0, 60), 30) for _ in range(80)] + [None, "", "never seen"])
     training = suffix_tree._texts(docs).where(~suffix_tree.F.col("held_out"))
-    counts = suffix_tree.count_tokens(training).cache()
+    counts = tree_in_memory.count_tokens(training).cache()
     total, vocabulary = counts.agg(suffix_tree.F.sum("c")).first()[0], counts.count()
     of = {r["token"]: r["c"] for r in counts.collect()}
-    tree = suffix_tree.fit_tree(training, counts, total, vocabulary)
+    tree = tree_in_memory.fit_tree(training, counts, total, vocabulary)
     assert len(tree.levels) == 2 and len(tree.levels[1].entries)
-    got = {r["doc_id"]: r["score"] for r in suffix_tree.suffix_tree_scores(docs).collect()}
+    scores = [{r["doc_id"]: r["score"] for r in suffix_tree.suffix_tree_scores(docs, hot).collect()} for hot in (suffix_tree.HOT, 150, 0)]
     for r in docs.collect():
         want = 0.0
         for b in blocks(pa.array([r["text"]], pa.string()), lower=True):
-            number, doc, hashes = suffix_tree._walk(b, tree)
-            want += suffix_tree.log_probability(number, doc, tree)[0].sum()
+            number, doc, hashes = tree_in_memory.walk(b, tree)
+            want += tree_in_memory.log_probability(number, doc, tree)[0].sum()
             want += sum(math.log10((of.get(h, 0) + 0.5) / (total + 0.5 * (vocabulary + 1)))
                         for h in hashes[number < 0].view(np.int64).tolist())
-        assert math.isclose(got[r["doc_id"]], want, rel_tol=1e-9, abs_tol=1e-9), r
+        for got in scores:  # however many tokens are hot
+            assert math.isclose(got[r["doc_id"]], want, rel_tol=1e-9, abs_tol=1e-9), r
 
 
 def test_suffix_tree_learns_rare_contexts_of_a_large_corpus(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import pandas as pd
 import pytest
 from llm_cases import awkward, nothing, prose, words
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from roadlens.llm.common import labelled_sample
 from roadlens.llm.near_dedup import near_duplicates
+from roadlens.llm.queries import ORACLES
 from roadlens.llm.quality_classifier import fit_classifier
 from roadlens.llm.quality_rules import fit_rules
 from roadlens.llm.toxicity import fit_toxicity
@@ -79,6 +81,16 @@ def test_one_component_a_document(spark, rows):
     assert got == sorted((str(i), len(shingles(t)), str(c), i is None or i == c) for (i, t), c in zip(rows, want, strict=True))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_query_and_its_sql_agree_on_repeated_ids(spark, seed):
+    import duckdb
+
+    documents = pd.DataFrame(mixed(seed) + PROBE, columns=["doc_id", "text"]).astype({"doc_id": "Int64"})  # noqa: F841 - the SQL reads it
+    want = duckdb.sql(ORACLES["op6_near_duplicates"]).fetchall()
+    got = near_duplicates(table(spark, mixed(seed) + PROBE)).collect()
+    assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])) for r in got)
+
+
 @pytest.mark.parametrize("rows", [PROBE, [(5, A), (5, A), (5, B), (9, ""), (9, ""), (9, None), (None, A), (None, A)], mixed(3)])
 def test_the_stage_keeps_one_row_of_each_group(spark, rows):
     """Rows are compared: groups of rows by all pairs, the kept one has the smallest id, other rows stay as they are."""
