@@ -350,33 +350,41 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows of one id are one document: they have one component, whatever their texts.
     """
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.limit(1).count():
+        return _of_unique_ids(docs, percent)
+    # Rows get numbers, and are compared under those; the rows of one id are linked as well.
+    rows = stage(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "op6-rows")
+    known = rows.where("doc_id IS NOT NULL")
+    alike = _of_unique_ids(known.select(F.col("row").alias("doc_id"), "text"), percent)
+    found = stage(alike.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("linked"))
+                  .join(known.select("row", "doc_id"), "row"), "op6-found")
+    first = stage(found.groupBy("doc_id").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1"), "op6-first")
+    edges = found.select(F.col("row").alias("a"), F.col("linked").alias("b")).unionByName(
+        found.join(first, "doc_id").select(F.col("row").alias("a"), F.col("first").alias("b")))
+    group = components(edges)
+    named = stage(found.join(group, found["row"] == group["node"], "left")
+                  .select("doc_id", "n_shingles", F.coalesce("component", "row").alias("grp")), "op6-named")
+    least = stage(named.groupBy("grp").agg(F.min("doc_id").alias("component_id")), "op6-least")
+    out = named.join(least, "grp").select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.unionByName(_of_unique_ids(rows.where("doc_id IS NULL").select("doc_id", "text"), percent))
+
+
+def _of_unique_ids(docs: DataFrame, percent: int) -> DataFrame:
+    """:func:`near_duplicates` of rows of which no two share an id."""
     signed = stage(append_columns(docs.select("doc_id", "text"), "text", _SIGNATURE, _signatures, ["doc_id"]), "op6-signed")
     some = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # Equal sets have equal signatures and bands, so any of them will do.
+    key = ["set_a", "set_b", "n_shingles"]
     sets = stage(
-        some.groupBy("set_a", "set_b", "n_shingles").agg(
+        some.groupBy(*key).agg(
             F.min("doc_id").alias("set_id"), *[F.min(c).alias(c) for c in _LANE], F.first("bands").alias("bands")),
         "op6-sets")
-    links = _confirmed(docs, sets, percent)
-    key = ["set_a", "set_b", "n_shingles"]
-    slim = signed.select("doc_id", *key)
-    repeated = stage(slim.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"),
-                     "op6-repeated")
-    n_repeated = repeated.count()
-    few = F.broadcast if n_repeated <= BROADCAST_IDS else lambda df: df
-    if n_repeated:  # the sets of one id are linked, each with the smallest of them
-        theirs = slim.join(few(repeated), "doc_id").join(sets.select(*key, "set_id"), key).select("doc_id", "set_id")
-        owned = stage(theirs.groupBy("doc_id").agg(F.min("set_id").alias("own")), "op6-owned")
-        links = links.unionByName(theirs.join(few(owned), "doc_id").select(F.col("set_id").alias("a"), F.col("own").alias("b")))
-    found = components(links)
+    found = components(_confirmed(docs, sets, percent))
     named = stage(
         sets.join(found, sets["set_id"] == found["node"], "left")
-        .select(*key, "set_id", F.coalesce("component", "set_id").alias("component_id")), "op6-named")
-    out = slim.join(named.drop("set_id"), key, "left")
-    if n_repeated:  # also for the rows of such an id that have no set
-        by_id = named.select(F.col("set_id").alias("own"), F.col("component_id").alias("of_id")).distinct()
-        out = out.join(few(owned.join(by_id, "own").select("doc_id", "of_id").distinct()), "doc_id", "left")
-        out = out.withColumn("component_id", F.coalesce("of_id", "component_id"))
+        .select(*key, F.coalesce("component", "set_id").alias("component_id")), "op6-named")
+    out = signed.select("doc_id", *key).join(named, key, "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
     return (out.withColumn("component_id", component)
             .select("doc_id", "n_shingles", "component_id",

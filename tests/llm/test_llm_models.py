@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from llm_cases import awkward, nothing, prose, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from roadlens.llm import quality_classifier as qc
@@ -153,3 +154,38 @@ def test_run_leaves_only_its_result(spark):
     with Scratch(spark):
         corpus_pipeline.run(spark, SF_SMALL)
     assert len(folders() - before) == 1
+
+
+@pytest.mark.parametrize("values", [[], [0], [255, 256, 3], [1 << 40, 0, 7], list(range(1000))])
+def test_squeezed_numbers_come_back(values):
+    from roadlens.llm.suffix_tree import squeeze, unsqueeze
+
+    assert unsqueeze(squeeze(np.array(values, dtype=np.int64))).tolist() == values
+    assert len(squeeze(np.zeros(100_000))) < 200
+
+
+def test_suffix_tree_over_many_pieces_and_buckets(spark, monkeypatch):
+    """Any number of buckets gives the same scores; with repeated ids, nulls and long texts."""
+    from roadlens.llm import suffix_tree
+
+    rng = random.Random(4)
+    rows = [(i % 70, prose(rng, rng.randint(0, 80), 60)) for i in range(120)] + [(None, "w1 w2 w3"), (200, None), (201, "w1 " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    key = lambda found: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 7)) for r in found)
+    want = key(suffix_tree.suffix_tree_scores(docs).collect())
+    for bucket_bytes, hot in ((2_000, suffix_tree.HOT), (500, 20)):
+        monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", bucket_bytes)
+        assert key(suffix_tree.suffix_tree_scores(docs, hot).collect()) == want
+
+
+def test_pieces_that_change_between_passes_are_told(spark):
+    from roadlens.llm import suffix_tree
+
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(5)], "doc_id long, text string").coalesce(1)
+    texts = suffix_tree._texts(docs)
+    answers = suffix_tree.answer_tokens(suffix_tree.ask_tokens(texts.where("doc_id < 4"), 1), 1).toArrow()
+    pieces = suffix_tree._texts_by_piece(texts).toArrow()
+    run = suffix_tree._recorded(1, 10, 5, 100, suffix_tree._arrow_schema(docs, suffix_tree._PARTS.format(id="bigint")))
+    for given in (answers, answers.slice(0, 0)):
+        with pytest.raises(RuntimeError, match="changed between two passes"):
+            run(pieces, given)
