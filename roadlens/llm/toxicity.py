@@ -121,44 +121,60 @@ def without_letters(word: str, edits: int) -> set[str]:
 
 @dataclass
 class Trie:
-    """Lexicon terms (text) as nested dicts; key None holds the term's number and its letters."""
+    """Lexicon terms (text) as nested dicts; key None holds the term's number and its letters, key "" the node's number."""
 
     terms: list[str]
-    root: dict = field(default_factory=dict)
-    #: what is left of terms without one letter, and of long ones without two
-    rests: tuple[set, set] = field(default_factory=lambda: (set(), set()))
+    root: dict = field(default_factory=lambda: {"": 0})
+    #: terms by what is left of them without one letter, and of long ones without two
+    rests: tuple[dict, dict] = field(default_factory=lambda: ({}, {}))
+    #: numbers of the nodes on the way to each term
+    paths: dict[int, list[int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        nodes = 1
         for number, term in enumerate(self.terms):
             edits = edits_allowed(len(term))
             if not edits or term.endswith("*"):
                 continue
-            node = self.root
+            node, path = self.root, []
             for c in term:
-                node = node.setdefault(c, {})
+                if c not in node:
+                    node[c] = {"": nodes}
+                    nodes += 1
+                node = node[c]
+                path.append(node[""])
             node[None] = (number, len(term))
-            self.rests[0].update(without_letters(term, 1))
-            if edits > 1:
-                self.rests[1].update(without_letters(term, 2))
-
-    def edits(self, word: str) -> int:
-        """Edits that are worth trying for a word: 0 if no term has a rest in common with it."""
-        if len(word) >= TWO_FROM - 2 and not self.rests[1].isdisjoint(without_letters(word, 2)):
-            return 2
-        return int(len(word) >= FUZZY_FROM - 1 and not self.rests[0].isdisjoint(without_letters(word, 1)))
-
-    def nearest(self, word: str, edits: int) -> int:
-        """Number of the term of the fewest edits, at most ``edits`` and what its length allows (of equal ones the smallest), or -1.
+            self.paths[number] = path
+            for found, n in zip(self.rests, range(1, edits + 1), strict=False):
+                for rest in without_letters(term, n):
+                    found.setdefault(rest, []).append(number)
+
+    def candidates(self, word: str) -> set[int]:
+        """Terms that share a rest with the word: all that are near it, and a few others."""
+        out: set[int] = set()
+        for found, n, least in zip(self.rests, (1, 2), (FUZZY_FROM - 1, TWO_FROM - 2), strict=True):
+            if len(word) >= least and found:
+                for rest in without_letters(word, n):
+                    out.update(found.get(rest, ()))
+        return out
+
+    def nearest(self, word: str) -> int:
+        """Number of the term of the fewest edits, at most what its length allows (of equal ones the smallest), or -1.
 
         ``now[e]`` are the states of the word's automaton after a path of the trie: bit i says that the path matches
-        the first i letters with up to e edits; ``past`` are those a letter earlier, for swaps.
+        the first i letters with up to e edits; ``past`` are those a letter earlier, for swaps.  Only paths to candidates
+        are followed.
         """
+        wanted = self.candidates(word)
+        if not wanted:
+            return -1
+        open_nodes = {node for number in wanted for node in self.paths[number]}
+        edits = max(edits_allowed(len(self.terms[number])) for number in wanted)
         goal, every, masks = 1 << len(word), (2 << len(word)) - 1, {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | (1 << i)
         best = (edits + 1, -1)
-        none = (0,) * (edits + 1)
-        waiting = [(self.root, tuple((2 << e) - 1 & every for e in range(edits + 1)), none, 0)]
+        waiting = [(self.root, tuple((2 << e) - 1 & every for e in range(edits + 1)), (0,) * (edits + 1), 0)]
         while waiting:
             node, now, past, last = waiting.pop()
             for c, child in node.items():
@@ -168,6 +184,8 @@ class Trie:
                     if fewest is not None and (best[1] < 0 or (fewest, number) < best):
                         best = (fewest, number)
                     continue
+                if c == "" or child[""] not in open_nodes:
+                    continue
                 mask = masks.get(c, 0)
                 following = [(now[0] & mask) << 1]
                 for e in range(1, edits + 1):
@@ -212,9 +230,7 @@ class Matcher:
                 return number, 0
         if len(word) > LONGEST + 8:  # two letters of four bytes more
             return -1, 0
-        text = word.decode("utf-8", "replace")
-        edits = self.trie.edits(text)
-        return (self.trie.nearest(text, edits), 1) if edits else (-1, 0)
+        return self.trie.nearest(word.decode("utf-8", "replace")), 1
 
     def features(self, text: pa.Array) -> np.ndarray:
         parts = [self._block(b) for b in blocks(text, lower=True, size=LOOK_UP_BYTES)]
