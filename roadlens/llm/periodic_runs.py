@@ -236,8 +236,9 @@ def periodic_runs(docs: DataFrame, text_col: str = "text", carry: list[str] | No
 
 def longest():
     """The run of the greatest length (of equal ones the first), null if there is none."""
-    runs = F.array_sort(F.col("runs"), lambda a, b: F.when(a["length"] > b["length"], -1).when(
-        a["length"] < b["length"], 1).when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["period"] - b["period"]).cast("int"))
+    runs = F.array_sort(F.col("runs"), lambda a, b: (
+        F.when(a["length"] > b["length"], -1).when(a["length"] < b["length"], 1)
+        .when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["period"] - b["period"]).cast("int")))
     return F.get(runs, 0)
 
 

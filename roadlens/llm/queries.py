@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.alignment import align_documents
 from roadlens.llm.bit_packing import packed_ids
-from roadlens.llm.common import fold, table
+from roadlens.llm.common import table
 from roadlens.llm.knn_join import knn_join, scaled
 from roadlens.llm.mixing import mix_documents
 from roadlens.llm.near_dedup import near_duplicates

@@ -50,9 +50,9 @@ HELD_OUT = 1
 #: The end of a text as a token, and its beginning as a context; words hash to any other number.
 END = np.int64(-1)
 #: Bytes of text, and documents, of a piece.
-PIECE_BYTES, PIECE_DOCS = 16 << 20, 1 << 15
+PIECE_BYTES, PIECE_DOCS = 8 << 20, 1 << 15
 #: Bytes of text whose records share a bucket, about.
-BUCKET_BYTES = 20 << 20
+BUCKET_BYTES = 8 << 20
 #: Occurrences above which a token's followers are dealt to many buckets.
 HOT = 1_000_000
 
@@ -284,11 +284,12 @@ class Records:
 
     def __init__(self, cells: pa.Table) -> None:
         columns = {name: [unsqueeze(x.as_py()) for x in cells.column(name)] for name in _CELL}
-        self.piece = np.repeat(np.arange(cells.num_rows), [len(x) for x in columns["doc"]])
-        flat = {name: np.concatenate(x) for name, x in columns.items()}
+        self.piece = np.repeat(np.arange(cells.num_rows, dtype=np.int32), [len(x) for x in columns["doc"]])
+        flat = {name: np.concatenate(columns.pop(name)) for name in _CELL}
         of_pair = np.repeat(np.arange(len(flat["records"])), flat["records"])
         of_one = np.repeat(np.arange(len(flat["pairs"])), flat["pairs"])
-        self.doc, self.learnt = flat["doc"] >> 1, flat["doc"] & 1
+        doc = flat.pop("doc")
+        self.doc, self.learnt = (doc >> 1).astype(np.int32), (doc & 1).astype(np.int8)
         one, self.before = pd.factorize(flat["before"])
         self.n_before = np.zeros(len(self.before), dtype=np.int64)
         self.n_before[one] = flat["n_before"]
@@ -300,7 +301,7 @@ class Records:
         self.n_token[pair] = flat["n_token"]
         self.n_pair = np.bincount(self.pair, self.learnt, len(keys)).astype(np.int64)
         self.one = self.one_of_pair[self.pair]
-        second, seconds = pd.factorize(flat["second"])
+        second, seconds = pd.factorize(flat.pop("second"))
         self.two, keys = pd.factorize(second << 32 | self.one)
         self.one_of_two, self.known_two = keys & 0xFFFFFFFF, seconds[keys >> 32] > 0
         self.n_two = np.bincount(self.two, self.learnt, len(keys)).astype(np.int64)
@@ -386,8 +387,9 @@ def _scored(root_total: float, schema: pa.Schema):
         if hot.num_rows:
             r = Records(hot)
             one, n = r.one_of_pair, len(r.one_of_pair)
-            out.append(_part("pair", n, schema, bucket=pa.repeat(rows.column("bucket")[0], n), c1=pa.array(r.before[one]), c1_n=pa.array(r.n_before[one]),
-                             t=pa.array(r.token_of_pair), t_n=pa.array(r.n_token), n=pa.array(r.n_pair)))
+            out.append(_part(
+                "pair", n, schema, bucket=pa.repeat(rows.column("bucket")[0], n), c1=pa.array(r.before[one]),
+                c1_n=pa.array(r.n_before[one]), t=pa.array(r.token_of_pair), t_n=pa.array(r.n_token), n=pa.array(r.n_pair)))
         return pa.concat_tables([t.cast(schema) for t in out])
 
     return run
@@ -409,7 +411,8 @@ def _hot_contexts(pairs: DataFrame, root_total: float) -> DataFrame:
     left = F.greatest(1 - F.col("mass") / total, F.lit(_FLOOR))
     share = left / F.greatest(1 - F.col("parent"), F.lit(_FLOOR))
     gain = (F.col("gain") - F.col("mass") * F.log(total)) / total + left * F.log(share)
-    contexts = stage(sums.select("c1", F.log10(share).alias("back_off"), F.when(F.col("mass") > 0, gain).otherwise(0.0).alias("diverging")), "op5-hot")
+    diverging = F.when(F.col("mass") > 0, gain).otherwise(0.0)
+    contexts = stage(sums.select("c1", F.log10(share).alias("back_off"), diverging.alias("diverging")), "op5-hot")
     return pairs.select("bucket", "c1", "t").join(counted.select("c1", "t", "n"), ["c1", "t"]).join(contexts, "c1")
 
 
@@ -474,7 +477,8 @@ def suffix_tree_scores(docs: DataFrame, hot: int = HOT) -> DataFrame:
     if pairs.limit(1).count():
         known = _hot_contexts(pairs, root_total).select(F.col("bucket").alias("of"), "c1", "t", "n", "back_off", "diverging")
         cells = parts.where("kind = 'hot'").select("bucket", "piece", *_CELL)
-        more = stage(cells.groupBy("bucket").cogroup(known.groupBy("of")).applyInArrow(_scored_hot(root_total, schema), spark_schema), "op5-hot-parts")
+        scored = cells.groupBy("bucket").cogroup(known.groupBy("of")).applyInArrow(_scored_hot(root_total, schema), spark_schema)
+        more = stage(scored, "op5-hot-parts")
         suffixes = more.where("kind = 'suffix'").select("c1").distinct()
         certain = more.where("kind = 'if'").join(suffixes, "c1", "left_semi").withColumn("kind", F.lit("sums"))
         done = done.unionByName(more.where("kind = 'sums'")).unionByName(certain.select(*done.columns))

@@ -12,7 +12,6 @@ import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from llm_cases import awkward, nothing, prose, words
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from roadlens.llm import quality_classifier as qc
@@ -29,7 +28,8 @@ def corpus(spark):
     docs, labels = [], []
     for i in range(500):
         good = rng.random() < 0.6
-        text = prose(rng, rng.randint(60, 160), 800) + "." if good else " ".join(rng.choice(["!!!", "BUY", "$$", "x", "go"]) for _ in range(rng.randint(40, 140)))
+        junk = " ".join(rng.choice(["!!!", "BUY", "$$", "x", "go"]) for _ in range(rng.randint(40, 140)))
+        text = prose(rng, rng.randint(60, 160), 800) + "." if good else junk
         docs.append((i, text, rng.choice(["en", "de"]), f"src{i % 3}", len(text)))
         labels.append((i, int(good), 0))
     docs += [(500, None, "en", "src0", 0), (501, "", "en", "src0", 0)]
