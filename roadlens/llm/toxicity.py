@@ -19,7 +19,7 @@ scored like others with ``held_out`` null; without labels of both classes every
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -119,6 +119,50 @@ def without_letters(word: str, edits: int) -> set[str]:
     return out
 
 
+_BASE = 0x9E3779B97F4A7C15
+_BACK = np.uint64(pow(_BASE, -1, 1 << 64))
+
+
+def rest_hashes(words: list[str], edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of :func:`without_letters` of all words, one way to leave letters out after another.
+
+    A word's hash is the sum of its letters times powers of a base; letters behind a gap are moved by its inverse.
+    """
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    begin = np.cumsum(lengths) - lengths
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        powers = np.array([pow(_BASE, p, 1 << 64) for p in range(n)], dtype=np.uint64)
+        upto = np.zeros((len(at), n + 1), dtype=np.uint64)
+        np.cumsum((letters[begin[at][:, None] + np.arange(n)] + np.uint64(1)) * powers, axis=1, out=upto[:, 1:])
+        upto = upto.T.copy()
+        yield at, upto[n]
+        for i in range(n if edits else 0):
+            yield at, upto[i] + _BACK * (upto[n] - upto[i + 1])
+            for j in range(i + 1, n if edits > 1 else 0):
+                yield at, upto[i] + _BACK * (upto[j] - upto[i + 1] + _BACK * (upto[n] - upto[j + 1]))
+
+
+class Rests:
+    """Which words share a rest with a term, by hashes; a few others pass as well."""
+
+    def __init__(self, terms: list[str], edits: int) -> None:
+        self.edits = edits
+        self.hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, h in rest_hashes(terms, edits)]]))
+        self.seen = np.zeros(1 << 20, dtype=bool)
+        self.seen[self.hashes >> np.uint64(44)] = True
+
+    def shared(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words), dtype=bool)
+        if len(self.hashes):
+            for at, hashes in rest_hashes(words, self.edits):
+                some = np.flatnonzero(self.seen[hashes >> np.uint64(44)])
+                place = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
+                out[at[some[self.hashes[place] == hashes[some]]]] = True
+        return out
+
+
 @dataclass
 class Trie:
     """Lexicon terms (text) as nested dicts; key None holds the term's number and its letters, key "" the node's number."""
@@ -145,27 +189,29 @@ class Trie:
                 path.append(node[""])
             node[None] = (number, len(term))
             self.paths[number] = path
-            for found, n in zip(self.rests, range(1, edits + 1), strict=False):
+            for found, n in zip(self.rests, range(1, edits + 1)):  # noqa: B905 - shorter terms allow one edit
                 for rest in without_letters(term, n):
                     found.setdefault(rest, []).append(number)
-
-    def candidates(self, word: str) -> set[int]:
-        """Terms that share a rest with the word: all that are near it, and a few others."""
-        out: set[int] = set()
-        for found, n, least in zip(self.rests, (1, 2), (FUZZY_FROM - 1, TWO_FROM - 2), strict=True):
-            if len(word) >= least and found:
-                for rest in without_letters(word, n):
-                    out.update(found.get(rest, ()))
-        return out
-
-    def nearest(self, word: str) -> int:
+        long = [self.terms[i] for i in self.paths if edits_allowed(len(self.terms[i])) > 1]
+        self.filters = (Rests([self.terms[i] for i in self.paths], 1), Rests(long, 2))
+
+    def candidates(self, words: list[str]) -> dict[int, list[int]]:
+        """Terms that share a rest with a word (by its place): all that are near it, and a few others."""
+        out: dict[int, set[int]] = {}
+        for rests, some in zip(self.rests, self.filters, strict=True):
+            for i in np.flatnonzero(some.shared(words)).tolist():
+                for rest in without_letters(words[i], some.edits):
+                    if rest in rests:
+                        out.setdefault(i, set()).update(rests[rest])
+        return {i: sorted(x) for i, x in out.items()}
+
+    def nearest(self, word: str, wanted: list[int]) -> int:
         """Number of the term of the fewest edits, at most what its length allows (of equal ones the smallest), or -1.
 
         ``now[e]`` are the states of the word's automaton after a path of the trie: bit i says that the path matches
-        the first i letters with up to e edits; ``past`` are those a letter earlier, for swaps.  Only paths to candidates
-        are followed.
+        the first i letters with up to e edits; ``past`` are those a letter earlier, for swaps.  Only paths to the
+        ``wanted`` terms are followed.
         """
-        wanted = self.candidates(word)
         if not wanted:
             return -1
         open_nodes = {node for number in wanted for node in self.paths[number]}
@@ -220,17 +266,31 @@ class Matcher:
         self.numbers = {t: i for i, t in enumerate(model.terms)}
         self.memory = Memory(2)
 
-    def _match(self, word: bytes) -> tuple[int, int]:
-        """(number of the term or -1, 1 if it is misspelled)."""
-        number = self.numbers.get(word, -1)
-        if number >= 0:
-            return number, 0
-        for n in reversed(STEMS):
-            if n < len(word) and (number := self.numbers.get(word[:n] + b"*", -1)) >= 0:
-                return number, 0
-        if len(word) > LONGEST + 8:  # two letters of four bytes more
-            return -1, 0
-        return self.trie.nearest(word.decode("utf-8", "replace")), 1
+    def match(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(number of the term or -1, 1 if it is misspelled) of each word."""
+        out, others = [(-1, 0)] * len(words), []
+        for i, word in enumerate(words):
+            number = self.numbers.get(word, -1)
+            for n in reversed(STEMS) if number < 0 else ():
+                if n < len(word) and (number := self.numbers.get(word[:n] + b"*", -1)) >= 0:
+                    break
+            if number >= 0:
+                out[i] = (number, 0)
+            elif len(word) <= LONGEST + 8:  # two letters of four bytes more
+                others.append(i)
+        texts = [words[i].decode("utf-8", "replace") for i in others]
+        for at, wanted in self.trie.candidates(texts).items():
+            out[others[at]] = (self.trie.nearest(texts[at], wanted), 1)
+        return out
+
+    def _numbers(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> np.ndarray:
+        """:meth:`match` of distinct words, remembered by their hashes."""
+        memory = self.memory
+        if len(memory.hashes) + len(hashes) > memory.most:
+            memory.clear()
+        new = np.flatnonzero(~np.isin(hashes, memory.hashes)).tolist()
+        found = dict(zip(new, self.match([word(i) for i in new]), strict=True))
+        return memory.look_up(hashes, found.__getitem__)
 
     def features(self, text: pa.Array) -> np.ndarray:
         parts = [self._block(b) for b in blocks(text, lower=True, size=LOOK_UP_BYTES)]
@@ -240,7 +300,7 @@ class Matcher:
         word, start, end, data = terms_of(b)
         values, first, inverse = distinct(segment_hash(data, start, end - start))
         raw = data.tobytes()
-        found = self.memory.look_up(values, lambda i: self._match(raw[start[first[i]]:end[first[i]]]))[inverse]
+        found = self._numbers(values, lambda i: raw[start[first[i]]:end[first[i]]])[inverse]
         hit = found[:, 0] >= 0
         word, number, misspelled = word[hit], found[hit, 0], found[hit, 1] == 1
         doc, quoted = b.doc[word], in_quotes(b, word)

@@ -177,16 +177,16 @@ class Memory:
 
     def __init__(self, width: int, most: int = 1_000_000) -> None:
         self.width, self.most = width, most
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.values = np.zeros((0, self.width), dtype=np.int32)
 
     def look_up(self, hashes: np.ndarray, compute: Callable[[int], tuple[int, ...]]) -> np.ndarray:
         """A row for each of the distinct ``hashes``; ``compute(i)`` gives that of the i-th if it is new."""
         if len(self.hashes) + len(hashes) > self.most:
-            self._clear()
+            self.clear()
         at = np.searchsorted(self.hashes, hashes)
         known = np.zeros(len(hashes), dtype=bool)
         inside = at < len(self.hashes)
