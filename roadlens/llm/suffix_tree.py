@@ -17,7 +17,7 @@ meet, so the token stream is shuffled once, by the token before:
    bucket of the token before.
 3. A bucket counts its records, finds what its contexts retain, and returns for each document what its tokens score above
    the root.
-4. A token before that holds more than HOT occurrences is dealt to buckets by the token before both.  What of it
+4. A hot token before, of very many occurrences, is dealt to buckets by the token before both.  What of it
    is not known in one bucket goes through Spark's grouping: counts of its followers, and whether it is a retained one's suffix.
 
 Arrays travel packed in the bytes that their largest number needs, by byte planes, compressed.  Nothing the tree learns
@@ -50,11 +50,12 @@ HELD_OUT = 1
 #: The end of a text as a token, and its beginning as a context; words hash to any other number.
 END = np.int64(-1)
 #: Bytes of text, and documents, of a piece.
-PIECE_BYTES, PIECE_DOCS = 8 << 20, 1 << 15
+PIECE_BYTES, PIECE_DOCS = 6 << 20, 1 << 15
 #: Bytes of text whose records share a bucket, about.
-BUCKET_BYTES = 8 << 20
-#: Occurrences above which a token's followers are dealt to many buckets.
-HOT = 1_000_000
+BUCKET_BYTES = 6 << 20
+#: A token's followers are dealt to many buckets if it has more occurrences than HOT, which bounds a bucket, or more than one
+#: in HOT_SHARE (but HOT_LEAST), so that the same words are dealt at every size up to there.
+HOT, HOT_SHARE, HOT_LEAST = 1_000_000, 200, 10_000
 
 #: Smallest part of a context's mass that is left to unlisted followers.
 _FLOOR = 1e-9
@@ -169,7 +170,7 @@ def answer_tokens(asked: DataFrame, n_buckets: int) -> DataFrame:
 
 # 2. records
 
-#: Cells: arrays of one piece for one bucket.  "hot" ones hold tokens before of more than HOT occurrences.
+#: Cells: arrays of one piece for one bucket.  "hot" ones hold hot tokens before.
 _CELL = ["before", "n_before", "pairs", "token", "n_token", "records", "second", "doc"]
 _PARTS = ("kind string, bucket int, piece long, " + ", ".join(f"{c} binary" for c in _CELL)
           + ", doc_id array<{id}>, held_out array<boolean>, n_tokens binary, n_known binary, base binary, sums binary, "
@@ -457,7 +458,7 @@ def _total(total: int):
     return run
 
 
-def suffix_tree_scores(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def suffix_tree_scores(docs: DataFrame, hot: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): learn from the texts that are not held out, score all."""
     texts = _texts(docs)
     id_type = texts.schema["doc_id"].dataType.simpleString()
@@ -467,6 +468,8 @@ def suffix_tree_scores(docs: DataFrame, hot: int = HOT) -> DataFrame:
     found = answers.agg(F.sum("total").alias("n"), F.sum("vocabulary").alias("v")).first()
     total, vocabulary = int(found["n"] or 0), int(found["v"] or 0)
     root_total = total + 0.5 * (vocabulary + 1)
+    if hot is None:
+        hot = min(HOT, max(HOT_LEAST, total // HOT_SHARE))
     spark_schema = _PARTS.format(id=id_type)
     schema = _arrow_schema(docs, spark_schema)
     recorded = _texts_by_piece(texts).groupBy("piece").cogroup(answers.select("piece", F.col("bucket"), "number", "c").groupBy("piece")).applyInArrow(
