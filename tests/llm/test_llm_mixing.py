@@ -126,3 +126,23 @@ def test_targets_may_be_given(spark):
     for r in got:
         weight[r["source"]] += r["n_tokens"] * r["weight"]
     assert abs(weight["src0"] / weight["src1"] - 1) < 1e-6
+
+
+def test_topics_come_from_all_texts(spark):
+    """More texts than the sample of 5,000 that topics were learnt from before: counts and centroids are those of all."""
+    rng = random.Random(6)
+    texts = corpus(rng, 900)[1] + [subject(rng, rng.choice(["law", "art"]), 6) for _ in range(6000)] + ["", None, " \t"]
+    docs = documents(spark, texts)
+    topics = fit_topics(docs, topics=3)
+    count, rows = term_counts(pa.array(texts, pa.string()))
+    rows = rows[count > 0].astype(np.float32).astype(float)
+    assert np.allclose(topics.rarity, np.log((len(rows) + 1) / ((rows > 0).sum(axis=0) + 1)) + 0.1)
+    x = rows * topics.rarity
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    own = (x @ topics.centroids.T).argmax(axis=1)
+    assert np.bincount(own).tolist() == sorted(np.bincount(own), reverse=True) and len(topics.centroids) == 3
+    for t, centroid in enumerate(topics.centroids):
+        mean = x[own == t].sum(axis=0)
+        assert mean @ centroid > 0.999 * np.sqrt(mean @ mean)
+    again = fit_topics(docs.repartition(5), topics=3)
+    assert np.allclose(topics.centroids, again.centroids)
