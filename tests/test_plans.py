@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from roadlens.plans.registry import SQL_TEXTS, VIEWS
 
 QUERIES = entry.queries()
 
@@ -151,3 +152,25 @@ def test_every_plan_stays_in_the_jvm_and_prunes_columns(spark):
         assert "EvalPython" not in p and "FlatMapGroupsInPandas" not in p and "MapInPandas" not in p, name
         for schema in re.findall(r"ReadSchema: struct<([^>]*)>", p):
             assert "l_extendedprice" not in schema and "l_shipdate" not in schema, (name, schema)
+
+
+def test_sql_not_in_broadcasts_no_list(spark):
+    """The ids of NOT IN grow with the table: no plan of theirs may need them whole in every task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, "o_sql_not_in")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in p and "SortMergeJoin" in p
+
+
+@pytest.mark.parametrize("females", [["1", "2", "2"], ["1", None], [None], []])
+def test_sql_not_in_by_its_null_rules(spark, females):
+    drivers = [("1", "TX"), ("2", None), ("3", "TX"), ("3", "TX"), ("3", None), (None, "TX"), (None, None), ("4", "OK")]
+    rows = [(c, s, "CLASS C", "MALE") for c, s in drivers] + [("5", "TX", None, "MALE"), ("6", "TX", "OTHER/OUT OF STATE", "MALE")]
+    rows += [(c, "TX", None, "FEMALE") for c in females]
+    people = spark.createDataFrame(rows, "crash_id string, drvr_lic_state_id string, drvr_lic_cls_id string, prsn_gndr_id string")
+    people.createOrReplaceTempView(f"{VIEWS}primary_person")
+    kept = {(c, s) for c, s in drivers if not females or (None not in females and c is not None and c not in females)}
+    assert spark.sql(SQL_TEXTS["o_sql_not_in"]).collect() == [(len(kept),)]
