@@ -16,7 +16,9 @@ from llm_cases import awkward, nothing, prose, words
 import corpus_pipeline
 from roadlens.llm import quality_classifier as qc
 from roadlens.llm import quality_rules as qr
+from roadlens.llm.mixing import mix_documents
 from roadlens.llm.textstats import column_stats
+from roadlens.llm.topics import term_counts
 
 
 @pytest.fixture(scope="module")
@@ -189,3 +191,15 @@ def test_pieces_that_change_between_passes_are_told(spark):
     for given in (answers, answers.slice(0, 0)):
         with pytest.raises(RuntimeError, match="changed between two passes"):
             run(pieces, given)
+
+
+def test_mixing_stage_learns_topics_from_all_documents(spark, monkeypatch):
+    """Of more texts than the 5,000 that were sampled before, word rarities are those of all."""
+    given = []
+    monkeypatch.setattr(corpus_pipeline, "mix_documents", lambda docs, topics: given.append(topics) or mix_documents(docs, topics=topics))
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(5)) for _ in range(5600)]
+    docs = spark.createDataFrame([(i, t, "en", "src0") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert corpus_pipeline.mixing(spark, docs, SF_SMALL).count() > 0
+    found = (term_counts(pa.array(texts))[1] > 0).sum(axis=0)
+    assert np.allclose(given[0].rarity, np.log((len(texts) + 1) / (found + 1)) + 0.1)
