@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 import pytest
 
-from conftest import rows
+from conftest import SF_SMALL, rows
+from roadlens.plans import registry
 from roadlens.plans.analyses import ANALYSES
 from roadlens.plans.job import load_config, output_location, result_row_counts, run_job
+from roadlens.sources import files
 from roadlens.sources.files import read_table, write_result
+from roadlens.sources.schemas import TABLE_COLUMNS
 from roadlens.sources.tables import CrashTables, register_views
 
 
@@ -214,3 +217,26 @@ def test_single_file_query_writes_a_bounded_result(spark, monkeypatch, tmp_out):
     assert [tuple(r) for r in got] == [(damages.count(), 1)]
     written = spark.read.option("header", True).csv(f"{tmp_out}/single").count()
     assert written == damages.select("damaged_property").distinct().count() < damages.count()
+
+
+def test_packed_csv_is_read_back(spark, tables_small, tmp_out, monkeypatch):
+    monkeypatch.setattr(files, "FILE_ROWS", 1000)
+    path = f"{tmp_out}/packed"
+    units = tables_small.units
+    write_result(units.toDF(*[c.upper() for c in units.columns]), path, compression="gzip")
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) >= units.count() / 1000 and all(f.endswith(".csv.gz") for f in parts)
+    assert rows(read_table(spark, path)) == rows(units)
+
+
+def test_the_whole_job_writes_packed_inputs(spark, monkeypatch):
+    """Its CSV inputs are most of what it writes."""
+    found = {}
+
+    def write(df, path, **options):
+        write_result(df, path, **options)
+        found[os.path.basename(path)] = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+
+    monkeypatch.setattr(registry, "write_result", write)
+    assert registry.QUERIES["o_job_all"](spark, SF_SMALL).count() == 10
+    assert set(found) == set(TABLE_COLUMNS) and all(f.endswith(".csv.gz") for parts in found.values() for f in parts)
