@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from roadlens.operators import hot_marks, salted_semi_join, split_join
+from roadlens.operators.hot_keys import hot_pieces
 
 
 def left(spark):
@@ -59,3 +60,13 @@ def test_salted_semi_join(spark, parts):
     assert rows(salted_semi_join(df, other, ["k"], df.where("false"), parts)) == want
     assert rows(salted_semi_join(df, other.where("k <> 7"), ["k"], df, parts)) == rows(df.join(other.where("k <> 7"), ["k"], "left_semi"))
     assert salted_semi_join(df, other.where("false"), ["k"], df, parts).count() == 0
+
+
+def test_pieces_follow_the_share_of_a_key(spark):
+    """Of 40 keys above the limit, 39 barely: each is dealt in the pieces it fills, not all in the most there are."""
+    df = spark.range(0, 4000, 1, 8).selectExpr("CASE WHEN id < 2050 THEN 0 ELSE id % 39 + 1 END AS k")
+    found = spark.range(1).select(hot_pieces(df, ["k"], 100, 256).alias("m")).first()["m"]
+    mark = spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint")).alias("m")).first()["m"]
+    assert len(found) == 40 and found.pop(mark) == 52 and set(found.values()) == {2}
+    assert spark.range(1).select(hot_pieces(df, ["k"], 100, 7).alias("m")).first()["m"][mark] == 7
+    assert spark.range(1).select(hot_pieces(df.where("false"), ["k"]).alias("m")).first()["m"] == {}
