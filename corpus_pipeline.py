@@ -57,7 +57,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target weights of sources, languages and topics learnt from them."""
+    """Documents kept to meet the target weights of sources, languages and topics.
+
+    Topics, tokens a cell and probabilities come from all of ``docs``; only the result is a part of them, as the weights ask.
+    """
     return mix_documents(docs, topics=fit_topics(docs)).where("kept").select(*docs.columns)
 
 

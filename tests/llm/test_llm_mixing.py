@@ -11,8 +11,10 @@ import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from llm_cases import awkward, documents, nothing, words
+from pyspark.sql import functions as F
 
-from roadlens.llm.mixing import DAMPING, MarginsMissed, Targets, margin_gap, mix_documents, rake
+import corpus_pipeline
+from roadlens.llm.mixing import DAMPING, SHORTFALL, MarginsMissed, Targets, calibrate, margin_gap, mix_documents, rake
 from roadlens.llm.topics import NONE, Topics, fit_topics, term_counts
 
 
@@ -146,3 +148,36 @@ def test_topics_come_from_all_texts(spark):
         assert mean @ centroid > 0.999 * np.sqrt(mean @ mean)
     again = fit_topics(docs.repartition(5), topics=3)
     assert np.allclose(topics.centroids, again.centroids)
+
+
+@pytest.mark.filterwarnings("ignore::roadlens.llm.mixing.MarginsMissed")
+def test_pipeline_stage_decides_by_all_documents(spark, monkeypatch):
+    """Of more texts than the 5,000 that topics were learnt from before: centroids, tokens a cell and so the kept rows are those of all."""
+    given = []
+    monkeypatch.setattr(corpus_pipeline, "mix_documents", lambda docs, topics: given.append(topics) or mix_documents(docs, topics=topics))
+    rng = random.Random(8)
+    texts = corpus(rng, 600)[1] + [subject(rng, rng.choice(["law", "art", "sport"]), 8) for _ in range(5400)]
+    rows = [(i, t, rng.choice(["en", "en", "de"]), f"src{rng.randrange(3)}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    kept = {r["doc_id"] for r in corpus_pipeline.mixing(spark, docs, SF_SMALL).collect()}
+
+    topics = given[0]
+    x = term_counts(pa.array(texts))[1].astype(np.float32).astype(float) * topics.rarity
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    own = (x @ topics.centroids.T).argmax(axis=1)
+    for t, centroid in enumerate(topics.centroids):
+        mean = x[own == t].sum(axis=0)
+        assert mean @ centroid > 0.999 * np.sqrt(mean @ mean)
+
+    cells = [(source, lang, f"t{t}") for (_, _, lang, source), t in zip(rows, own.tolist(), strict=True)]
+    tokens = Counter()
+    for c, text in zip(cells, texts, strict=True):
+        tokens[c] += len(words(text))
+    names = [sorted({c[m] for c in tokens}) for m in range(3)]
+    shares = [np.array([sum(n for c, n in tokens.items() if c[m] == v) for v in names[m]]) ** DAMPING for m in range(3)]
+    n = np.array([*tokens.values()], dtype=float)
+    w = rake(n, [np.array([names[m].index(c[m]) for c in tokens]) for m in range(3)], [s / s.sum() for s in shares])
+    p = dict(zip(tokens, calibrate(n, w, SHORTFALL), strict=True))
+    draw = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id", "text"), F.lit(1 << 52)) / float(1 << 52)
+    drawn = {r["doc_id"]: r["draw"] for r in docs.select("doc_id", draw.alias("draw")).collect()}
+    assert kept == {i for i, c in enumerate(cells) if drawn[i] < p[c]} and 0 < len(kept) < len(texts)
